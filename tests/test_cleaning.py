@@ -1,0 +1,138 @@
+import bz2
+import gzip
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tradewake.model import KEY
+from tradewake.operators import cleaning
+from tradewake.plans import pipelines
+from tradewake.sources import read_archives, read_table
+
+HEADER = "average,date,highest,lowest,order_count,volume,http_last_modified,region_id,type_id\n"
+GOOD = "10.5,2025-01-02,11,10,3,100,2025-01-03T11:00:00Z,1,34\n"
+
+
+def line(average="1", day="2025-01-02", highest="2", lowest="1", orders="1", volume="5",
+         modified="2025-01-03T00:00:00Z", region="1", item="1"):
+    return ",".join([average, day, highest, lowest, orders, volume, modified, region, item]) + "\n"
+
+
+@pytest.fixture
+def archives(tmp_path):
+    """Writes (file name, lines) pairs, compressed by suffix; returns the folder."""
+
+    def write(files):
+        for name, lines in files.items():
+            opener = {"gz": gzip.open, "z2": bz2.open}.get(name[-2:], open)
+            with opener(tmp_path / name, "wt") as out:
+                out.write(HEADER + "".join(lines))
+        return str(tmp_path)
+
+    return write
+
+
+def test_one_scan_reads_gzip_bzip2_and_plain(spark, archives):
+    folder = archives({
+        "a.csv.gz": [line(item="1")], "b.csv.bz2": [line(item="2")], "c.csv": [line(item="3")],
+        # The same base name under both codecs: both are read.
+        "d.csv.gz": [line(item="4")], "d.csv.bz2": [line(item="5")],
+    })
+    assert sorted(r.type_id for r in read_archives(spark, folder).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_a_glob_limits_the_files(spark, archives):
+    folder = archives({"2024.csv.gz": [line(item="1")], "2025.csv.gz": [line(item="2")]})
+    assert [r.type_id for r in read_archives(spark, f"{folder}/2025*.csv.gz").collect()] == [2]
+
+
+def test_missing_files_are_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_archives(spark, f"{tmp_path}/none*.gz").collect()
+
+
+def test_bad_cells_become_null_and_keep_their_row(spark, archives):
+    folder = archives({"a.csv.gz": [
+        line(item="1", average="abc"), line(item="2", volume="1.5"), line(item="3", day="2025-13-01"),
+        line(item="4", day="2025-1-1"), line(item="5", modified="soon"), line(item="6"),
+    ]})
+    rows = {r.type_id: r for r in cleaning.parse_times(read_archives(spark, folder)).collect()}
+    assert len(rows) == 6
+    assert rows[1].average is None and rows[2].volume is None
+    assert rows[3].date is None and rows[4].date is None
+    assert rows[5].http_last_modified is None and rows[5].date == date(2025, 1, 2)
+    assert rows[6].http_last_modified == datetime(2025, 1, 3)
+
+
+def test_cleaning_keeps_valid_rows_only(spark, archives):
+    folder = archives({"a.csv.gz": [
+        line(item="1"), line(item="2", modified="soon"),
+        line(item="3", average="abc"), line(item="4", volume="1.5"), line(item="5", day="2025-13-01"),
+        line(item="6", average="-1"), line(item="7", lowest="-1"), line(item="8", highest="-1", lowest="-2"),
+        line(item="9", volume="-1"), line(item="10", highest="1", lowest="2"), line(item=""),
+        line(item="11", region=""), line(item="12", average="NaN"), line(item="13", average="0", volume="0"),
+    ]})
+    raw = read_archives(spark, folder)
+    assert sorted(r.type_id for r in cleaning.clean_market(raw).collect()) == [1, 2, 13]
+    # NaN compares as larger than any number.
+    assert sorted(r.type_id for r in cleaning.clean_market(raw, keep_nan=True).collect()) == [1, 2, 12, 13]
+
+
+def test_the_newest_good_copy_survives(spark, archives):
+    copies = [
+        line(average="1", modified="2025-01-03T00:00:00Z"),
+        line(average="2", modified="2025-01-04T00:00:00Z"),
+        line(average="-3", modified="2025-01-05T00:00:00Z"),
+        line(average="4", modified="unknown"),
+    ]
+    folder = archives({"a.csv.gz": copies[:2], "b.csv.bz2": copies[2:]})
+    (kept,) = cleaning.clean_market(read_archives(spark, folder)).collect()
+    assert (kept.average, kept.year, kept.month) == (2.0, 2025, 1)
+
+
+def test_equal_times_fall_back_to_the_values_in_any_layout(spark, archives):
+    folder = archives({"a.csv.gz": [line(average=str(a), volume=str(9 - a)) for a in (3, 7, 5)]})
+    parsed = cleaning.parse_times(read_archives(spark, folder))
+    for partitions in (1, 2, 5):
+        (kept,) = cleaning.latest_per_key(parsed.repartition(partitions)).collect()
+        # One whole row, not a mix of columns.
+        assert (kept.average, kept.volume) == (7.0, 2)
+
+
+def test_duplicates_are_reduced_before_the_shuffle(spark):
+    """A key that holds most rows sends one row per task to the shuffle."""
+    rows = spark.range(0, 20_000, 1, 8).select(
+        F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).cast("int").alias("type_id"),
+        F.lit(1).alias("region_id"), F.lit(date(2025, 1, 1)).alias("date"), F.col("id").alias("volume"),
+    )
+    latest = cleaning.latest_per_key(rows)
+    text = latest._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in text and "Window" not in text
+    by_item = {r.type_id: r.volume for r in latest.collect()}
+    assert by_item[1] == 19_999 and len(by_item) == 6_668
+    assert cleaning.distinct_keys(rows).count() == 6_668
+
+
+def test_transform_job_writes_months_and_reruns(spark, archives, tmp_path_factory):
+    folder = archives({"a.csv.gz": [line(day="2025-01-31"), line(day="2025-02-01"), line(day="2025-02-01", average="0.5")]})
+    target = str(tmp_path_factory.mktemp("daily"))
+    pipelines.transform(spark, folder + "/*.csv.gz", target)
+    table = read_table(spark, target)
+    assert dict(table.dtypes)["year"] == "int" and dict(table.dtypes)["month"] == "int"
+    assert sorted((r.date.isoformat(), r.average, r.month) for r in table.collect()) == [
+        ("2025-01-31", 1.0, 1), ("2025-02-01", 1.0, 2)
+    ]
+    # A rerun over February alone leaves January in place, or replaces the whole table.
+    later = archives({"b.csv.bz2": [line(day="2025-02-02", average="1.5")]})
+    pipelines.transform(spark, later + "/b.csv.bz2", target, touched_only=True)
+    assert sorted(r.date.isoformat() for r in read_table(spark, target).collect()) == ["2025-01-31", "2025-02-02"]
+    pipelines.transform(spark, later + "/b.csv.bz2", target)
+    assert [r.date.isoformat() for r in read_table(spark, target).collect()] == ["2025-02-02"]
+
+
+def test_keys_are_unique_afterwards(spark, sf_dir):
+    from tradewake.model import raw_market
+
+    clean = cleaning.clean_market(raw_market(spark, sf_dir))
+    assert clean.groupBy(*KEY).count().filter("count > 1").isEmpty()

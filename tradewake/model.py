@@ -104,11 +104,9 @@ def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     row is left out) to give the cleaning rules something to reject.
     """
     order, price = F.col("l_orderkey"), F.col("l_extendedprice")
-    shipped = F.date_format("l_shipdate", DATE_FORMAT)
-    clock = F.format_string(
-        "%02d:%02d:%02d",
-        F.expr("l_orderkey div 3600 % 24"), F.expr("l_orderkey div 60 % 60"), order % 60,
-    )
+    shipped = F.col("l_shipdate").cast("date").cast("string")
+    moment = (F.col("l_shipdate") + F.make_dt_interval(secs=order % 86_400)).cast("string")
+    modified = F.concat(F.translate(moment, " ", "T"), F.lit("Z"))
     return _line_rows(spark, sf_dir).select(
         F.when(order % 97 == 0, F.lit(None)).when(order % 89 == 0, -price).otherwise(price).alias("average"),
         F.when(order % 103 == 0, F.concat(F.substring(shipped, 1, 4), F.lit("-13-01")))
@@ -117,8 +115,7 @@ def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
         price.alias("lowest"),
         F.lit(1).alias("order_count"),
         F.when(order % 79 == 0, -1).otherwise(F.col("l_quantity").cast("bigint")).alias("volume"),
-        F.when(order % 73 == 0, "never").otherwise(F.concat(shipped, F.lit("T"), clock, F.lit("Z")))
-        .alias("http_last_modified"),
+        F.when(order % 73 == 0, "never").otherwise(modified).alias("http_last_modified"),
         "region_id",
         F.when(order % 101 == 0, F.lit(None)).otherwise(F.col("type_id")).cast("int").alias("type_id"),
     )
