@@ -89,8 +89,8 @@ def test_sample_is_off_outside_the_open_interval(segmented, fraction):
 
 
 def test_largest_segments_break_ties_by_id(spark):
-    rows = spark.createDataFrame([(s,) for s in (4, 4, 2, 2, 9)], "segment_id int")
-    assert [tuple(r) for r in training.largest_segments(rows, 2).collect()] == [(2, 2), (4, 2)]
+    rows = spark.createDataFrame([(s, date(2025, 1, 1)) for s in (4, 4, 2, 2, 9)], "segment_id int, date date")
+    assert [tuple(r)[:2] for r in training.largest_segments(rows, 2).collect()] == [(2, 2), (4, 2)]
 
 
 def test_sixty_days_hold_sixty_one_dates(spark):

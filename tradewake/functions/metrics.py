@@ -1,7 +1,7 @@
 """Regression error metrics as aggregate expressions.
 
-Being plain aggregates they can be computed together, for any grouping, in one pass.
-Rows with a null or NaN label or prediction are to be dropped beforehand.
+Being plain aggregates they can be computed together, for several forecasts and any grouping, in
+one pass.
 """
 
 from __future__ import annotations
@@ -10,24 +10,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _error(label: str, prediction: str) -> Column:
-    return F.col(label) - F.col(prediction)
+def rmse(label: Column, prediction: Column) -> Column:
+    return F.sqrt(F.avg((label - prediction) ** 2))
 
 
-def rmse(label: str, prediction: str) -> Column:
-    return F.sqrt(F.avg(_error(label, prediction) ** 2))
+def mae(label: Column, prediction: Column) -> Column:
+    return F.avg(F.abs(label - prediction))
 
 
-def mae(label: str, prediction: str) -> Column:
-    return F.avg(F.abs(_error(label, prediction)))
-
-
-def r2(label: str, prediction: str) -> Column:
+def r2(label: Column, prediction: Column) -> Column:
     """1 - SSE/SST; null when the label is constant."""
-    total = F.var_pop(label) * F.count(label)
-    return 1 - F.try_divide(F.sum(_error(label, prediction) ** 2), total)
+    return 1 - F.try_divide(F.sum((label - prediction) ** 2), F.var_pop(label) * F.count(label))
 
 
 def score(label: str, prediction: str, prefix: str = "") -> list[Column]:
-    """The three metrics, named ``<prefix>rmse``, ``<prefix>mae`` and ``<prefix>r2``."""
-    return [f(label, prediction).alias(prefix + f.__name__) for f in (rmse, mae, r2)]
+    """The three metrics, named ``<prefix>rmse``, ``<prefix>mae`` and ``<prefix>r2``.
+
+    Rows whose label or prediction is null or NaN do not count.
+    """
+    y, p = F.col(label), F.col(prediction)
+    usable = y.isNotNull() & p.isNotNull() & ~F.isnan(y) & ~F.isnan(p)
+    y, p = F.when(usable, y), F.when(usable, p)
+    return [metric(y, p).alias(prefix + metric.__name__) for metric in (rmse, mae, r2)]

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import day_name, day_number, ratio, spread, year_month
 from ..model import TOP_ITEMS, TREND_ITEMS
 
-# A list of ids at most this long is broadcast without asking (an id is 4 to 8 bytes).
-_BROADCAST_IDS = 1_000_000
+# A frame of a few short columns with at most this many rows takes some megabytes in memory.
+_BROADCAST_ROWS = 50_000
 
 
 def _price() -> Column:
@@ -89,14 +89,17 @@ def coverage(daily: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
-def keep_ids(df: DataFrame, ids: DataFrame, name: str, at_most: int) -> DataFrame:
-    """Rows whose ``name`` is among ``ids``, a frame of at most that many rows.
+def bounded(df: DataFrame, rows: int | None) -> DataFrame:
+    """Mark a narrow frame for broadcast if its known bound on rows is small enough.
 
-    A semi-join instead of a list on the driver. A short list is broadcast; for a longer one Spark
-    picks the strategy from the sizes it measures.
+    Otherwise, or without a bound, Spark picks the join strategy from the sizes it measures.
     """
-    wanted = ids.select(name)
-    return df.join(F.broadcast(wanted) if at_most <= _BROADCAST_IDS else wanted, name, "left_semi")
+    return F.broadcast(df) if rows is not None and rows <= _BROADCAST_ROWS else df
+
+
+def keep_ids(df: DataFrame, ids: DataFrame, name: str, at_most: int) -> DataFrame:
+    """Rows whose ``name`` is among ``ids``, a frame of at most that many rows: a semi-join."""
+    return df.join(bounded(ids.select(name), at_most), name, "left_semi")
 
 
 def top_item_trends(daily: DataFrame, n: int = TREND_ITEMS) -> DataFrame:

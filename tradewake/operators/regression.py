@@ -13,10 +13,10 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import score
 from ..model import LABEL, REGRESSION_CATEGORIES, REGRESSION_NUMERICS, SEED, TEST_DAYS
 from ..sources.workspace import stored
 from .training import (
-    error_table,
     hash_sample,
     keep_top_items,
     largest_segments,
@@ -75,15 +75,14 @@ def training_frame(features: DataFrame, segments: DataFrame, settings: RidgeSett
     Stored partitioned by segment, so that a segment's fit reads its own rows only and every pass of
     the fit starts from columns on shared storage.
     """
-    frame = hash_sample(
+    rows = hash_sample(
         keep_top_items(with_segments(features, segments), settings.top_n_items),
         settings.sample_fraction,
         settings.seed,
     )
-    frame = stored(frame, "training-rows")
-    chosen = largest_segments(frame, settings.top_n_segments).select("segment_id")
-    kept = frame.join(F.broadcast(chosen), "segment_id", "left_semi")  # top_n_segments rows
-    return stored(time_split_by_segment(kept, settings.test_days), "training-split", partition_by="segment_id")
+    n = settings.top_n_segments
+    split = time_split_by_segment(rows, settings.test_days, largest_segments(rows, n), segments_at_most=n)
+    return stored(split, "training-rows", partition_by="segment_id")
 
 
 def fit_by_segment(
@@ -93,8 +92,8 @@ def fit_by_segment(
 
     Segments below the row floors are skipped. Each fit is a distributed MLlib job, and several run
     at once so that a small segment does not leave the cluster idle. The table has a row per segment
-    and part with the row count and the errors of the naive forecast and of the model; each side is
-    one aggregation over all segments. With ``model_dir`` the models are saved there, one folder per
+    and part with the row count and the errors of the naive forecast and of the model, from a single
+    aggregation over all segments. With ``model_dir`` the models are saved there, one folder per
     segment.
     """
     sizes = frame.groupBy("segment_id").agg(
@@ -121,16 +120,19 @@ def fit_by_segment(
             fitted = pool.map(inheritable_thread_target(frame.sparkSession)(fit), chosen)
         models = dict(zip(chosen, fitted))
 
-    rows = frame.filter(F.col("segment_id").isin(chosen))
-    predictions = [
-        models[segment].transform(of(segment)).select("segment_id", "part", LABEL, "prediction") for segment in chosen
-    ] or [rows.select("segment_id", "part", LABEL, F.lit(None).cast("double").alias("prediction"))]
-    by = ["segment_id", "part"]
+    predictions = [models[segment].transform(of(segment)) for segment in chosen] or [
+        frame.filter(F.lit(False)).withColumn("prediction", F.lit(None).cast("double"))
+    ]
+    columns = ["segment_id", "part", LABEL, "price_lag_1", "prediction"]
     report = (
-        rows.groupBy(*by).agg(F.count("*").alias("n_rows"))
-        .join(error_table(rows, "price_lag_1", "baseline_"), by)
-        .join(error_table(reduce(DataFrame.union, predictions), "prediction", "ridge_"), by)
-        .orderBy(*by)
+        reduce(DataFrame.union, [p.select(columns) for p in predictions])
+        .groupBy("segment_id", "part")
+        .agg(
+            F.count("*").alias("n_rows"),
+            *score(LABEL, "price_lag_1", "baseline_"),
+            *score(LABEL, "prediction", "ridge_"),
+        )
+        .orderBy("segment_id", "part")
     )
     return models, report
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import score
 from ..model import KEY, LABEL, REGRESSION_CATEGORIES, SEED, TEST_DAYS
-from .ranking import keep_ids
+from .ranking import bounded, keep_ids
 
 
 def with_segments(features: DataFrame, segments: DataFrame) -> DataFrame:
@@ -58,12 +58,17 @@ def hash_sample(frame: DataFrame, fraction: float, seed: int = SEED, key: tuple[
 
 
 def largest_segments(frame: DataFrame, n: int) -> DataFrame:
-    """The n segments with the most rows, ties to the smaller id."""
-    return frame.groupBy("segment_id").agg(F.count("*").alias("n_rows")).orderBy(F.desc("n_rows"), "segment_id").limit(n)
+    """The n segments with the most rows, ties to the smaller id, each with its last date."""
+    return (
+        frame.groupBy("segment_id")
+        .agg(F.count("*").alias("n_rows"), F.max("date").alias("last_date"))
+        .orderBy(F.desc("n_rows"), "segment_id")
+        .limit(n)
+    )
 
 
-def _part(cutoff: Column) -> Column:
-    return F.when(F.col("date") >= cutoff, "test").otherwise("train").alias("part")
+def _part(last_date: Column, test_days: int) -> Column:
+    return F.when(F.col("date") >= F.date_sub(last_date, test_days), "test").otherwise("train").alias("part")
 
 
 def time_split(frame: DataFrame, test_days: int = TEST_DAYS) -> DataFrame:
@@ -71,18 +76,25 @@ def time_split(frame: DataFrame, test_days: int = TEST_DAYS) -> DataFrame:
 
     The last date is a scalar subquery. Both ends count, so 60 days give 61 test dates.
     """
-    last = frame.agg(F.max("date")).scalar()
-    return frame.select("*", _part(F.date_sub(last, test_days)))
+    return frame.select("*", _part(frame.agg(F.max("date")).scalar(), test_days))
 
 
-def time_split_by_segment(frame: DataFrame, test_days: int = TEST_DAYS) -> DataFrame:
+def time_split_by_segment(
+    frame: DataFrame,
+    test_days: int = TEST_DAYS,
+    last_dates: DataFrame | None = None,
+    segments_at_most: int | None = None,
+) -> DataFrame:
     """As ``time_split``, with each segment's own last date.
 
-    The last dates are aggregated and joined back; a window over a segment would pull all of its
-    rows into one task. They are broadcast, being one row per segment (the k of the clustering).
+    The last dates are aggregated and joined back, as a window over a segment would pull all of its
+    rows into one task. ``last_dates`` (segment_id, last_date) replaces that aggregation and limits
+    the result to its segments; ``segments_at_most`` is the bound that allows a broadcast.
     """
-    cutoffs = frame.groupBy("segment_id").agg(F.date_sub(F.max("date"), test_days).alias("cutoff"))
-    return frame.join(F.broadcast(cutoffs), "segment_id").select(*(frame[c] for c in frame.columns), _part(F.col("cutoff")))
+    if last_dates is None:
+        last_dates = frame.groupBy("segment_id").agg(F.max("date").alias("last_date"))
+    cut = bounded(last_dates.select("segment_id", "last_date"), segments_at_most)
+    return frame.join(cut, "segment_id").select(*frame.columns, _part(F.col("last_date"), test_days))
 
 
 def parts(split: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,14 +103,8 @@ def parts(split: DataFrame) -> tuple[DataFrame, DataFrame]:
     return train, test
 
 
-def error_table(predictions: DataFrame, prediction: str, prefix: str = "", by: tuple[str, ...] = ("segment_id", "part")) -> DataFrame:
-    """Error metrics per group, in one pass; incomplete rows are left out."""
-    complete = predictions.select(*by, LABEL, prediction).na.drop(subset=[LABEL, prediction])
-    return complete.groupBy(*by).agg(*score(LABEL, prediction, prefix))
-
-
 def baseline_metrics(split: DataFrame) -> DataFrame:
     """Errors of the naive forecast per segment and part: the next price will be yesterday's."""
     if "price_lag_1" not in split.columns:
         raise ValueError("the naive forecast needs the column price_lag_1")
-    return error_table(split, "price_lag_1")
+    return split.groupBy("segment_id", "part").agg(*score(LABEL, "price_lag_1"))

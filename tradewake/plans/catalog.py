@@ -59,7 +59,7 @@ def _features_and_map(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     """Features, and a segment map that SQL can reproduce: items with enough rows, by id modulo 8."""
     daily = _daily(spark, sf_dir)
     by_id = segments.type_stats(daily).select("type_id", (F.col("type_id") % 8).alias("segment_id"))
-    return series.features(daily), by_id
+    return series.features(daily), stored(by_id, "segments")
 
 
 def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,7 +418,7 @@ def hash_sample(spark, sf_dir):
 @_register(_with(_SEGMENTED, """select segment_id, count(*) as n_rows from segmented
 group by segment_id order by n_rows desc, segment_id limit 5"""))
 def top_segments(spark, sf_dir):
-    return training.largest_segments(training.with_segments(*_features_and_map(spark, sf_dir)), 5)
+    return training.largest_segments(training.with_segments(*_features_and_map(spark, sf_dir)), 5).drop("last_date")
 
 
 @_register(_with(_FEATURES, f"""select {_DATE}, region_id, type_id,
@@ -432,7 +432,7 @@ def time_split(spark, sf_dir):
 from (select *, case when date >= max(date) over (partition by segment_id) - 60 then 'test' else 'train' end as part
       from segmented) group by segment_id, part"""))
 def baseline_metrics(spark, sf_dir):
-    return training.baseline_metrics(training.time_split_by_segment(_segmented(spark, sf_dir)))
+    return training.baseline_metrics(training.time_split_by_segment(_segmented(spark, sf_dir), segments_at_most=8))
 
 
 @_register(_with(_FEATURES, f""", moments as (
