@@ -1,9 +1,10 @@
-import hashlib
+import struct
 from dataclasses import replace
 from datetime import date
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -72,17 +73,27 @@ def test_sample_is_the_same_in_any_layout(segmented):
 
     first = keys(training.hash_sample(segmented, 0.2))
     assert keys(training.hash_sample(segmented.repartition(5), 0.2)) == first
-    wanted = {
-        k for k in keys(segmented)
-        if int(hashlib.md5("|".join(["42", *map(str, k)]).encode()).hexdigest()[:8], 16) < int(0.2 * 2**32)
-    }
-    assert first == wanted
     assert len(first) / segmented.count() == pytest.approx(0.2, abs=0.03)
     # A larger fraction keeps the smaller sample; another seed draws another.
     assert first < keys(training.hash_sample(segmented, 0.4))
     assert first != keys(training.hash_sample(segmented, 0.2, seed=7))
 
 
+def test_draw_equals_the_published_hash(spark):
+    """xxHash64 of each column in turn, the result so far being the seed of the next; upper half."""
+    rows = spark.createDataFrame([(date(2025, 1, 1 + i), i, 7 * i) for i in range(20)], "date date, region_id int, type_id int")
+    for row in rows.select("*", training.key_draw(9).alias("draw")).collect():
+        state = 42
+        for number in (9, (row.date - date(1970, 1, 1)).days, row.region_id, row.type_id):
+            state = xxhash.xxh64_intdigest(struct.pack("<i", number), seed=state)
+        assert row.draw == state >> 32
+
+
+def test_sample_by_another_draw(segmented):
+    even = training.hash_sample(segmented, 0.5, draw=(F.col("region_id").cast("int") % 2).cast("bigint") * 2**31)
+    assert {r.region_id for r in even.select("region_id").distinct().collect()} == {"0", "2", "4"}
+
+
 @pytest.mark.parametrize("fraction", [0.0, 1.0, -1, 2])
 def test_sample_is_off_outside_the_open_interval(segmented, fraction):
     assert training.hash_sample(segmented, fraction) is segmented
@@ -157,9 +168,8 @@ def test_fitted_ridge_equals_the_closed_form(spark):
     table = series.features(frame(spark, rows))
     seg = spark.createDataFrame([(i, 0) for i in (3, 4, 5)], "type_id int, segment_id int")
     settings = replace(SMALL, hash_slots=2**15, reg_param=5.0, max_iter=2000, test_days=20)
-    prepared = regression.training_frame(table, seg, settings)
-    models, _ = regression.fit_by_segment(prepared, settings)
-    train = prepared.filter("part = 'train'")
+    models, _ = regression.train_by_segment(table, seg, settings)
+    train, _ = training.parts(training.time_split_by_segment(training.with_segments(table, seg), 20))
     found = models[0].transform(train).select(*REGRESSION_NUMERICS, "region_id", "type_id", LABEL, "prediction").toPandas()
     numbers = found[list(REGRESSION_NUMERICS)].to_numpy(float)
     dummies = np.column_stack(

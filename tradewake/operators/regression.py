@@ -7,7 +7,7 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import FeatureHasher, StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -44,36 +44,39 @@ class RidgeSettings:
     parallel_fits: int = 5  # segments fitted at the same time
 
 
-def ridge_pipeline(settings: RidgeSettings) -> Pipeline:
-    """Numbers and hashed categories in one sparse vector, scaled by deviation only, then the fit."""
+_VECTOR = "features_raw"
+
+
+def _vectorizer(settings: RidgeSettings) -> list[Transformer]:
+    """Numbers and hashed categories in one sparse vector; nothing here is fitted."""
     numerics = [*REGRESSION_NUMERICS, *(["average"] if settings.with_current_price else [])]
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=numerics, outputCol="numeric_vec", handleInvalid="keep"),
-            FeatureHasher(
-                inputCols=list(REGRESSION_CATEGORIES), outputCol="cat_vec", numFeatures=settings.hash_slots
-            ),
-            VectorAssembler(
-                inputCols=["numeric_vec", "cat_vec"], outputCol="features_raw", handleInvalid="keep"
-            ),
-            # Centering would make the hashed part dense.
-            StandardScaler(inputCol="features_raw", outputCol="features", withMean=False, withStd=True),
-            LinearRegression(
-                labelCol=LABEL,
-                solver="l-bfgs",
-                regParam=settings.reg_param,
-                elasticNetParam=settings.elastic_net,
-                maxIter=settings.max_iter,
-            ),
-        ]
-    )
+    return [
+        VectorAssembler(inputCols=numerics, outputCol="numeric_vec", handleInvalid="keep"),
+        FeatureHasher(inputCols=list(REGRESSION_CATEGORIES), outputCol="cat_vec", numFeatures=settings.hash_slots),
+        VectorAssembler(inputCols=["numeric_vec", "cat_vec"], outputCol=_VECTOR, handleInvalid="keep"),
+    ]
+
+
+def _estimators(settings: RidgeSettings) -> list[Estimator]:
+    """Scaling by deviation only, as centering would make the hashed part dense, and the regression."""
+    return [
+        StandardScaler(inputCol=_VECTOR, outputCol="features", withMean=False, withStd=True),
+        LinearRegression(
+            labelCol=LABEL,
+            solver="l-bfgs",
+            regParam=settings.reg_param,
+            elasticNetParam=settings.elastic_net,
+            maxIter=settings.max_iter,
+        ),
+    ]
 
 
 def training_frame(features: DataFrame, segments: DataFrame, settings: RidgeSettings) -> DataFrame:
-    """Segmented rows of the top items, sampled, cut to the largest segments, split by time.
+    """Segmented rows of the top items, sampled, cut to the largest segments, split by time, as vectors.
 
-    Stored partitioned by segment, so that a segment's fit reads its own rows only and every pass of
-    the fit starts from columns on shared storage.
+    Stored partitioned by segment: a segment's fit reads its own rows only, and its passes start from
+    finished vectors on shared storage. The names of the vector's slots, one per hash slot, are
+    dropped; they would otherwise travel with every task of every iteration.
     """
     rows = hash_sample(
         keep_top_items(with_segments(features, segments), settings.top_n_items),
@@ -82,7 +85,10 @@ def training_frame(features: DataFrame, segments: DataFrame, settings: RidgeSett
     )
     n = settings.top_n_segments
     split = time_split_by_segment(rows, settings.test_days, largest_segments(rows, n), segments_at_most=n)
-    return stored(split, "training-rows", partition_by="segment_id")
+    vectors = PipelineModel(_vectorizer(settings)).transform(split).withMetadata(_VECTOR, {})
+    return stored(
+        vectors.select("segment_id", "part", LABEL, "price_lag_1", _VECTOR), "training-rows", partition_by="segment_id"
+    )
 
 
 def fit_by_segment(
@@ -91,10 +97,10 @@ def fit_by_segment(
     """Fit one model per segment of a training frame; returns the models and their error table.
 
     Segments below the row floors are skipped. Each fit is a distributed MLlib job, and several run
-    at once so that a small segment does not leave the cluster idle. The table has a row per segment
-    and part with the row count and the errors of the naive forecast and of the model, from a single
-    aggregation over all segments. With ``model_dir`` the models are saved there, one folder per
-    segment.
+    at once so that a small segment does not leave the cluster idle. A model takes rows of the feature
+    table joined with the segment map. The table has a row per segment and part with the row count and
+    the errors of the naive forecast and of the model, from a single aggregation over all segments.
+    With ``model_dir`` the models are saved there, one folder per segment.
     """
     sizes = frame.groupBy("segment_id").agg(
         F.count_if(F.col("part") == "train").alias("train"), F.count_if(F.col("part") == "test").alias("test")
@@ -103,24 +109,23 @@ def fit_by_segment(
         (F.col("train") >= settings.min_rows_train) & (F.col("test") >= settings.min_rows_test)
     )
     chosen = sorted(row.segment_id for row in large.collect())  # at most top_n_segments ids
-    pipeline = ridge_pipeline(settings)
+    estimators = Pipeline(stages=_estimators(settings))
 
     def of(segment: int) -> DataFrame:
         return frame.filter(F.col("segment_id") == segment)
 
-    def fit(segment: int) -> PipelineModel:
-        model = pipeline.fit(of(segment).filter(F.col("part") == "train"))
+    def fit(segment: int) -> tuple[PipelineModel, DataFrame]:
+        fitted = estimators.fit(of(segment).filter(F.col("part") == "train"))
+        model = PipelineModel([*_vectorizer(settings), *fitted.stages])
         if model_dir is not None:
             model.write().overwrite().save(f"{model_dir.rstrip('/')}/segment_id={segment}")
-        return model
+        return model, fitted.transform(of(segment))
 
-    models: dict[int, PipelineModel] = {}
+    fits: list[tuple[PipelineModel, DataFrame]] = []
     if chosen:
         with ThreadPool(min(settings.parallel_fits, len(chosen))) as pool:
-            fitted = pool.map(inheritable_thread_target(frame.sparkSession)(fit), chosen)
-        models = dict(zip(chosen, fitted))
-
-    predictions = [models[segment].transform(of(segment)) for segment in chosen] or [
+            fits = pool.map(inheritable_thread_target(frame.sparkSession)(fit), chosen)
+    predictions = [scored for _, scored in fits] or [
         frame.filter(F.lit(False)).withColumn("prediction", F.lit(None).cast("double"))
     ]
     columns = ["segment_id", "part", LABEL, "price_lag_1", "prediction"]
@@ -134,7 +139,7 @@ def fit_by_segment(
         )
         .orderBy("segment_id", "part")
     )
-    return models, report
+    return {segment: model for segment, (model, _) in zip(chosen, fits)}, report
 
 
 def train_by_segment(

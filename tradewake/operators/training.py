@@ -44,17 +44,21 @@ def keep_top_items(frame: DataFrame, n: int) -> DataFrame:
     return keep_ids(frame, largest, "type_id", n)
 
 
-def hash_sample(frame: DataFrame, fraction: float, seed: int = SEED, key: tuple[str, ...] = KEY) -> DataFrame:
-    """Each row with probability ``fraction``, decided by a hash of its key and the seed.
+def key_draw(seed: int = SEED, key: tuple[str, ...] = KEY) -> Column:
+    """A number in [0, 2**32) that depends on the row's key and the seed only."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *key), 32)
 
-    Unlike ``sample`` it picks the same rows under any partitioning, and in any engine with md5.
+
+def hash_sample(frame: DataFrame, fraction: float, seed: int = SEED, draw: Column | None = None) -> DataFrame:
+    """Each row with probability ``fraction``, decided by a draw from its key.
+
+    Unlike ``sample`` it picks the same rows under any partitioning. Another ``draw``, uniform in
+    [0, 2**32), can stand in for the default, for instance one that other engines can compute too.
     A fraction outside (0, 1) means no sampling.
     """
     if not 0 < fraction < 1:
         return frame
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(c).cast("string") for c in key)))
-    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    return frame.filter(draw < F.lit(int(fraction * 2**32)))
+    return frame.filter((key_draw(seed) if draw is None else draw) < F.lit(int(fraction * 2**32)))
 
 
 def largest_segments(frame: DataFrame, n: int) -> DataFrame:

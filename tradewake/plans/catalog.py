@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import year_month
-from ..model import REGRESSION_CATEGORIES, market, raw_market
+from ..model import KEY, REGRESSION_CATEGORIES, market, raw_market
 from ..operators import cleaning, profiling, ranking, segments, series, training
 from ..operators.regression import RidgeSettings, fit_univariate, train_by_segment
 from ..operators.slicing import series_slice
@@ -369,23 +369,23 @@ def features(spark, sf_dir):
 
 @_register(_with(_MARKET + _STATS, f"select {_STATS_COLUMNS} from stats"))
 def type_stats(spark, sf_dir):
-    return segments.type_stats(market(spark, sf_dir))
+    return segments.type_stats(_daily(spark, sf_dir))
 
 
 @_register(_with(_MARKET + _LOGS.format(spread="cast(0 as double)"), f"select {_STATS_COLUMNS} from stats"))
 def type_stats_nospread(spark, sf_dir):
     """From a table without highest and lowest."""
-    return segments.type_stats(market(spark, sf_dir).drop("highest", "lowest"))
+    return segments.type_stats(_daily(spark, sf_dir).drop("highest", "lowest"))
 
 
 @_register(_with(_MARKET + _STATS, f"select type_id, {', '.join(map(_zscore_sql, segments.SEGMENT_INPUTS))} from stats"))
 def zscore_stats(spark, sf_dir):
-    return segments.zscores(stored(segments.type_stats(market(spark, sf_dir)), "type-stats"))
+    return segments.zscores(stored(segments.type_stats(_daily(spark, sf_dir)), "type-stats"))
 
 
 @_register()
 def kmeans_segments(spark, sf_dir):
-    _, labelled = segments.fit_segments(segments.type_stats(market(spark, sf_dir)))
+    _, labelled = segments.fit_segments(segments.type_stats(_daily(spark, sf_dir)))
     return labelled
 
 
@@ -412,7 +412,10 @@ def top_n_filter(spark, sf_dir):
 where cast('0x' || left(md5(concat_ws('|', '42', cast(date as varchar), cast(region_id as varchar),
   cast(type_id as varchar))), 8) as bigint) < {int(_FRACTION * 2**32)}"""))
 def hash_sample(spark, sf_dir):
-    return training.hash_sample(market(spark, sf_dir), _FRACTION)
+    """With a draw from md5, which both engines have, in place of Spark's own hash."""
+    digest = F.md5(F.concat_ws("|", F.lit("42"), *(F.col(c).cast("string") for c in KEY)))
+    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return training.hash_sample(market(spark, sf_dir), _FRACTION, draw=draw)
 
 
 @_register(_with(_SEGMENTED, """select segment_id, count(*) as n_rows from segmented
