@@ -2,9 +2,9 @@
 
 from .archives import read_archives
 from .tables import between_dates, read_table, write_by_month, write_table
-from .workspace import scratch_path, stored
+from .workspace import release, scratch_path, stored, workspace
 
 __all__ = [
     "read_archives", "between_dates", "read_table", "write_by_month", "write_table",
-    "scratch_path", "stored",
+    "release", "scratch_path", "stored", "workspace",
 ]

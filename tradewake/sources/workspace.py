@@ -3,33 +3,80 @@
 A frame that is used several times (by an iterative fit, or for both a ranking and the rows it
 selects) is written once and read back. Unlike a cached frame it survives the loss of executors,
 and unlike a checkpoint it keeps column pruning, filter pushdown and size statistics.
+
+What a job writes lies under one folder. ``workspace`` opens such a folder for a block of code and
+deletes it afterwards; outside a block the tables lie in a folder of the application, which
+``release`` deletes once the frames read from it are no longer needed. Files are deleted through the
+Hadoop file system of the path, so a shared store works as well as a disk.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_open_folder: ContextVar[str | None] = ContextVar("open_folder", default=None)
+
+
+@cache
+def _own_folder() -> str:
+    """For single-machine sessions without the setting, as in tests."""
+    return tempfile.mkdtemp(prefix="tradewake-")
 
 
 def _shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if folder:
-        return folder
+        return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    # A single-machine session without the setting, as in tests.
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tradewake-"))
-    return context.getCheckpointDir()
+    return _own_folder()
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{_shared_dir(spark)}/tradewake/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """A folder for the tables stored inside the block; it is deleted at the end, also after an error.
+
+    Frames read from it must have been used up by then. A block inside another one shares its folder.
+    """
+    outer = _open_folder.get()
+    if outer is not None:
+        yield outer
+        return
+    folder = f"{_application_folder(spark)}/{uuid.uuid4().hex}"
+    token = _open_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _open_folder.reset(token)
+        _delete(spark, folder)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application has stored; frames read from it end here."""
+    _delete(spark, _application_folder(spark))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder; nothing exists there yet."""
-    return f"{_shared_dir(spark).rstrip('/')}/tradewake/{label}-{uuid.uuid4().hex}"
+    return f"{_open_folder.get() or _application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
