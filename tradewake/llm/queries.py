@@ -1,50 +1,225 @@
-"""The registered queries of the operators on training data."""
+"""The registered queries of the operators on training data, each over a whole table, and their SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, packing, simhash, token_counts
+from . import (
+    decontamination,
+    embeddings,
+    language,
+    packing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    token_counts,
+    urls,
+)
+from .common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+PII_KEY = corpus_pipeline.PII_KEY
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents")
+
+
 def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"))
+    return packing.pack(_documents(spark, sf_dir))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classes = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    classes = simhash.near_duplicates(_documents(spark, sf_dir))
     return classes.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """The pages with a time of fetch, which the table lacks: within a year by the id."""
+    hours = (F.col("page_id") % 365 * 24 + F.col("page_id") % 24).cast("int")
+    return pages.select(
+        "page_id", "url", (F.lit("2024-01-01").cast("timestamp") + F.make_interval(hours=hours)).alias("fetched_at")
+    )
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Three lists over the hosts, domains and first path segments that occur in the pages, dated by a digest."""
+    parts = pages.select(urls.host_of(F.col("url")).alias("host"), urls.path_of(F.col("url")).alias("path")).filter(
+        F.col("host").isNotNull()
+    )
+    segment = F.split_part(F.lower(F.col("path")), F.lit("/"), F.lit(2))
+    patterns = (
+        parts.select(F.lit("hosts").alias("list"), F.col("host").alias("pattern"))
+        .union(parts.select(F.lit("domains"), F.regexp_replace("host", r"^[^.]*\.", "")))
+        .union(parts.filter(segment != "").select(F.lit("paths"), F.concat("host", F.lit("/"), segment)))
+        .distinct()
+    )
+    digest = F.md5(F.concat_ws(" ", "list", "pattern").cast("binary"))
+    code = lambda i: F.ascii(F.substring(digest, i, 1))
+    first = (code(1) * code(2) + code(3)) % 300
+    event = lambda days, action: F.struct(
+        (F.lit("2024-01-01").cast("timestamp") + F.make_interval(days=days.cast("int"))).alias("listed_at"),
+        action.alias("action"),
+    )
+    events = F.array(
+        event(first, F.when(code(4) % 2 == 0, urls.BLOCK).otherwise(urls.ALLOW)),
+        event(first + 60, F.lit(urls.REMOVE)),
+        event(first + 90 + code(5) % 7, F.when(code(6) % 3 == 0, urls.ALLOW).otherwise(urls.BLOCK)),
+    )
+    return patterns.filter(code(7) % 3 == 0).select("list", "pattern", F.inline(events))
+
+
+def op4_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = urls.verdicts(captures(pages), list_entries(pages))
+    return found.withColumn("valid_from", F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss"))
+
+
+_OP4_SQL = r"""
+with pages_of as (
+  select page_id, url, timestamp '2024-01-01' + to_hours((page_id % 365) * 24 + page_id % 24) as fetched_at,
+         nullif(regexp_replace(lower(regexp_replace(regexp_replace(
+           regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), '(:[0-9]*)?$', '')), '\.$', ''), '')
+           as host,
+         coalesce(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ''), '/') as path
+  from pages
+), patterns as (
+  select 'hosts' as list, host as pattern from pages_of where host is not null
+  union select 'domains', regexp_replace(host, '^[^.]*\.', '') from pages_of where host is not null
+  union select 'paths', host || '/' || split_part(lower(path), '/', 2) from pages_of
+        where host is not null and split_part(lower(path), '/', 2) <> ''
+), dated as (
+  select *, md5(list || ' ' || pattern) as d from patterns
+), coded as (
+  select list, pattern, ascii(substr(d, 1, 1)) * ascii(substr(d, 2, 1)) + ascii(substr(d, 3, 1)) as c,
+         ascii(substr(d, 4, 1)) as c4, ascii(substr(d, 5, 1)) as c5, ascii(substr(d, 6, 1)) as c6
+  from dated where ascii(substr(d, 7, 1)) % 3 = 0
+), events as (
+  select list, pattern, timestamp '2024-01-01' + to_days((c % 300)::int) as at,
+         case when c4 % 2 = 0 then 'block' else 'allow' end as action from coded
+  union all select list, pattern, timestamp '2024-01-01' + to_days((c % 300 + 60)::int), 'remove' from coded
+  union all select list, pattern, timestamp '2024-01-01' + to_days((c % 300 + 90 + c5 % 7)::int),
+         case when c6 % 3 = 0 then 'allow' else 'block' end from coded
+), intervals as (
+  select * from (select *, lead(at) over (partition by list, pattern order by at) as until from events)
+  where action <> 'remove'
+), labelled as (
+  select *, string_split(host, '.') as labels,
+         list_filter(string_split(lower(path), '/'), lambda x: x <> '') as parts
+  from pages_of where host is not null
+), domains as (
+  select page_id, fetched_at, host, parts, labels, unnest(range(greatest(len(labels) - 8, 0), len(labels))) as i
+  from labelled
+), keys as (
+  select page_id, fetched_at, array_to_string(labels[i + 1:], '.') as domain, len(labels) - i as depth, parts,
+         unnest(range(0, least(len(parts), 4) + 1)) as n
+  from domains
+), asked as (
+  select page_id, fetched_at, depth * 16 + n as specific,
+         domain || case when n = 0 then '' else '/' || array_to_string(parts[1:n], '/') end as key
+  from keys
+), best as (
+  select page_id, list, pattern, action, at,
+         row_number() over (partition by page_id order by specific desc, (action <> 'block'), at desc, list, pattern) as r
+  from asked join intervals on key = pattern and fetched_at >= at and (until is null or fetched_at < until)
+)
+select page_id, host, coalesce(action, 'none') as verdict, list, pattern, strftime(at, '%Y-%m-%d %H:%M:%S') as valid_from
+from pages_of left join (select * from best where r = 1) using (page_id)
+"""
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    remainder = fold("doc_id", 3)
+    model = language.fit_by_fold(docs, remainder != 1)
+    found = language.with_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.measured(_documents(spark, sf_dir))
+    model = quality.fit_by_labels(rows, _table(spark, sf_dir, "labels"), fold("id", 5) != 0)
+    return quality.with_score(rows, model).select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(fold("id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = sharding.interleaved(_documents(spark, sf_dir))
+    return shards.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "source",
+    )
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return pii.pseudonyms(docs, PII_KEY)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
     return token_counts.token_counts(docs).drop("text")
 
 
+_OP1_SQL = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+), ok as (
+  select * from v where label is not null and e is not null
+    and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from ok a join ok b
+  on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.93
+), reach as (
+  select vec_id, vec_id as other from v union select reach.vec_id, links.b from reach join links on reach.other = links.a
+), component as (select vec_id, min(other) as component_id from reach group by vec_id)
+select v.vec_id, (select count(*) from links where a = v.vec_id) as n_links, component_id, v.vec_id = component_id as kept
+from v join component using (vec_id)
+"""
+
 _QUERIES: dict[str, Query] = {
     "op1_embeddings": op1_embeddings,
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
+    "op4_url_lists": op4_url_lists,
+    "op5_language": op5_language,
+    "op6_quality": op6_quality,
+    "op7_sharding": op7_sharding,
+    "op8_decontamination": op8_decontamination,
+    "op9_pii": op9_pii,
     "op10_token_counts": op10_token_counts,
+    "pipeline": corpus_pipeline.run,
 }
 
+_SQL = {"op1_embeddings": _OP1_SQL, "op4_url_lists": _OP4_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+
 
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL by query; the others are compared with plain versions in the tests."""
+    return {name: sql for name, sql in _SQL.items() if sql is not None}

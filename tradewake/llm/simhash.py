@@ -175,6 +175,28 @@ def near_duplicates(
     return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def one_of_each_class(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS
+) -> DataFrame:
+    """The documents without near-duplicates: of each class the one with the smallest id stays, with all its columns.
+
+    An id is a key: of several rows with the id that stays, one does. Rows with a null id cannot be named and all stay.
+    Only ids are moved to find what goes; the documents themselves are joined with the ids that go.
+    """
+    classes = near_duplicates(docs.select(id_col, text_col), id_col, text_col, max_bits)
+    ids = stored(
+        classes.filter(F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("_id"))
+        .agg(F.max(F.col(id_col) == F.col("component_id")).alias("_stays"), F.count("*").alias("_rows")),
+        "class-decisions",
+    )
+    gone = ids.filter(~F.col("_stays")).select("_id")
+    repeated = ids.filter(F.col("_stays") & (F.col("_rows") > 1)).select("_id")
+    same = F.col(id_col) == F.col("_id")
+    single = docs.join(gone.union(repeated), same, "left_anti")
+    return single.union(docs.join(repeated, same, "left_semi").dropDuplicates([id_col]))
+
+
 def hex_digits(fp: Column) -> Column:
     """A fingerprint as 16 lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
