@@ -109,13 +109,13 @@ with pages_of as (
          ascii(substr(d, 4, 1)) as c4, ascii(substr(d, 5, 1)) as c5, ascii(substr(d, 6, 1)) as c6
   from dated where ascii(substr(d, 7, 1)) % 3 = 0
 ), events as (
-  select list, pattern, timestamp '2024-01-01' + to_days((c % 300)::int) as at,
+  select list, pattern, timestamp '2024-01-01' + to_days((c % 300)::int) as listed_at,
          case when c4 % 2 = 0 then 'block' else 'allow' end as action from coded
   union all select list, pattern, timestamp '2024-01-01' + to_days((c % 300 + 60)::int), 'remove' from coded
   union all select list, pattern, timestamp '2024-01-01' + to_days((c % 300 + 90 + c5 % 7)::int),
          case when c6 % 3 = 0 then 'allow' else 'block' end from coded
 ), intervals as (
-  select * from (select *, lead(at) over (partition by list, pattern order by at) as until from events)
+  select * from (select *, lead(listed_at) over (partition by list, pattern order by listed_at) as until from events)
   where action <> 'remove'
 ), labelled as (
   select *, string_split(host, '.') as labels,
@@ -133,11 +133,11 @@ with pages_of as (
          domain || case when n = 0 then '' else '/' || array_to_string(parts[1:n], '/') end as key
   from keys
 ), best as (
-  select page_id, list, pattern, action, at,
-         row_number() over (partition by page_id order by specific desc, (action <> 'block'), at desc, list, pattern) as r
-  from asked join intervals on key = pattern and fetched_at >= at and (until is null or fetched_at < until)
+  select page_id, list, pattern, action, listed_at,
+         row_number() over (partition by page_id order by specific desc, (action <> 'block'), listed_at desc, list, pattern) as r
+  from asked join intervals on key = pattern and fetched_at >= listed_at and (until is null or fetched_at < until)
 )
-select page_id, host, coalesce(action, 'none') as verdict, list, pattern, strftime(at, '%Y-%m-%d %H:%M:%S') as valid_from
+select page_id, host, coalesce(action, 'none') as verdict, list, pattern, strftime(listed_at, '%Y-%m-%d %H:%M:%S') as valid_from
 from pages_of left join (select * from best where r = 1) using (page_id)
 """
 
