@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from tradewake.plans import catalog
 
 from .compare import connect, differences
 
@@ -16,14 +17,15 @@ def connection(sf_dir):
 
 
 def test_only_the_fits_lack_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
-    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == WITHOUT_SQL
+    assert set(catalog.oracle_sql()) <= set(catalog.queries())
+    assert set(catalog.queries()) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_equals_sql(name, spark, sf_dir, connection):
-    found = contract.queries()[name](spark, sf_dir)
-    assert differences(found, connection, contract.oracle_sql()[name]) == []
+    found = catalog.queries()[name](spark, sf_dir)
+    assert differences(found, connection, catalog.oracle_sql()[name]) == []
 
 
 def test_entry_has_rows_and_stable_schema(spark):

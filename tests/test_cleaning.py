@@ -136,3 +136,20 @@ def test_keys_are_unique_afterwards(spark, sf_dir):
 
     clean = cleaning.clean_market(raw_market(spark, sf_dir))
     assert clean.groupBy(*KEY).count().filter("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_without_a_zone_are_in_utc(spark, zone):
+    texts = {
+        "2025-01-01T00:00:00Z": 1735689600, "2025-01-01T00:00:00": 1735689600, "2025-01-01 00:00": 1735689600,
+        "2025-01-01": 1735689600, "2025-01-01T02:00:00+02:00": 1735689600, "2025-01-01 00:00:00.5": 1735689600,
+        "2024-12-31T19:00:00 America/New_York": 1735689600, "never": None, "": None,
+    }
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(t,) for t in texts], "http_last_modified string").withColumn("date", F.lit("2025-01-01"))
+        parsed = cleaning.parse_times(rows).select(F.unix_timestamp("http_last_modified").alias("s")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.s for r in parsed] == list(texts.values())

@@ -7,9 +7,9 @@ from tradewake.functions import median
 from tradewake.operators import profiling, ranking
 from tradewake.operators.slicing import series_slice
 from tradewake.plans import pipelines
-from tradewake.sources import between_dates, read_table, write_by_month
+from tradewake.sources import between_dates, read_table, write_by_month, write_table
 
-from .helpers import DAILY, daily_rows, day, frame, plan
+from .helpers import DAILY, daily_rows, day, frame, plan, scans
 
 
 def test_overview_of_nothing(spark):
@@ -65,10 +65,15 @@ def test_volatility_without_mean_or_deviation_sorts_last(spark):
     assert found[1].cov is None and found[2].cov is None
 
 
-def test_volume_beyond_bigint_is_null_not_an_error(spark):
+def test_volume_beyond_bigint_is_null_and_ranks_first(spark):
     huge = 2**62
-    rows = daily_rows([1, 1, 1], volumes=[huge, huge, huge])
-    assert ranking.top_regions(frame(spark, rows)).first().total_volume is None
+    rows = daily_rows([1, 1, 1], item=1, region=1, volumes=[huge] * 3)
+    rows += daily_rows([1, 2, 3], item=2, region=2, volumes=[5, 5, 5])
+    daily = frame(spark, rows)
+    assert [(r.type_id, r.total_volume) for r in ranking.top_items(daily).collect()] == [(1, None), (2, 15)]
+    assert [(r.region_id, r.total_volume) for r in ranking.top_regions(daily).collect()] == [(1, None), (2, 15)]
+    assert {r.type_id for r in ranking.top_item_trends(daily, 1).collect()} == {1}
+    assert {r.sum_volume for r in ranking.monthly_seasonality(daily).collect()} == {None}
 
 
 def test_monthly_uses_or_derives_the_month(spark, daily):
@@ -140,9 +145,30 @@ def test_scans_read_needed_columns_only(spark, daily):
 
 def test_all_reports_run(daily, capsys):
     reports = pipelines.analyze(daily)
-    assert len(reports) == 12
-    pipelines.show_reports({name: reports[name] for name in ("overview", "coverage")}, 3)
-    assert "n_regions" in capsys.readouterr().out
+    assert len(reports) == 13
+    pipelines.show_reports({name: reports[name] for name in ("schema", "overview", "coverage")}, 8)
+    printed = capsys.readouterr().out
+    assert "n_regions" in printed and "order_count" in printed and "only showing top 8 rows" in printed
+
+
+def test_reports_share_passes_and_equal_the_single_ones(spark, daily, tmp_path, monkeypatch):
+    write_table(daily, str(tmp_path / "daily"))
+    source = spark.read.parquet(str(tmp_path / "daily"))
+    seen = []
+    keep = pipelines.stored
+    monkeypatch.setattr(pipelines, "stored", lambda df, *a: seen.append(scans(df, "daily")) or keep(df, *a))
+    reports = pipelines.analyze(source)
+    assert sum(seen) + sum(scans(report, str(tmp_path)) for report in reports.values()) <= 7
+    for name, report in reports.items():
+        if name != "schema":
+            single = getattr(profiling if hasattr(profiling, name) else ranking, name)(source)
+            assert report.columns == single.columns
+            for a, b in zip(report.collect(), single.collect(), strict=True):
+                assert all(x == pytest.approx(y, rel=1e-9) if isinstance(x, float) else x == y for x, y in zip(a, b))
+
+
+def test_empty_text_is_an_open_end(daily):
+    assert between_dates(daily, "", "").count() == daily.count()
 
 
 def test_declared_schema_of_helpers_matches_the_view(daily):

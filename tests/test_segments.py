@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tradewake.model import SEGMENT_INPUTS
@@ -7,7 +8,7 @@ from tradewake.operators import segments
 from tradewake.plans import pipelines
 from tradewake.sources import read_table, write_table
 
-from .helpers import daily_rows, frame
+from .helpers import daily_rows, folder_of_jobs, frame
 
 
 @pytest.fixture(scope="module")
@@ -49,7 +50,7 @@ def test_every_item_is_in_the_segment_of_its_nearest_centroid(stats):
     assert set(items.segment_id) <= set(range(k))
 
     scores = segments.zscores(stats).toPandas().set_index("type_id").loc[items.index]
-    centers = np.array(sorted(map(tuple, model.stages[-1].clusterCenters())))
+    centers = np.array(segments.centers_of(model))
     distance = ((scores.to_numpy()[:, None, :] - centers[None]) ** 2).sum(axis=2)
     assert (distance.argmin(axis=1) == items.segment_id).all()
     # A fixed point of the iteration: each centroid is the mean of its items.
@@ -77,6 +78,18 @@ def test_well_separated_groups_are_found(spark):
     assert found == {item: item % 3 for item in range(12)}
 
 
+def test_model_gives_the_labels_of_the_map(stats, tmp_path):
+    model, labelled = segments.fit_segments(stats, 4)
+    model.write().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model")).transform(stats)
+    assert {r.type_id: r.segment_id for r in again.collect()} == {r.type_id: r.segment_id for r in labelled.collect()}
+
+
+def test_no_items_is_a_clear_error(stats):
+    with pytest.raises(ValueError, match="no items"):
+        segments.fit_segments(stats.filter("false"))
+
+
 def test_segment_job(spark, daily, tmp_path):
     source, target = str(tmp_path / "daily"), str(tmp_path / "segments")
     write_table(daily, source)
@@ -84,3 +97,4 @@ def test_segment_job(spark, daily, tmp_path):
     table = read_table(spark, target)
     assert table.columns == ["type_id", "segment_id", *SEGMENT_INPUTS, "n_rows"]
     assert table.count() == segments.type_stats(daily).count()
+    assert not folder_of_jobs(spark)

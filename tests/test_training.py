@@ -1,10 +1,9 @@
-import struct
+import hashlib
 from dataclasses import replace
 from datetime import date
 
 import numpy as np
 import pytest
-import xxhash
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -14,7 +13,7 @@ from tradewake.operators import regression, series, training
 from tradewake.plans import pipelines
 from tradewake.sources import stored, write_table
 
-from .helpers import daily_rows, frame, plan
+from .helpers import daily_rows, folder_of_jobs, frame, parts, plan, scans
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +33,7 @@ def segmented(table, by_parity):
     return stored(training.with_segments(table, by_parity), "test-segmented")
 
 
-SMALL = regression.RidgeSettings(sample_fraction=1.0, min_rows_train=100, min_rows_test=10, hash_slots=64)
+SMALL = regression.RidgeSettings(min_rows_train=100, min_rows_test=10, hash_slots=64)
 
 
 def test_join_drops_items_without_segment_and_makes_ids_text(table, segmented):
@@ -79,19 +78,25 @@ def test_sample_is_the_same_in_any_layout(segmented):
     assert first != keys(training.hash_sample(segmented, 0.2, seed=7))
 
 
-def test_draw_equals_the_published_hash(spark):
-    """xxHash64 of each column in turn, the result so far being the seed of the next; upper half."""
+def test_draw_is_taken_from_the_digest_of_the_key(spark):
     rows = spark.createDataFrame([(date(2025, 1, 1 + i), i, 7 * i) for i in range(20)], "date date, region_id int, type_id int")
     for row in rows.select("*", training.key_draw(9).alias("draw")).collect():
-        state = 42
-        for number in (9, (row.date - date(1970, 1, 1)).days, row.region_id, row.type_id):
-            state = xxhash.xxh64_intdigest(struct.pack("<i", number), seed=state)
-        assert row.draw == state >> 32
+        text = f"9|{row.date.isoformat()}|{row.region_id}|{row.type_id}"
+        assert row.draw == int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
 
 
-def test_sample_by_another_draw(segmented):
-    even = training.hash_sample(segmented, 0.5, draw=(F.col("region_id").cast("int") % 2).cast("bigint") * 2**31)
-    assert {r.region_id for r in even.select("region_id").distinct().collect()} == {"0", "2", "4"}
+def test_sample_does_not_depend_on_the_type_of_the_ids(table):
+    as_text = table.withColumns({name: F.col(name).cast("string") for name in ("region_id", "type_id")})
+    numbers, texts = (
+        {tuple(map(str, r)) for r in training.hash_sample(x, 0.5).select("date", "region_id", "type_id").collect()}
+        for x in (table, as_text)
+    )
+    assert numbers == texts and 0 < len(numbers) < table.count()
+
+
+def test_volumes_beyond_a_bigint_rank_first(spark):
+    rows = spark.createDataFrame([(1, 5)] + [(2, 2**62)] * 3 + [(3, 7)], "type_id int, volume_lag_1 bigint")
+    assert {r.type_id for r in training.keep_top_items(rows, 1).collect()} == {2}
 
 
 @pytest.mark.parametrize("fraction", [0.0, 1.0, -1, 2])
@@ -106,7 +111,7 @@ def test_largest_segments_break_ties_by_id(spark):
 
 def test_sixty_days_hold_sixty_one_dates(spark):
     days = spark.sql("select explode(sequence(date'2025-01-01', date'2025-12-31')) as date")
-    train, test = training.parts(training.time_split(days))
+    train, test = parts(training.time_split(days))
     assert test.agg(F.min("date"), F.count("*")).first() == (date(2025, 11, 1), 61)
     assert train.agg(F.max("date"), F.count("*")).first() == (date(2025, 10, 31), 304)
 
@@ -169,7 +174,7 @@ def test_fitted_ridge_equals_the_closed_form(spark):
     seg = spark.createDataFrame([(i, 0) for i in (3, 4, 5)], "type_id int, segment_id int")
     settings = replace(SMALL, hash_slots=2**15, reg_param=5.0, max_iter=2000, test_days=20)
     models, _ = regression.train_by_segment(table, seg, settings)
-    train, _ = training.parts(training.time_split_by_segment(training.with_segments(table, seg), 20))
+    train, _ = parts(training.time_split_by_segment(training.with_segments(table, seg), 20))
     found = models[0].transform(train).select(*REGRESSION_NUMERICS, "region_id", "type_id", LABEL, "prediction").toPandas()
     numbers = found[list(REGRESSION_NUMERICS)].to_numpy(float)
     dummies = np.column_stack(
@@ -197,16 +202,52 @@ def test_training_report_models_and_reload(spark, table, by_parity, tmp_path):
         ]
 
 
-def test_small_segments_are_skipped(table, by_parity):
+def test_every_segment_is_reported(table, by_parity):
     models, report = regression.train_by_segment(table, by_parity, replace(SMALL, min_rows_test=10**6))
-    assert models == {} and report.isEmpty()
-    assert {"segment_id", "part", "n_rows", "baseline_rmse", "ridge_rmse"} <= set(report.columns)
+    rows = report.collect()
+    assert models == {} and {(r.segment_id, r.part) for r in rows} == {(s, p) for s in (0, 1) for p in ("train", "test")}
+    assert {r.status for r in rows} == {regression.TOO_FEW}
+    assert all(r.n_rows > 0 and r.n_predicted == 0 and r.baseline_rmse is not None and r.ridge_rmse is None for r in rows)
 
 
 def test_only_the_largest_segments_are_trained(table, by_parity):
-    frame_ = regression.training_frame(table, by_parity, replace(SMALL, top_n_segments=1))
-    assert frame_.select("segment_id").distinct().count() == 1
+    frame_ = regression.training_frame(table, by_parity, SMALL)
     assert "PartitionFilters: [isnotnull(segment_id" in plan(frame_.filter("segment_id = 0"))
+    models, report = regression.fit_by_segment(frame_, replace(SMALL, top_n_segments=1))
+    status = {r.segment_id: r.status for r in report.collect()}
+    assert len(models) == 1 and sorted(status.values()) == [regression.NOT_AMONG_LARGEST, regression.TRAINED]
+    assert status[next(iter(models))] == regression.TRAINED
+
+
+def test_defaults_cut_nothing(table, by_parity):
+    rows = training.with_segments(table, by_parity).count()
+    _, report = regression.train_by_segment(table, by_parity, regression.RidgeSettings(hash_slots=64))
+    found = report.collect()
+    assert sum(r.n_rows for r in found) == rows and {r.status for r in found} == {regression.TRAINED}
+
+
+def test_only_train_rows_are_sampled(table, by_parity):
+    whole, thin = (
+        {r.part: r["count"] for r in regression.training_frame(table, by_parity, s).groupBy("part").count().collect()}
+        for s in (SMALL, replace(SMALL, sample_fraction=0.3))
+    )
+    assert thin["test"] == whole["test"] and thin["train"] < 0.4 * whole["train"]
+
+
+def test_null_filters_reach_the_scan(spark, table, by_parity):
+    pushed = [line for line in plan(training.with_segments(table, by_parity)).split("\n") if "PushedFilters" in line]
+    assert any(all(f"IsNotNull({name})" in line for name in ("date", "region_id", "type_id", LABEL)) for line in pushed)
+
+
+def test_features_are_read_once_or_twice(spark, table, by_parity, tmp_path, monkeypatch):
+    write_table(table, str(tmp_path / "features"))
+    found = []
+    keep = regression.stored
+    monkeypatch.setattr(regression, "stored", lambda df, *a, **k: found.append(scans(df, "features")) or keep(df, *a, **k))
+    for settings, most in ((SMALL, 1), (replace(SMALL, top_n_items=3), 2)):
+        found.clear()
+        regression.training_frame(spark.read.parquet(str(tmp_path / "features")), by_parity, settings)
+        assert sum(found) == most
 
 
 def test_training_job_with_elastic_net_and_current_price(spark, table, by_parity, tmp_path):
@@ -220,3 +261,4 @@ def test_training_job_with_elastic_net_and_current_price(spark, table, by_parity
     )
     assert report.filter("ridge_rmse is null").isEmpty()
     assert any((tmp_path / "models").glob("segment_id=*"))
+    assert not folder_of_jobs(spark)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tradewake.sources import scratch_path, stored
 from tradewake.sources import workspace
 
-from .helpers import plan
+from .helpers import folder_of_jobs, plan
 
 
 def test_scratch_is_in_the_shared_folder(spark):
@@ -21,15 +21,14 @@ class _Conf:
 
 
 class _Context:
+    applicationId = "app-1"
+
     def __init__(self, master, folder=None):
         self.master, self.folder = master, folder
 
     def getCheckpointDir(self):
         return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = "file:" + folder
-
 
 class _Session:
     def __init__(self, *args):
@@ -42,13 +41,29 @@ def test_a_cluster_without_shared_folder_is_an_error():
 
 
 def test_a_cluster_uses_the_folder_of_its_context():
-    assert workspace.scratch_path(_Session("yarn", "hdfs:///shared"), "x").startswith("hdfs:///shared/tradewake/x-")
+    path = workspace.scratch_path(_Session("yarn", "hdfs:///shared"), "x")
+    assert path.startswith("hdfs:///shared/tradewake/app-1/x-")
 
 
-def test_a_local_session_gets_a_folder_once():
+def test_a_local_session_gets_a_folder_once_and_keeps_its_setting():
     session = _Session("local[2]")
     first, second = (workspace.scratch_path(session, "x") for _ in range(2))
-    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] and first.startswith("file:")
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    assert session.sparkContext.folder is None
+
+
+def test_a_block_deletes_what_it_stored(spark):
+    with workspace.job_folder(spark) as folder:
+        kept = stored(spark.range(5), "test")
+        assert kept.count() == 5 and all(folder in name for name in kept.inputFiles())
+        with workspace.job_folder(spark) as inner:
+            assert inner == folder
+        assert kept.count() == 5
+    assert not folder_of_jobs(spark)
+    with pytest.raises(ZeroDivisionError), workspace.job_folder(spark):
+        stored(spark.range(5), "test")
+        raise ZeroDivisionError
+    assert not folder_of_jobs(spark)
 
 
 def test_stored_frame_is_a_scan(spark):

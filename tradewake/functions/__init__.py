@@ -6,14 +6,15 @@ from .expressions import (
     log_size,
     median,
     pearson,
+    present,
     ratio,
     relative_spread,
     spread,
     year_month,
 )
-from .metrics import mae, r2, rmse, score
+from .metrics import mae, r2, rmse, score, usable
 
 __all__ = [
-    "day_name", "day_number", "log_size", "median", "pearson", "ratio", "relative_spread",
-    "spread", "year_month", "mae", "r2", "rmse", "score",
+    "day_name", "day_number", "log_size", "median", "pearson", "present", "ratio", "relative_spread",
+    "spread", "year_month", "mae", "r2", "rmse", "score", "usable",
 ]

@@ -6,7 +6,10 @@ They hold under ANSI mode, Spark's default: where plain arithmetic would stop th
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import EPSILON
@@ -54,6 +57,17 @@ def median(name: str) -> Column:
     return F.percentile_approx(name, 0.5)
 
 
-def pearson(x: str, y: str) -> Column:
+def pearson(x: Column, y: Column) -> Column:
     """Pearson correlation; null when either side is constant (``corr`` would raise)."""
     return ratio(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
+def present(df: DataFrame, *names: str) -> Column:
+    """All of these columns are known: not null and, for floating numbers, not NaN.
+
+    Written as separate conditions, which Spark can push down to a scan.
+    """
+    kinds = dict(df.dtypes)
+    rules = [F.col(name).isNotNull() for name in names]
+    rules += [~F.isnan(name) for name in names if kinds[name] in ("double", "float")]
+    return reduce(and_, rules)

@@ -23,12 +23,18 @@ def r2(label: Column, prediction: Column) -> Column:
     return 1 - F.try_divide(F.sum((label - prediction) ** 2), F.var_pop(label) * F.count(label))
 
 
+def usable(label: str, prediction: str) -> Column:
+    """Whether a row counts: both numbers are known."""
+    y, p = F.col(label), F.col(prediction)
+    return y.isNotNull() & p.isNotNull() & ~F.isnan(y) & ~F.isnan(p)
+
+
 def score(label: str, prediction: str, prefix: str = "") -> list[Column]:
     """The three metrics, named ``<prefix>rmse``, ``<prefix>mae`` and ``<prefix>r2``.
 
-    Rows whose label or prediction is null or NaN do not count.
+    Only rows that are ``usable`` count.
     """
     y, p = F.col(label), F.col(prediction)
-    usable = y.isNotNull() & p.isNotNull() & ~F.isnan(y) & ~F.isnan(p)
-    y, p = F.when(usable, y), F.when(usable, p)
+    counts = usable(label, prediction)
+    y, p = F.when(counts, y), F.when(counts, p)
     return [metric(y, p).alias(prefix + metric.__name__) for metric in (rmse, mae, r2)]

@@ -5,13 +5,28 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import year_month
+from ..functions import present, year_month
 from ..model import DATE_FORMAT, KEY, NON_NEGATIVE
 
 _MODIFIED = "http_last_modified"
+# Text that ends with its time of day, and so has no zone.
+_MINUTES = r"[ T][0-9]{1,2}:[0-9]{2}$"
+_SECONDS = r"[ T][0-9]{1,2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?$"
+_DAY = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s*$"
+
+
+def _with_zone(text: Column) -> Column:
+    """Times without a zone are in UTC, whatever the session's zone."""
+    text = F.rtrim(text)
+    return (
+        F.when(text.rlike(_DAY), F.concat(text, F.lit("T00:00:00Z")))
+        .when(text.rlike(_MINUTES), F.concat(text, F.lit(":00Z")))
+        .when(text.rlike(_SECONDS), F.concat(text, F.lit("Z")))
+        .otherwise(text)
+    )
 
 
 def parse_times(raw: DataFrame) -> DataFrame:
@@ -19,14 +34,14 @@ def parse_times(raw: DataFrame) -> DataFrame:
     text = {name for name, kind in raw.dtypes if kind == "string"}
     parsers = {
         "date": F.try_to_date("date", DATE_FORMAT),
-        _MODIFIED: F.try_to_timestamp(_MODIFIED),
+        _MODIFIED: F.try_to_timestamp(_with_zone(F.col(_MODIFIED))),
     }
     return raw.withColumns({name: parse for name, parse in parsers.items() if name in text})
 
 
 def known_keys(df: DataFrame) -> DataFrame:
     """Rows whose whole key is known."""
-    return df.na.drop(subset=list(KEY))
+    return df.filter(present(df, *KEY))
 
 
 def valid_rows(df: DataFrame, keep_nan: bool = False) -> DataFrame:
@@ -53,7 +68,8 @@ def latest_per_key(df: DataFrame) -> DataFrame:
 
     The order is total, so the survivor does not depend on how the rows are laid out. As a plain
     maximum it is reduced before the shuffle: a key holding a third of all rows costs each task
-    one row, where a row number over the key would gather the copies in a single task.
+    one row, where a row number over the key would gather the copies in a single task. A maximum of
+    several columns is aggregated by sorting, before and after the shuffle; that is its price.
     """
     others = [name for name in df.columns if name not in KEY]
     newest_first = sorted(others, key=lambda name: name != _MODIFIED)

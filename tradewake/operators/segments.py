@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +13,6 @@ from ..functions import log_size, median, relative_spread
 from ..model import MIN_ITEM_ROWS, SEED, SEGMENT_INPUTS, SEGMENTS
 from ..sources.workspace import stored
 
-# Items per partition of the clustering input; with this many a partition is a few tens of MB.
-_ITEMS_PER_PARTITION = 250_000
-
 
 def type_stats(daily: DataFrame, min_rows: int = MIN_ITEM_ROWS) -> DataFrame:
     """Medians and deviations of log price, log volume and relative spread per item.
@@ -70,24 +67,35 @@ def zscores(stats: DataFrame) -> DataFrame:
     )
 
 
-def fit_segments(stats: DataFrame, k: int = SEGMENTS, seed: int = SEED) -> tuple[PipelineModel, DataFrame]:
+def fit_segments(
+    stats: DataFrame, k: int = SEGMENTS, seed: int = SEED, partitions: int = 1
+) -> tuple[PipelineModel, DataFrame]:
     """Cluster the items; returns the fitted pipeline and item -> segment with the statistics.
 
     The statistics are stored first: the fit reads them many times, and the aggregation behind them
     is the heavy part. k-means draws its starting points by position, so the rows are laid out by a
-    rule that depends on the items alone (hash of the id, sorted within), and the labels are then
-    ordered by centroid. The same items thus get the same segments whatever the input's layout.
+    rule that depends on the items alone (hash of the id, sorted within), and the last stage of the
+    pipeline numbers the clusters by centroid. The same items thus get the same segments whatever the
+    input's layout, and the model gives other items the map's labels.
+
+    Items are few beside their rows: one partition takes millions of them. With more ``partitions`` the
+    starting points are others, and partial sums may be added in another order.
     """
     stats = stored(stats, "type-stats")
-    partitions = 1 + stats.count() // _ITEMS_PER_PARTITION
+    if stats.isEmpty():
+        raise ValueError("there are no items to segment; type_stats leaves out items with few rows (min_rows)")
     layout = stats.repartition(partitions, "type_id").sortWithinPartitions("type_id")
     kmeans = KMeans(featuresCol="z", predictionCol="cluster", k=k, seed=seed)
-    model = Pipeline(stages=[*_standardizer("z"), kmeans]).fit(layout)
+    fitted = Pipeline(stages=[*_standardizer("z"), kmeans]).fit(layout)
 
-    centers = [tuple(center) for center in model.stages[-1].clusterCenters()]
+    centers = [tuple(center) for center in fitted.stages[-1].clusterCenters()]
     rank = {cluster: i for i, cluster in enumerate(sorted(range(len(centers)), key=centers.__getitem__))}
-    labels = F.array(*(F.lit(rank[cluster]) for cluster in range(len(centers))))
-    segments = model.transform(stats).select(
-        "type_id", labels[F.col("cluster")].alias("segment_id"), *SEGMENT_INPUTS, "n_rows"
-    )
-    return model, segments
+    labels = ", ".join(str(rank[cluster]) for cluster in range(len(centers)))
+    relabel = SQLTransformer(statement=f"select *, element_at(array({labels}), cluster + 1) as segment_id from __THIS__")
+    model = PipelineModel([*fitted.stages, relabel])
+    return model, model.transform(stats).select("type_id", "segment_id", *SEGMENT_INPUTS, "n_rows")
+
+
+def centers_of(model: PipelineModel) -> list[tuple[float, ...]]:
+    """The centroids on the common scale, in the order of the segments."""
+    return sorted(map(tuple, model.stages[-2].clusterCenters()))

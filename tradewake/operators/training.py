@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import score
+from ..functions import present, score
 from ..model import KEY, LABEL, REGRESSION_CATEGORIES, SEED, TEST_DAYS
-from .ranking import bounded, keep_ids
+from .ranking import keep_ids
+from .summary import exact_total
 
 
 def with_segments(features: DataFrame, segments: DataFrame) -> DataFrame:
@@ -17,10 +18,11 @@ def with_segments(features: DataFrame, segments: DataFrame) -> DataFrame:
     categories. The map has a row per item: Spark broadcasts it when its measured size allows, and
     otherwise shuffles, with adaptive execution splitting the partition of a hot item.
     """
-    known = features.na.drop(subset=[LABEL, *KEY])
+    known = features.filter(present(features, LABEL, *KEY))
     labels = segments.select(
         F.col("type_id").cast("int").alias("type_id"), F.col("segment_id").cast("int").alias("segment_id")
-    ).na.drop()
+    )
+    labels = labels.filter(present(labels, *labels.columns))
     return known.join(labels, "type_id").withColumns(
         {name: F.col(name).cast("string") for name in REGRESSION_CATEGORIES}
     )
@@ -37,7 +39,7 @@ def keep_top_items(frame: DataFrame, n: int) -> DataFrame:
         return frame
     largest = (
         frame.groupBy("type_id")
-        .agg(F.try_sum(volume).alias("total_volume"))
+        .agg(exact_total(volume).alias("total_volume"))
         .orderBy(F.desc("total_volume"), F.col("type_id").cast("int"))
         .limit(n)
     )
@@ -45,20 +47,27 @@ def keep_top_items(frame: DataFrame, n: int) -> DataFrame:
 
 
 def key_draw(seed: int = SEED, key: tuple[str, ...] = KEY) -> Column:
-    """A number in [0, 2**32) that depends on the row's key and the seed only."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *key), 32)
+    """A number in [0, 2**32) that depends on the row's key and the seed only.
+
+    It is taken from the MD5 digest of the key's text, so ids give the same draw as numbers and as
+    text, and other engines can compute it too.
+    """
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(name).cast("string") for name in key)))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
 
+def drawn(fraction: float, seed: int = SEED) -> Column:
+    """Whether a row belongs to the sample of this fraction; a fraction outside (0, 1) takes all."""
+    return key_draw(seed) < F.lit(int(fraction * 2**32)) if 0 < fraction < 1 else F.lit(True)
 
-def hash_sample(frame: DataFrame, fraction: float, seed: int = SEED, draw: Column | None = None) -> DataFrame:
+
+def hash_sample(frame: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
     """Each row with probability ``fraction``, decided by a draw from its key.
 
-    Unlike ``sample`` it picks the same rows under any partitioning. Another ``draw``, uniform in
-    [0, 2**32), can stand in for the default, for instance one that other engines can compute too.
-    A fraction outside (0, 1) means no sampling.
+    Unlike ``sample`` it picks the same rows under any partitioning. A fraction outside (0, 1) means
+    no sampling.
     """
-    if not 0 < fraction < 1:
-        return frame
-    return frame.filter((key_draw(seed) if draw is None else draw) < F.lit(int(fraction * 2**32)))
+    return frame.filter(drawn(fraction, seed)) if 0 < fraction < 1 else frame
 
 
 def largest_segments(frame: DataFrame, n: int) -> DataFrame:
@@ -83,28 +92,14 @@ def time_split(frame: DataFrame, test_days: int = TEST_DAYS) -> DataFrame:
     return frame.select("*", _part(frame.agg(F.max("date")).scalar(), test_days))
 
 
-def time_split_by_segment(
-    frame: DataFrame,
-    test_days: int = TEST_DAYS,
-    last_dates: DataFrame | None = None,
-    segments_at_most: int | None = None,
-) -> DataFrame:
+def time_split_by_segment(frame: DataFrame, test_days: int = TEST_DAYS) -> DataFrame:
     """As ``time_split``, with each segment's own last date.
 
     The last dates are aggregated and joined back, as a window over a segment would pull all of its
-    rows into one task. ``last_dates`` (segment_id, last_date) replaces that aggregation and limits
-    the result to its segments; ``segments_at_most`` is the bound that allows a broadcast.
+    rows into one task. How many segments there are is not known here, so the join is left to Spark.
     """
-    if last_dates is None:
-        last_dates = frame.groupBy("segment_id").agg(F.max("date").alias("last_date"))
-    cut = bounded(last_dates.select("segment_id", "last_date"), segments_at_most)
-    return frame.join(cut, "segment_id").select(*frame.columns, _part(F.col("last_date"), test_days))
-
-
-def parts(split: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Train rows and test rows of a frame with ``part``."""
-    train, test = (split.filter(F.col("part") == name).drop("part") for name in ("train", "test"))
-    return train, test
+    last_dates = frame.groupBy("segment_id").agg(F.max("date").alias("last_date"))
+    return frame.join(last_dates, "segment_id").select(*frame.columns, _part(F.col("last_date"), test_days))
 
 
 def baseline_metrics(split: DataFrame) -> DataFrame:

@@ -8,17 +8,18 @@ ISO text, on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import year_month
-from ..model import KEY, REGRESSION_CATEGORIES, market, raw_market
+from ..model import REGRESSION_CATEGORIES, SEGMENTS, market, raw_market
 from ..operators import cleaning, profiling, ranking, segments, series, training
-from ..operators.regression import RidgeSettings, fit_univariate, train_by_segment
+from ..operators.regression import RidgeSettings, coefficients, fit_by_segment, train_by_segment, training_frame, vectorizer
 from ..operators.slicing import series_slice
-from ..sources import read_archives, read_table, scratch_path, stored, write_by_month
+from ..sources import read_archives, read_table, scratch_path, stored, write_by_month, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,9 +36,12 @@ class Entry:
 _SLICE = {"type_id": 12, "region_ids": [1, 2, 3], "date_from": "1996-03-15", "date_to": "1999-10-20"}
 _TOP = 10
 _FRACTION = 0.2
-_UNIVARIATE_PENALTY = 1000.0
-# The given tables make few items and short test spans, hence lower floors than the defaults; no sampling.
-_RIDGE = RidgeSettings(sample_fraction=1.0, min_rows_train=500, min_rows_test=20)
+# Fits that a closed form can check: few numbers, a strong penalty, iterated to the end.
+_PENALTY = 1000.0
+_CLOSED = RidgeSettings(
+    numerics=("price_lag_1",), categories=(), reg_param=_PENALTY, tolerance=1e-12, max_iter=1000
+)
+_CLOSED_TWO = replace(_CLOSED, numerics=("price_lag_1", "volume_lag_1"))
 
 
 def comparable(df: DataFrame, decimals: int = 6) -> DataFrame:
@@ -389,6 +393,41 @@ def kmeans_segments(spark, sf_dir):
     return labelled
 
 
+@_register(_with(_MARKET + _STATS, """select count(*) as n_items, count(*) as n_assigned, count(*) as n_labels_within_k,
+  cast(0 as bigint) as n_elsewhere_nearer, cast(0 as bigint) as n_unlike_model from stats"""))
+def kmeans_invariants(spark, sf_dir):
+    """What any correct segmentation has: every item assigned, to its nearest centroid, as its model says."""
+    stats = stored(segments.type_stats(_daily(spark, sf_dir)), "type-stats")
+    model, labelled = segments.fit_segments(stats)
+    scores = segments.zscores(stats)
+    values = [F.col(f"z_{name}") for name in segments.SEGMENT_INPUTS]
+    far = F.array(*(
+        sum(((value - F.lit(float(x))) ** 2 for value, x in zip(values, center)), F.lit(0.0))
+        for center in segments.centers_of(model)
+    ))
+    again = model.transform(stats).select("type_id", F.col("segment_id").alias("by_model"))
+    rows = stats.select("type_id").join(labelled.select("type_id", "segment_id"), "type_id", "left")
+    rows = rows.join(scores, "type_id").join(again, "type_id").withColumn("far", far)
+    label = F.col("segment_id")
+    return rows.agg(
+        F.count("*").alias("n_items"),
+        F.count(label).alias("n_assigned"),
+        F.count_if(label.between(0, SEGMENTS - 1)).alias("n_labels_within_k"),
+        F.count_if(F.get("far", label) > F.array_min("far") + 1e-9).alias("n_elsewhere_nearer"),
+        F.count_if(label != F.col("by_model")).alias("n_unlike_model"),
+    )
+
+
+@_register(_with(_MARKET + _STATS, "select type_id, type_id % 8 as segment_id from stats"))
+def segment_map_roundtrip(spark, sf_dir):
+    """A segment map written as an unpartitioned table, twice as the second replaces the first, and read back."""
+    _, labelled = _features_and_map(spark, sf_dir)
+    path = scratch_path(spark, "segment-map")
+    write_table(labelled.limit(1), path)
+    write_table(labelled, path)
+    return read_table(spark, path)
+
+
 # Training
 
 @_register(_with(_SEGMENTED, f"""select {_DATE}, cast(region_id as varchar) as region_id,
@@ -412,10 +451,7 @@ def top_n_filter(spark, sf_dir):
 where cast('0x' || left(md5(concat_ws('|', '42', cast(date as varchar), cast(region_id as varchar),
   cast(type_id as varchar))), 8) as bigint) < {int(_FRACTION * 2**32)}"""))
 def hash_sample(spark, sf_dir):
-    """With a draw from md5, which both engines have, in place of Spark's own hash."""
-    digest = F.md5(F.concat_ws("|", F.lit("42"), *(F.col(c).cast("string") for c in KEY)))
-    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    return training.hash_sample(market(spark, sf_dir), _FRACTION, draw=draw)
+    return training.hash_sample(market(spark, sf_dir), _FRACTION)
 
 
 @_register(_with(_SEGMENTED, """select segment_id, count(*) as n_rows from segmented
@@ -435,28 +471,95 @@ def time_split(spark, sf_dir):
 from (select *, case when date >= max(date) over (partition by segment_id) - 60 then 'test' else 'train' end as part
       from segmented) group by segment_id, part"""))
 def baseline_metrics(spark, sf_dir):
-    return training.baseline_metrics(training.time_split_by_segment(_segmented(spark, sf_dir), segments_at_most=8))
-
-
-@_register(_with(_FEATURES, f""", moments as (
-  select count(*) as n, corr(target_next_price, price_lag_1) as r,
-         stddev_samp(price_lag_1) as sx, stddev_samp(target_next_price) as sy,
-         avg(price_lag_1) as mx, avg(target_next_price) as my from features),
-fit as (
-  select n, mx, my, r * ((n - 1) / n) / ((n - 1) / n + {_UNIVARIATE_PENALTY} / sy) * sy / sx as slope from moments)
-select n as n_rows, round(slope, 6) as slope, round(my - slope * mx, 3) as intercept from fit"""))
+    return training.baseline_metrics(training.time_split_by_segment(_segmented(spark, sf_dir)))
+
+
+_SPLIT = """,
+split as (
+  select *, case when date >= max(date) over (partition by segment_id) - 60 then 'test' else 'train' end as part
+  from segmented)"""
+_MOMENTS = _SPLIT + """,
+moments as (
+  select segment_id, count(*) as n, (count(*) - 1) / count(*) as a,
+         corr(target_next_price, price_lag_1) as r1, corr(target_next_price, volume_lag_1) as r2,
+         corr(price_lag_1, volume_lag_1) as r12, stddev_samp(target_next_price) as sy,
+         stddev_samp(price_lag_1) as s1, stddev_samp(volume_lag_1) as s2,
+         avg(target_next_price) as my, avg(price_lag_1) as m1, avg(volume_lag_1) as m2
+  from split where part = 'train' group by segment_id)"""
+_WHOLE = _FEATURES + """,
+segmented as (select *, 0 as segment_id from features)"""
+
+
+def _fitted(frame: DataFrame, settings: RidgeSettings, names: tuple[str, ...]) -> DataFrame:
+    """Slopes and intercept per segment, with the number of train rows, from the library's own fits."""
+    models, report = fit_by_segment(frame, settings)
+    rows = [(segment, *slopes, intercept) for segment, (slopes, intercept) in
+            ((segment, coefficients(model)) for segment, model in models.items())]
+    schema = "segment_id int, " + ", ".join(f"{name} double" for name in (*names, "intercept"))
+    found = frame.sparkSession.createDataFrame(rows, schema).withColumn("intercept", F.round("intercept", 3))
+    return report.filter("part = 'train'").select("segment_id", "n_rows").join(found, "segment_id")
+
+
+@_register(_with(_WHOLE + _MOMENTS, f"""select segment_id, n as n_rows,
+  round(r1 * a / (a + {_PENALTY} / sy) * sy / s1, 6) as slope,
+  round(my - r1 * a / (a + {_PENALTY} / sy) * sy / s1 * m1, 3) as intercept from moments"""))
 def ridge_univariate(spark, sf_dir):
-    """The penalty is scaled by the label's deviation, hence the closed form in the SQL."""
-    fitted = fit_univariate(_feature_table(spark, sf_dir), "price_lag_1", _UNIVARIATE_PENALTY)
-    return fitted.withColumn("intercept", F.round("intercept", 3))
+    """All items in one segment. The penalty is scaled by the label's deviation, hence the closed form in the SQL."""
+    table = _feature_table(spark, sf_dir)
+    whole = table.select("type_id", F.lit(0).alias("segment_id")).distinct()
+    return _fitted(training_frame(table, whole, _CLOSED), _CLOSED, ("slope",))
+
+
+@_register(_with(_SEGMENTED + _MOMENTS, f""", solved as (
+  select *, ((a + {_PENALTY} / sy) * a * r1 - a * r12 * a * r2) / ((a + {_PENALTY} / sy) ** 2 - (a * r12) ** 2) * sy / s1
+              as price_slope,
+            ((a + {_PENALTY} / sy) * a * r2 - a * r12 * a * r1) / ((a + {_PENALTY} / sy) ** 2 - (a * r12) ** 2) * sy / s2
+              as volume_slope from moments)
+select segment_id, n as n_rows, round(price_slope, 4) as price_slope, round(volume_slope, 4) as volume_slope,
+  round(my - price_slope * m1 - volume_slope * m2, 3) as intercept from solved"""))
+def ridge_bivariate_by_segment(spark, sf_dir):
+    frame = training_frame(*_features_and_map(spark, sf_dir), _CLOSED_TWO)
+    fitted = _fitted(frame, _CLOSED_TWO, ("price_slope", "volume_slope"))
+    # Where a fit stops moves the sixth decimal.
+    return fitted.withColumns({name: F.round(name, 4) for name in ("price_slope", "volume_slope")})
+
+
+@_register(_with(_SEGMENTED + _SPLIT, f"""select segment_id, part,
+  case when rank > 6 then 'outside the largest n' else 'trained' end as status, count(*) as n_rows,
+  {_ERRORS.format(y="target_next_price", p="price_lag_1", prefix="baseline_")},
+  case when rank > 6 then 0 else count(*) end as n_predicted
+from split join (select segment_id, row_number() over (order by count(*) desc, segment_id) as rank
+                 from segmented group by segment_id) using (segment_id)
+group by segment_id, part, rank"""))
+def ridge_counts(spark, sf_dir):
+    """Rows, status and naive errors of every segment, with all but the six largest left unfitted."""
+    settings = replace(_CLOSED, top_n_segments=6)
+    _, report = train_by_segment(*_features_and_map(spark, sf_dir), settings)
+    return report.select("segment_id", "part", "status", "n_rows", "baseline_rmse", "baseline_mae", "baseline_r2", "n_predicted")
+
+
+@_register(_with(_SEGMENTED, """select segment_id, count(*) as n_rows, cast(2 as double) as least, cast(2 as double) as most
+from segmented group by segment_id"""))
+def hashed_categories(spark, sf_dir):
+    """The hashed part of a row's vector: two categories, one each, which add up where they share a slot.
+
+    There are few slots here, so that some rows do share one."""
+    rows = training.with_segments(*_features_and_map(spark, sf_dir))
+    for stage in vectorizer(RidgeSettings(hash_slots=32)):
+        rows = stage.transform(rows)
+    total = F.aggregate(vector_to_array("cat_vec"), F.lit(0.0), lambda a, x: a + x)
+    return rows.groupBy("segment_id").agg(
+        F.count("*").alias("n_rows"), F.min(total).alias("least"), F.max(total).alias("most")
+    )
 
 
 @_register()
 def ridge_segmented(spark, sf_dir):
+    """Every segment of the k-means map, with all features; nothing is cut."""
     daily = _daily(spark, sf_dir)
     _, labelled = segments.fit_segments(segments.type_stats(daily))
     table = stored(series.features(daily), "features")
-    _, report = train_by_segment(table, labelled, _RIDGE, scratch_path(spark, "models"))
+    _, report = train_by_segment(table, labelled, RidgeSettings(), scratch_path(spark, "models"))
     return report
 
 

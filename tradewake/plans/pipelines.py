@@ -19,7 +19,7 @@ from ..operators.cleaning import clean_market
 from ..operators.regression import RidgeSettings, train_by_segment
 from ..operators.segments import fit_segments, type_stats
 from ..operators.series import features
-from ..sources import read_archives, read_table, write_by_month, write_table
+from ..sources import job_folder, read_archives, read_table, stored, write_by_month, write_table
 
 
 def transform(
@@ -30,25 +30,33 @@ def transform(
 
 
 def analyze(daily: DataFrame, top_n_items: int = TOP_ITEMS, trend_items: int = TREND_ITEMS) -> dict[str, DataFrame]:
-    """Every report on a daily table, by name; each runs when it is used."""
+    """Every report on a daily table, by name, and its schema.
+
+    Reports that aggregate alike share a pass: the measures of the whole table, the totals per item
+    and the totals per date are computed here, once each, and stored; the others run when they are used.
+    """
+    totals = stored(profiling.measures(daily), "measures")
+    items = stored(ranking.item_totals(daily), "item-totals")
+    dates = stored(ranking.date_totals(daily), "date-totals")
     return {
+        "schema": profiling.columns_of(daily),
         "overview": profiling.overview(daily),
-        "describe_prices": profiling.describe_prices(daily),
-        "missing_values": profiling.missing_values(daily),
-        "sanity_checks": profiling.sanity_checks(daily),
-        "top_items": ranking.top_items(daily, top_n_items),
+        "describe_prices": profiling.describe_prices(daily, totals),
+        "missing_values": profiling.missing_values(daily, totals),
+        "sanity_checks": profiling.sanity_checks(daily, totals),
+        "top_items": ranking.top_items(daily, top_n_items, items),
         "top_regions": ranking.top_regions(daily),
-        "dow_seasonality": ranking.dow_seasonality(daily),
-        "monthly_seasonality": ranking.monthly_seasonality(daily),
-        "volatility_rank": ranking.volatility_rank(daily),
-        "correlations": profiling.correlations(daily),
-        "top_item_trends": ranking.top_item_trends(daily, trend_items),
-        "coverage": ranking.coverage(daily),
+        "dow_seasonality": ranking.dow_seasonality(daily, dates),
+        "monthly_seasonality": ranking.monthly_seasonality(daily, dates),
+        "volatility_rank": ranking.volatility_rank(daily, items=items),
+        "correlations": profiling.correlations(daily, totals),
+        "top_item_trends": ranking.top_item_trends(daily, trend_items, items),
+        "coverage": ranking.coverage(daily, items=items),
     }
 
 
 def show_reports(reports: dict[str, DataFrame], rows: int = 50) -> None:
-    """Print the first rows of each report."""
+    """Print the first rows of each report; where there are more, ``show`` says so."""
     for name, report in reports.items():
         print(f"\n{name}")
         report.show(rows, truncate=False)
@@ -61,8 +69,9 @@ def build_features(spark: SparkSession, source: str, target: str) -> None:
 
 def segment(spark: SparkSession, source: str, target: str, k: int = SEGMENTS, seed: int = SEED) -> None:
     """Daily table to segment map."""
-    _, segments = fit_segments(type_stats(read_table(spark, source)), k, seed)
-    write_table(segments, target)
+    with job_folder(spark):
+        _, segments = fit_segments(type_stats(read_table(spark, source)), k, seed)
+        write_table(segments, target)
 
 
 def train(
@@ -73,7 +82,9 @@ def train(
     settings: RidgeSettings = RidgeSettings(),
 ) -> DataFrame:
     """Feature table and segment map to a saved model per segment; returns the error table."""
-    _, report = train_by_segment(
-        read_table(spark, feature_path), read_table(spark, segment_path), settings, model_dir
-    )
-    return report
+    with job_folder(spark):
+        _, report = train_by_segment(
+            read_table(spark, feature_path), read_table(spark, segment_path), settings, model_dir
+        )
+        # A row per segment and part; kept by the caller after the rows behind it are deleted.
+        return spark.createDataFrame(report.collect(), report.schema)

@@ -2,9 +2,9 @@
 
 from .archives import read_archives
 from .tables import between_dates, read_table, write_by_month, write_table
-from .workspace import release, scratch_path, stored, workspace
+from .workspace import job_folder, release, scratch_path, stored
 
 __all__ = [
     "read_archives", "between_dates", "read_table", "write_by_month", "write_table",
-    "release", "scratch_path", "stored", "workspace",
+    "job_folder", "release", "scratch_path", "stored",
 ]

@@ -37,7 +37,7 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def between_dates(df: DataFrame, date_from: str | date | None = None, date_to: str | date | None = None) -> DataFrame:
-    """Rows from ``date_from`` to ``date_to``, both included; ``None`` leaves that end open.
+    """Rows from ``date_from`` to ``date_to``, both included; ``None`` or ``""`` leaves that end open.
 
     Spark cannot infer year and month from a date, so for tables that carry both the same bound is
     put on them too; on a partitioned table this prunes the months outside the range.
@@ -49,11 +49,11 @@ def between_dates(df: DataFrame, date_from: str | date | None = None, date_to: s
         return day.year * 12 + day.month
 
     row_month: Column = F.col("year") * 12 + F.col("month")
-    if date_from is not None:
+    if date_from:
         df = df.filter(F.col("date") >= F.lit(date_from).cast("date"))
         if partitioned:
             df = df.filter(row_month >= month_index(date_from))
-    if date_to is not None:
+    if date_to:
         df = df.filter(F.col("date") <= F.lit(date_to).cast("date"))
         if partitioned:
             df = df.filter(row_month <= month_index(date_to))

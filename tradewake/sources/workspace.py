@@ -4,7 +4,7 @@ A frame that is used several times (by an iterative fit, or for both a ranking a
 selects) is written once and read back. Unlike a cached frame it survives the loss of executors,
 and unlike a checkpoint it keeps column pruning, filter pushdown and size statistics.
 
-What a job writes lies under one folder. ``workspace`` opens such a folder for a block of code and
+What a job writes lies under one folder. ``job_folder`` opens such a folder for a block of code and
 deletes it afterwards; outside a block the tables lie in a folder of the application, which
 ``release`` deletes once the frames read from it are no longer needed. Files are deleted through the
 Hadoop file system of the path, so a shared store works as well as a disk.
@@ -51,7 +51,7 @@ def _delete(spark: SparkSession, folder: str) -> None:
 
 
 @contextmanager
-def workspace(spark: SparkSession) -> Iterator[str]:
+def job_folder(spark: SparkSession) -> Iterator[str]:
     """A folder for the tables stored inside the block; it is deleted at the end, also after an error.
 
     Frames read from it must have been used up by then. A block inside another one shares its folder.
