@@ -1,0 +1,159 @@
+import math
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tradewake.llm import language, quality, queries
+from tradewake.llm.common import fold
+
+
+def test_fold_is_the_checksum_of_the_id(spark):
+    rows = spark.range(50).select("id", fold("id", 5).alias("f")).collect()
+    assert [r.f for r in rows] == [zlib.crc32(str(r.id).encode()) % 5 for r in rows]
+
+
+# ---- quality
+
+def test_statistics_are_finite_for_odd_texts():
+    for text in (None, "", " \n", "a", "%$#", "x" * 100_000, "é" * 10, "a b " * 60_000):
+        found = quality.statistics(None if text is None else text.encode())
+        assert len(found) == len(quality.NAMES) and np.isfinite(found).all()
+
+
+def plain_scores(rows, labels, shrinkage, ridge, temperature):
+    """Log densities from full matrices."""
+    parts = {k: rows[labels == k] for k in (0, 1)}
+    means = {k: p.mean(axis=0) for k, p in parts.items()}
+    own = {k: np.cov(p.T, bias=True) for k, p in parts.items()}
+    both = sum(len(parts[k]) * own[k] for k in own) / len(rows)
+    overall = rows.var(axis=0) - np.diag(both) + np.diag(both)
+    logs = []
+    for k in (0, 1):
+        cov = (1 - shrinkage) * own[k] + shrinkage * both + np.diag(ridge * overall + 1e-9)
+        d = rows - means[k]
+        logs.append(
+            math.log(len(parts[k]) / len(rows)) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * (d @ np.linalg.inv(cov) * d).sum(axis=1)
+        )
+    return 1 / (1 + np.exp(np.clip((logs[0] - logs[1]) / temperature, -700, 700)))
+
+
+def test_scores_equal_plain_densities(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = quality.measured(docs)
+    model = quality.fit_by_labels(rows, labels)
+    known = rows.join(quality.labels_by_id(labels, "doc_id", "quality"), "id").toPandas()
+    matrix = np.stack(known.statistics.to_numpy())
+    wanted = plain_scores(matrix, known.quality.to_numpy(), quality.SHRINKAGE, quality.RIDGE, quality.TEMPERATURE)
+    assert model.score(matrix) == pytest.approx(wanted, abs=1e-6)
+    # The fit does not depend on how the rows are dealt out.
+    again = quality.fit_by_labels(rows.repartition(5), labels)
+    assert again.score(matrix) == pytest.approx(wanted, abs=1e-6)
+
+
+def test_quality_of_held_out_documents(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    found = queries.op6_quality(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").filter("held_out").toPandas()
+    assert len(found) > 50
+    assert ((found.predicted == 1) == (found.quality == 1)).mean() > 0.97
+    assert found.score.between(0, 1).all()
+
+
+def test_odd_labels_and_texts(spark):
+    text = "Plain words in a row, of the usual kind. " * 5
+    docs = spark.createDataFrame(
+        [(i, text + str(i), 1) for i in range(30)] + [(100 + i, "%%% $$$ ### " * (i + 1), 2) for i in range(30)] + [(200, None, 3), (201, "", 4), (None, text, 5), (0, text, 6)],
+        "doc_id long, text string, score int",
+    )
+    labels = spark.createDataFrame(
+        [(i, 1) for i in range(20)] + [(100 + i, 0) for i in range(20)] + [(25, 1), (25, 0), (26, None), (None, 1), (1, 1), (27, 7)],
+        "doc_id long, quality int",
+    )
+    kept = quality.good_documents(docs, labels)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert set(range(30)) <= set(ids) and not set(range(100, 130)) & set(ids) and None in ids and ids.count(0) == 2
+    assert quality.good_documents(docs.filter("false"), labels).isEmpty()
+    none = quality.with_score(quality.with_statistics(docs), quality.fit_by_labels(quality.measured(docs), labels.filter("false")))
+    assert {r.score for r in none.collect()} == {0.5}
+    one = quality.fit_by_labels(quality.measured(docs), labels.filter("quality = 1 and doc_id < 20"))
+    assert one.constant == pytest.approx(21 / 22, abs=0.01)
+
+
+# ---- language
+
+SPEECH = {"en": "the house and the garden were quiet that evening", "de": "das haus und der garten waren an dem abend still",
+          "es": "la casa y el jardín estaban tranquilos aquella tarde"}
+
+
+@pytest.fixture(scope="module")
+def speech(spark):
+    rows = [(i, f"{text} {text.split()[i % 5]}", lang, "s") for i, (lang, text) in enumerate(list(SPEECH.items()) * 30)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
+
+
+def test_words_first_then_shorter_and_shorter_grams(speech):
+    model = language.fit(speech)
+    scorer = language.Scorer(model)
+    assert model.languages == ("de", "en", "es")
+    assert scorer.word("garden").tolist() == model.word_scores[model.words["garden"]].tolist()
+    # Unseen; its longest known part is of five characters with the end mark.
+    known = [model.grams[g] for g in language.grams_of("kindergarten", 5) if g in model.grams]
+    assert known and scorer.word("kindergarten").tolist() == (model.gram_scores[known].mean(axis=0) * 0.5).tolist()
+    single = [model.grams[c] for c in "vvh" if c in model.grams]
+    assert not any(g in model.grams for n in (2, 3, 4, 5) for g in language.grams_of("vvh", n))
+    assert scorer.word("vvh").tolist() == (model.gram_scores[single].mean(axis=0) * 0.5).tolist()
+    assert scorer.word("жж").tolist() == [0, 0, 0]
+
+
+def test_tables_are_log_frequencies(speech):
+    model = language.fit(speech)
+    counts = {lang: {} for lang in model.languages}
+    for row in speech.collect():
+        for word in language.words_of(row.text):
+            counts[row.lang][word] = counts[row.lang].get(word, 0) + 1
+    for i, lang in enumerate(model.languages):
+        total = sum(counts[lang].get(w, 0) + 0.5 for w in model.words)
+        for word, at in model.words.items():
+            assert model.word_scores[at, i] == pytest.approx(math.log((counts[lang].get(word, 0) + 0.5) / total))
+
+
+def test_texts_are_scored_whole_and_in_parts(speech, monkeypatch):
+    model = language.fit(speech)
+    text = (SPEECH["de"] + " 12 ") * 50
+    whole = language.Scorer(model).text(text)
+    original = language._parts
+    monkeypatch.setattr(language, "_parts", lambda t: original(t, 40))
+    assert language.Scorer(model, limit=5).text(text) == pytest.approx(whole)
+    total = sum(language.Scorer(model).word(w) for w in language.words_of(text))
+    best = model.languages[int(total.argmax())]
+    assert whole == (best, pytest.approx(1 / np.exp(total - total.max()).sum())) and best == "de"
+
+
+def test_odd_texts_and_tables(spark, speech):
+    model = language.fit(speech)
+    odd = [(1, None, "en", "s"), (2, "", "en", "s"), (3, "123 ?!", "en", "s"), (4, "garden", None, "s"), (None, "jardín", "de", "s"), (4, "garden", None, "s")]
+    found = language.with_language(spark.createDataFrame(odd, speech.schema), model).collect()
+    assert [(r.lang_pred, r.score) for r in found[:3]] == [("und", 0.0)] * 3
+    assert [r.lang_pred for r in found[3:]] == ["en", "es", "en"] and all(0 <= r.score <= 1 for r in found)
+    nothing = language.fit(speech.filter("false"))
+    assert language.Scorer(nothing).text("word") == ("und", 0.0)
+    assert language.with_language(speech.filter("false"), model).isEmpty()
+
+
+def test_a_rare_language_is_sampled_in_full(speech):
+    model = language.fit(speech, rows_per_language=10**6)
+    few = language.fit(speech, rows_per_language=10)
+    assert few.languages == model.languages and len(few.words) <= len(model.words)
+    assert len(language.fit(speech, max_words=7).words) == 7
+
+
+def test_language_of_held_out_documents(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    found = queries.op5_language(spark, sf_dir)
+    truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    rows = found.join(truth, "doc_id").filter(F.col("held_out")).toPandas()
+    assert (rows.lang == rows.lang_pred).mean() > 0.97 and rows.score.between(0, 1).all()
+    assert found.count() == truth.count()
