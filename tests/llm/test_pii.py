@@ -1,0 +1,138 @@
+import datetime as dt
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tradewake.llm import pii
+
+from ..helpers import plan
+
+KEY = "secret"
+
+
+def plain_feistel(left, right, n, m, kind, key=KEY):
+    for turn in range(pii.ROUNDS):
+        half = right if turn % 2 == 0 else left
+        noise = int(hashlib.sha256(f"{key}|{kind}|{turn}|{half}|{n}".encode()).hexdigest()[:15], 16)
+        if turn % 2 == 0:
+            left = (left + noise) % n
+        else:
+            right = (right + noise) % m
+    return left, right
+
+
+def plain_digits(digits, kind):
+    half = len(digits) // 2
+    n, m = 10**half, 10 ** (len(digits) - half)
+    left, right = plain_feistel(int(digits[:half] or 0), int(digits[half:]), n, m, kind)
+    return (str(left).zfill(half) if half else "") + str(right).zfill(len(digits) - half)
+
+
+def luhn(digits):
+    return sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(reversed(digits))) % 10
+
+
+def plain_card(digits):
+    if luhn(digits):
+        return digits
+    body = plain_digits(digits[:-1], "card")
+    return body + str((10 - luhn(body + "0")) % 10)
+
+
+def plain_date(text, form="%Y-%m-%d"):
+    first = dt.date(1900, 1, 1)
+    left, right = divmod((dt.datetime.strptime(text, form).date() - first).days, 4297)
+    left, right = plain_feistel(left, right, 17, 4297, "date")
+    return (first + dt.timedelta(left * 4297 + right)).strftime(form)
+
+
+def plain_address(text):
+    a, b, c, d = map(int, text.split("."))
+    x, y = plain_feistel(a * 256 + b, c * 256 + d, 65536, 65536, "address")
+    return f"{x >> 8}.{x % 256}.{y >> 8}.{y % 256}"
+
+
+def changed(spark, *texts):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    return [r.text for r in pii.pseudonyms(rows, KEY).orderBy("id").collect()]
+
+
+def test_pseudonyms_equal_the_plain_network(spark):
+    cards = ["4111111111111111", "378282246310005", "6011111111111117", "4222222222222"]
+    dates = ["1985-02-28", "1900-01-01", "2099-12-31"]
+    addresses = ["10.0.0.1", "255.255.255.255", "0.0.0.0"]
+    assert changed(spark, *cards) == list(map(plain_card, cards))
+    assert all(luhn(c) == 0 for c in map(plain_card, cards))
+    assert changed(spark, *dates) == list(map(plain_date, dates))
+    assert changed(spark, *addresses) == list(map(plain_address, addresses))
+    phone = "15551234567"
+    assert changed(spark, "+1 (555) 123-4567") == [re.sub(r"\d", "{}", "+1 (555) 123-4567").format(*("1" + plain_digits(phone[1:], "phone")))]
+
+
+def test_equal_values_stay_linked_and_forms_stay(spark):
+    a, b, c, d = changed(spark, "x 4111 1111 1111 1111 y", "4111-1111-1111-1111.", "on 28.02.1985 and 28/02/1985", "1985-02-28")
+    digits = plain_card("4" + "1" * 15)
+    assert a == "x " + " ".join(digits[i : i + 4] for i in range(0, 16, 4)) + " y" and b == "-".join(digits[i : i + 4] for i in range(0, 16, 4)) + "."
+    day = dt.date.fromisoformat(plain_date("1985-02-28"))
+    assert c == f"on {day:%d.%m.%Y} and {day:%d/%m/%Y}" and d == day.isoformat()
+
+
+@pytest.mark.parametrize("text", [
+    "4111111111111112", "1985-02-29", "1899-12-31", "2100-01-01", "31.04.1999", "256.1.1.1", "1.2.3.4.5", "000-12-3456", "666-12-3456",
+    "123-00-4567", "900-12-3456", "version 1.2.3", "plain words only", "a@b", "12345", "deadbeefdeadbeefdeadbeefdeadbeefdeadbeef"[:20],
+    "x4111111111111111", "  spaced   out  ", "", "$1 \\1 .*", "+12 34",
+])
+def test_what_is_not_valid_stays(spark, text):
+    assert changed(spark, text) == [text]
+
+
+def test_mail_and_secrets(spark):
+    first, again, other, secret, upper = changed(
+        spark, "to ann.34@mail7.example.com, now", "Ann.34@mail7.example.com", "bob@mail7.example.com",
+        'token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde"', "2ABC3FF2CA8FB1E4C565A0EB63815530A948BDDE")
+    assert re.fullmatch(r"to u[0-9a-f]{12}@mail7\.example\.com, now", first) and again in first and other != again
+    new = re.fullmatch(r'token = "([0-9a-f]{40})"', secret)[1]
+    assert new != "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" and upper == new.upper()
+
+
+@settings(max_examples=20, deadline=None)
+@given(n=st.integers(1, 4))
+def test_digits_are_permuted(n):
+    every = [str(i).zfill(n) for i in range(10**n)]
+    assert sorted(plain_digits(x, "k") for x in every) == every
+
+
+def test_spark_permutes_small_domains_as_the_plain_network(spark):
+    rows = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
+    found = {r.d: r.p for r in rows.select("d", pii.permuted_digits(F.col("d"), KEY, "k").alias("p")).collect()}
+    assert found == {d: plain_digits(d, "k") for d in found} and len(set(found.values())) == 1000
+    social = changed(spark, *[f"{a:03}-{g:02}-0001" for a in (1, 665, 667, 899) for g in (1, 99)])
+    assert len(set(social)) == 8 and all(re.fullmatch(r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}", s) for s in social)
+
+
+def test_odd_rows_and_native_plan(spark):
+    long = "1.2.3.4 word " * 2000
+    rows = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (None, "1.2.3.4", "c"), (None, "1.2.3.4", "c"), (3, long, "d")], "doc_id long, text string, value string")
+    found = pii.pseudonyms(rows, KEY)
+    assert found.columns == rows.columns
+    assert [r.text for r in found.collect()] == [None, "", plain_address("1.2.3.4"), plain_address("1.2.3.4"), long.replace("1.2.3.4", plain_address("1.2.3.4"))]
+    assert pii.pseudonyms(rows.filter("false"), KEY).isEmpty()
+    assert not re.search("Python|Arrow|Pandas|Exchange", plan(found))
+    assert pii.pseudonyms(rows, "other").collect()[2].text != plain_address("1.2.3.4")
+
+
+def test_only_private_parts_of_documents_change(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = pii.pseudonyms(docs, KEY, out_col="new").select("text", "new").collect()
+    assert any(r.text != r.new for r in rows)
+    for r in rows:
+        if r.text != r.new:
+            a, b = r.text.split(), r.new.split()
+            assert len(a) == len(b)
+            assert all(x == y or re.search("[0-9@]", x) for x, y in zip(a, b))
+        else:
+            assert not [m for m in re.findall(r"(?<!\d)\d{16}(?!\d)", r.text) if luhn(m) == 0] and "@" not in r.text

@@ -1,0 +1,84 @@
+import random
+import re
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tradewake.llm import urls
+
+from ..helpers import plan
+
+ENTRIES = "list string, pattern string, action string, listed_at timestamp"
+CAPTURES = "page_id long, url string, fetched_at timestamp"
+
+
+def at(day):
+    return datetime(2024, 1, 1) + timedelta(days=day)
+
+
+def verdicts(spark, captures, entries):
+    found = urls.verdicts(spark.createDataFrame(captures, CAPTURES), spark.createDataFrame(entries, ENTRIES))
+    return {r.page_id: (r.verdict, r["list"], r.pattern) for r in found.collect()}
+
+
+def test_only_entries_active_at_the_fetch_count(spark):
+    entries = [("l", "bad.org", "block", at(10)), ("l", "bad.org", "remove", at(20)), ("l", "bad.org", "allow", at(30))]
+    captures = [(d, "http://www.bad.org/x", at(d)) for d in (9, 10, 19, 20, 29, 30, 99)]
+    found = {d: v[0] for d, v in verdicts(spark, captures, entries).items()}
+    assert found == {9: "none", 10: "block", 19: "block", 20: "none", 29: "none", 30: "allow", 99: "allow"}
+
+
+def test_the_most_specific_entry_decides(spark):
+    entries = [("a", "site.org", "block", at(0)), ("a", "ok.site.org", "allow", at(0)), ("b", "ok.site.org/private", "block", at(0)),
+               ("c", "tie.org", "allow", at(5)), ("d", "tie.org", "block", at(1)), ("e", "org", "allow", at(0))]
+    urls_ = ["https://site.org", "http://ok.site.org/a/b", "http://user@OK.Site.org.:80/Private/x?q#f", "http://tie.org/", "http://mysite.org/",
+             "http://ok.site.org/privateer", "ftp://x.ok.site.org/private"]
+    found = verdicts(spark, [(i, u, at(9)) for i, u in enumerate(urls_)], entries)
+    assert [found[i][:2] for i in range(7)] == [("block", "a"), ("allow", "a"), ("block", "b"), ("block", "d"), ("allow", "e"), ("allow", "a"), ("block", "b")]
+
+
+def test_odd_rows(spark):
+    entries = [(None, "a.org", "block", at(0)), ("l", None, "block", at(0)), ("l", "b.org", None, at(0)), ("l", "b.org", "block", None),
+               ("l", "b.org", "odd", at(0)), ("l", "c.org", "remove", at(0)), ("l", "c.org", "block", at(0)), ("l", "c.org", "block", at(0))]
+    captures = [(1, "http://a.org", at(1)), (2, None, at(1)), (3, "no url", at(1)), (4, "http://a.org", None), (5, "http://b.org", at(1)),
+                (6, "http://c.org/" + "seg/" * 5000, at(1)), (7, "http://", at(1)), (8, "http://" + "a." * 200 + "a.org/", at(1)), (None, "http://a.org", at(1))]
+    found = verdicts(spark, captures, entries)
+    assert {i: v[0] for i, v in found.items()} == {1: "block", 2: "none", 3: "none", 4: "none", 5: "none", 6: "block", 7: "none", 8: "block", None: "block"}
+    frame = spark.createDataFrame(captures * 2, CAPTURES).withColumn("host", F.lit(1)).withColumn("list", F.lit("x"))
+    listed = spark.createDataFrame(entries, ENTRIES)
+    assert urls.verdicts(frame, listed).count() == 2 * len(captures)
+    assert urls.verdicts(frame.filter("false"), listed).isEmpty()
+    assert {r.verdict for r in urls.verdicts(frame, listed.filter("false")).collect()} == {"none"}
+
+
+def plain(url, time, entries):
+    match = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)", url)
+    host = re.sub(r":\d*$", "", match[1].split("@")[-1]).lower().rstrip(".")
+    parts = [p for p in match[2].lower().split("/") if p]
+    best = None
+    for name in {(e[0], e[1]) for e in entries}:
+        log = sorted((e[3], {"remove": 0, "block": 1, "allow": 2}[e[2]], e[2]) for e in entries if (e[0], e[1]) == name and e[3] <= time)
+        if not log or log[-1][2] == "remove":
+            continue
+        domain, *path = name[1].split("/")
+        if (host == domain or host.endswith("." + domain)) and parts[: len(path)] == path:
+            rank = (-len(domain.split(".")), -len(path), log[-1][2] != "block", -log[-1][0].timestamp(), *name)
+            best = min(best, (rank, log[-1][2])) if best else (rank, log[-1][2])
+    return best[1] if best else "none"
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_a_search_through_all_entries(spark, seed):
+    rng = random.Random(seed)
+    hosts = ["a.org", "b.a.org", "c.b.a.org", "d.net", "e.d.net"]
+    paths = ["", "/x", "/x/y", "/z"]
+    entries = [(rng.choice("lm"), rng.choice(hosts) + rng.choice(paths), rng.choice(["block", "allow", "remove"]), at(rng.randrange(40))) for _ in range(60)]
+    captures = [(i, f"http://{rng.choice(hosts)}{rng.choice(paths)}/", at(rng.randrange(45))) for i in range(200)]
+    found = verdicts(spark, captures, entries)
+    assert {i: v[0] for i, v in found.items()} == {i: plain(u, t, entries) for i, u, t in captures}
+
+
+def test_no_python_runs(spark):
+    found = urls.verdicts(spark.createDataFrame([(1, "http://a.org", at(1))], CAPTURES).repartition(2), spark.createDataFrame([], ENTRIES))
+    assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan(found))
