@@ -98,14 +98,15 @@ def test_words_first_then_shorter_and_shorter_grams(speech):
     model = language.fit(speech)
     scorer = language.Scorer(model)
     assert model.languages == ("de", "en", "es")
-    assert scorer.word("garden").tolist() == model.word_scores[model.words["garden"]].tolist()
+    word = lambda w: scorer.scores([w])[0]
+    assert word("garden").tolist() == model.word_scores[model.words["garden"]].tolist()
     # Unseen; its longest known part is of five characters with the end mark.
     known = [model.grams[g] for g in language.grams_of("kindergarten", 5) if g in model.grams]
-    assert known and scorer.word("kindergarten").tolist() == (model.gram_scores[known].mean(axis=0) * 0.5).tolist()
+    assert known and word("kindergarten").tolist() == pytest.approx(model.gram_scores[known].mean(axis=0) * 0.5)
     single = [model.grams[c] for c in "vvh" if c in model.grams]
     assert not any(g in model.grams for n in (2, 3, 4, 5) for g in language.grams_of("vvh", n))
-    assert scorer.word("vvh").tolist() == (model.gram_scores[single].mean(axis=0) * 0.5).tolist()
-    assert scorer.word("жж").tolist() == [0, 0, 0]
+    assert word("vvh").tolist() == pytest.approx(model.gram_scores[single].mean(axis=0) * 0.5)
+    assert word("жж").tolist() == [0, 0, 0]
 
 
 def test_tables_are_log_frequencies(speech):
@@ -123,11 +124,14 @@ def test_tables_are_log_frequencies(speech):
 def test_texts_are_scored_whole_and_in_parts(speech, monkeypatch):
     model = language.fit(speech)
     text = (SPEECH["de"] + " 12 ") * 50
-    whole = language.Scorer(model).text(text)
+    (whole,) = language.Scorer(model).texts([text])
     original = language._parts
     monkeypatch.setattr(language, "_parts", lambda t: original(t, 40))
-    assert language.Scorer(model, limit=5).text(text) == pytest.approx(whole)
-    total = sum(language.Scorer(model).word(w) for w in language.words_of(text))
+    texts = [None, text, "", text, "12", SPEECH["en"]]
+    found = language.Scorer(model, limit=5).texts(texts, group=7)
+    assert found[1] == found[3] == (whole[0], pytest.approx(whole[1])) and found[5][0] == "en"
+    assert [found[i] for i in (0, 2, 4)] == [("und", 0.0)] * 3
+    total = language.Scorer(model).scores(language.words_of(text)).sum(axis=0)
     best = model.languages[int(total.argmax())]
     assert whole == (best, pytest.approx(1 / np.exp(total - total.max()).sum())) and best == "de"
 
@@ -139,7 +143,7 @@ def test_odd_texts_and_tables(spark, speech):
     assert [(r.lang_pred, r.score) for r in found[:3]] == [("und", 0.0)] * 3
     assert [r.lang_pred for r in found[3:]] == ["en", "es", "en"] and all(0 <= r.score <= 1 for r in found)
     nothing = language.fit(speech.filter("false"))
-    assert language.Scorer(nothing).text("word") == ("und", 0.0)
+    assert language.Scorer(nothing).texts(["word"]) == [("und", 0.0)]
     assert language.with_language(speech.filter("false"), model).isEmpty()
 
 

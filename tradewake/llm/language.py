@@ -14,8 +14,10 @@ words it has met, up to a limit.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -33,6 +35,7 @@ MAX_GRAMS = 100_000
 GRAM = 5
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START, _STOP = "<", ">"
+MAX_LANGUAGES = 1_000  # a model has a column per language
 _GRAM_WEIGHT = 0.5  # n-grams of a word are not independent of each other
 
 
@@ -76,6 +79,14 @@ def _most_frequent(counts: DataFrame, most: int) -> list[tuple[str, str, int]]:
     return [(row.entry, row.lang, row.n) for row in rows]
 
 
+def _counted(counts: dict[tuple[str, str], int]) -> dict | None:
+    """Columns of counts by (entry, language)."""
+    if not counts:
+        return None
+    entries, languages = zip(*counts)
+    return {"entry": pa.array(entries), "lang": pa.array(languages), "n": pa.array(counts.values(), pa.int64())}
+
+
 def fit(
     labelled: DataFrame,
     id_col: str = "doc_id",
@@ -87,27 +98,30 @@ def fit(
 ) -> Model:
     """Learn from labelled rows; those with a null language or text are left out.
 
-    Languages are the values seen in rows that have words; without any, the model knows no language.
+    Languages are the values seen in rows that have words; without any, the model knows no language. More than
+    ``MAX_LANGUAGES`` values are an error, as they can hardly be languages.
     """
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
-    draw = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) * F.col("rows") < F.lit(rows_per_language * (1 << 30))
-    sample = rows.join(sizes, "lang").filter(draw).select("lang", "text")
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} values in {lang_col}")
+    # The share of each language's rows that is drawn, as a bound on 30 bits of a hash.
+    bounds = [F.lit(x) for row in sizes for x in (row.lang, rows_per_language * (1 << 30) // row.rows)]
+    bound = F.element_at(F.create_map(*bounds), F.col("lang")) if bounds else F.lit(0)
+    draw = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30))
+    sample = rows.filter(draw < bound).select("lang", "text")
 
     def count_words(batch: pa.RecordBatch) -> dict | None:
-        lang, found = [], []
+        counts: Counter[tuple[str, str]] = Counter()
         for language, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = words_of(text)
-            found.extend(words)
-            lang.extend([language] * len(words))
-        return {"lang": lang, "entry": found} if found else None
-
-    words = stored(
-        map_arrow(sample, count_words, "lang string, entry string").groupBy("entry", "lang").agg(F.count("*").alias("n")),
-        "word-counts",
-    )
+            for part in _parts(text):
+                counts.update(zip(words_of(part), repeat(language)))
+        return _counted(counts)
+
+    words = map_arrow(sample, count_words, "entry string, lang string, n long")
+    words = stored(words.groupBy("entry", "lang").agg(F.sum("n").alias("n")), "word-counts")
 
     def count_grams(batch: pa.RecordBatch) -> dict | None:
         counts: dict[tuple[str, str], int] = {}
@@ -115,15 +129,10 @@ def fit(
             for size in range(1, GRAM + 1):
                 for gram in grams_of(word, size):
                     counts[gram, language] = counts.get((gram, language), 0) + n
-        if not counts:
-            return None
-        return {
-            "entry": [gram for gram, _ in counts], "lang": [language for _, language in counts],
-            "n": pa.array(counts.values(), pa.int64()),
-        }
+        return _counted(counts)
 
     grams = map_arrow(words.select("entry", "lang", "n"), count_grams, "entry string, lang string, n long")
-    grams = grams.groupBy("entry", "lang").agg(F.sum("n").alias("n"))
+    grams = stored(grams.groupBy("entry", "lang").agg(F.sum("n").alias("n")), "gram-counts")
     word_rows = _most_frequent(words, max_words)
     gram_rows = _most_frequent(grams, max_grams)
     languages = tuple(sorted({language for _, language, _ in word_rows}))
@@ -133,68 +142,99 @@ def fit(
 
 
 class Scorer:
-    """Scores texts with a model; keeps the sums of chunks of text it has met, up to a limit."""
+    """Scores texts with a model; keeps the scores of words it has met, up to a limit."""
 
-    def __init__(self, model: Model, limit: int = 200_000):
+    def __init__(self, model: Model, limit: int = 300_000):
         self._model, self._limit = model, limit
+        # Word scores, then gram scores: a word is the mean of some rows, a known word of one.
+        self._rows = np.concatenate([model.word_scores, model.gram_scores * _GRAM_WEIGHT])
         self._clear()
 
     def _clear(self) -> None:
         self._place: dict[str, int] = {}
-        self._sums = np.empty((0, len(self._model.languages) + 1))
+        self._scores = np.empty((0, len(self._model.languages)))
 
-    def word(self, word: str) -> np.ndarray:
-        """The word's score in each language."""
-        model = self._model
-        at = model.words.get(word)
+    def _entries(self, word: str) -> list[int]:
+        """The rows whose mean is the word's score; none if not even a character is known."""
+        at = self._model.words.get(word)
         if at is not None:
-            return model.word_scores[at]
+            return [at]
+        first, get = len(self._model.word_scores), self._model.grams.get
         for size in range(min(GRAM, len(word) + 2), 0, -1):
-            known = [i for i in map(model.grams.get, grams_of(word, size)) if i is not None]
+            known = [first + i for i in map(get, grams_of(word, size)) if i is not None]
             if known:
-                return model.gram_scores[known].mean(axis=0) * _GRAM_WEIGHT
-        return np.zeros(len(model.languages))
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Add the sums of chunks: the score in each language, then the number of words."""
-        sums = np.zeros((len(chunks), len(self._model.languages) + 1))
-        for row, chunk in zip(sums, chunks):
-            for word in words_of(chunk):
-                row[:-1] += self.word(word)
-                row[-1] += 1
-        start = len(self._place)
-        self._place.update(zip(chunks, range(start, start + len(chunks))))
-        self._sums = np.concatenate([self._sums, sums])
-
-    def text(self, text: str | None) -> tuple[str, float]:
-        """The language and its score; without a letter, or without a language to choose, ``und`` and 0."""
+                return known
+        return []
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """The score of each word in each language."""
+        entries = list(map(self._entries, words))
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries))
+        flat = np.fromiter(chain.from_iterable(entries), np.int64, int(sizes.sum()))
+        found = np.zeros((len(words), self._rows.shape[1]))
+        some = np.flatnonzero(sizes)
+        if len(some):
+            starts = (np.cumsum(sizes) - sizes)[some]
+            found[some] = np.add.reduceat(self._rows[flat], starts, axis=0) / sizes[some, None]
+        return found
+
+    def _known(self, words: list[str]) -> np.ndarray:
+        """The places of the words among the kept scores."""
+        fresh = set(words).difference(self._place)
+        if fresh and len(self._place) + len(fresh) > self._limit:
+            self._clear()
+            fresh = set(words)
+        if fresh:
+            new = sorted(fresh)
+            self._place.update(zip(new, range(len(self._place), len(self._place) + len(new))))
+            self._scores = np.concatenate([self._scores, self.scores(new)])
+        return np.fromiter(map(self._place.__getitem__, words), np.int64, len(words))
+
+    def texts(self, texts: list[str | None], group: int = 100_000) -> list[tuple[str, float]]:
+        """Language and score of each text; without a letter, or without a language to choose, ``und`` and 0."""
         languages = self._model.languages
-        if not text or not languages:
-            return UNKNOWN, 0.0
-        total = np.zeros(len(languages) + 1)
-        for chunks in _parts(text):
-            fresh = set(chunks).difference(self._place)
-            if len(self._place) + len(fresh) > self._limit:
-                self._clear()
-                fresh = set(chunks)
-            if fresh:
-                self._learn(sorted(fresh))
-            at = np.fromiter(map(self._place.__getitem__, chunks), np.int64, len(chunks))
-            total += self._sums[at].sum(axis=0)
-        if not total[-1]:
-            return UNKNOWN, 0.0
-        best = int(total[:-1].argmax())
-        return languages[best], float(1 / np.exp(total[:-1] - total[best]).sum())
-
-
-def _parts(text: str, size: int = 1 << 20) -> Iterator[list[str]]:
-    """The text's chunks between white space, a bounded number at a time."""
+        totals = np.zeros((len(texts), len(languages)))
+        lengths = np.zeros(len(texts), dtype=np.int64)
+        words: list[str] = []
+        owners: list[tuple[int, int]] = []
+
+        def settle() -> None:
+            owner = np.repeat([i for i, _ in owners], [n for _, n in owners])
+            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            totals[owner[starts]] += np.add.reduceat(self._scores_of(words), starts, axis=0)
+            words.clear()
+            owners.clear()
+
+        for i, text in enumerate(texts):
+            for part in _parts(text or ""):
+                found = words_of(part)
+                if found:
+                    words.extend(found)
+                    owners.append((i, len(found)))
+                    lengths[i] += len(found)
+                if len(words) > group:
+                    settle()
+        if words:
+            settle()
+        if not languages:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        best = totals.argmax(axis=1)
+        share = 1 / np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1)
+        return [(languages[b], float(s)) if n else (UNKNOWN, 0.0) for b, s, n in zip(best, share, lengths)]
+
+    def _scores_of(self, words: list[str]) -> np.ndarray:
+        places = self._known(words)
+        return self._scores[places]
+
+
+def _parts(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """The text in parts of about this size, cut at white space."""
     start = 0
     while start < len(text):
         stop = start + size
         while stop < len(text) and not text[stop].isspace():
             stop += 1
-        yield text[start:stop].split()
+        yield text[start:stop]
         start = stop
 
 
@@ -212,7 +252,7 @@ def with_language(
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
         for texts in batches:
-            yield pd.DataFrame([scorer.text(text) for text in texts], columns=["lang", "score"])
+            yield pd.DataFrame(scorer.texts(texts.tolist()), columns=["lang", "score"])
 
     found = "_language"
     return (
