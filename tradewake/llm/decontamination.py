@@ -44,61 +44,61 @@ _NAMES = frozenset(
     "sam sarah sophia susan tim tina tom".split()
 )
 
-_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,:/]\d+)*|[.!?\n]+")
+_TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,:/]\d+)*|[.!?\n]+")
 _WORD, _NUMBER, _CAPITAL, _MARK, _UNIT, _NAME = range(6)
 _CODES = {_NUMBER: 0x9D3F0001, _UNIT: 0x9D3F0003, _NAME: 0x9D3F0005}
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _kind(token: str) -> int:
+    if token.islower():
+        return _UNIT if token in _UNITS else _WORD
     first = token[0]
     if first in ".!?\n":
         return _MARK
     if first.isdigit():
         return _NUMBER
     low = token.lower()
-    if low in _UNITS:
-        return _UNIT
     if first.isupper() and token[1:].islower():
-        return _NAME if low in _NAMES else _CAPITAL
-    return _WORD
+        return _UNIT if low in _UNITS else _NAME if low in _NAMES else _CAPITAL
+    return _UNIT if low in _UNITS else _WORD
 
 
-class Templates:
-    """Windows of texts; what was found for a token is kept, up to a limit."""
+class _Known(dict):
+    """Numbers of tokens; a new one is given the next number, and its kind and hash are noted."""
 
-    def __init__(self, window: int = WINDOW, limit: int = 300_000):
-        self._window, self._limit = window, limit
-        self._clear()
+    def __init__(self, size: int):
+        import xxhash
 
-    def _clear(self) -> None:
-        self._number: dict[str, int] = {}
-        self._kinds = np.empty(0, dtype=np.uint8)
-        self._values = np.empty(0, dtype=np.uint64)
+        self._digest = xxhash.xxh64_intdigest
+        self.kinds = np.empty(size, dtype=np.uint8)
+        self.values = np.empty(size, dtype=np.uint64)
 
-    def _numbers(self, tokens: list[str]) -> np.ndarray:
-        import xxhash
+    def __missing__(self, token: str) -> int:
+        n = len(self)
+        if n == len(self.kinds):
+            self.kinds, self.values = np.resize(self.kinds, 2 * n), np.resize(self.values, 2 * n)
+        self.kinds[n] = _kind(token)
+        self.values[n] = self._digest(token.lower())
+        self[token] = n
+        return n
 
-        known = self._number
-        fresh = set(tokens).difference(known)
-        if len(known) + len(fresh) > self._limit:
-            self._clear()
-            known = self._number
-            fresh = set(tokens)
-        if fresh:
-            new = list(fresh)
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            self._kinds = np.append(self._kinds, np.fromiter(map(_kind, new), np.uint8, len(new)))
-            digest = xxhash.xxh64_intdigest
-            values = np.fromiter((digest(x.lower()) for x in new), np.uint64, len(new))
-            self._values = np.append(self._values, values)
-        return np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+
+class Templates:
+    """Windows of texts; what was found for a token is kept, up to a limit that is looked at before each text."""
+
+    def __init__(self, window: int = WINDOW, limit: int = 300_000):
+        self._window, self._limit = window, limit
+        self._known = _Known(limit)
 
     def template(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per template word: its code, its slot value, and whether it is a placeholder."""
         tokens = _TOKEN.findall(text or "")
-        numbers = self._numbers(tokens)
-        kind, value = self._kinds[numbers], self._values[numbers]
+        if len(self._known) > self._limit:
+            self._known = _Known(self._limit)
+        known = self._known
+        numbers = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+        kind, value = known.kinds[numbers], known.values[numbers]
         before = np.append(np.uint8(_MARK), kind[:-1])
         name = (kind == _NAME) | ((kind == _CAPITAL) & (before != _MARK))
         slot = np.where(kind == _NUMBER, _NUMBER, 0)
