@@ -169,6 +169,38 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The checksum byte by byte, with the usual table made from its polynomial.
+_OP7_SQL = f"""
+with steps as (
+  select list_transform(range(256), lambda n: list_reduce([n::bigint, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end)) as t
+), texts as (
+  select doc_id, source, hex(encode(coalesce(text, ''))) as h from documents
+), sized as (
+  select doc_id, source, length(h) // 2 + 1 as size, md5('{sharding.SEED}:' || coalesce(doc_id::varchar, '')) as key,
+         xor(4294967295::bigint, list_reduce(list_concat([4294967295::bigint],
+           list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i::int + 1, 2))::bigint)),
+           lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) as text_crc32
+  from texts, steps
+), ranked as (
+  select *, (row_number() over (partition by source order by key, doc_id, size, text_crc32) - 0.5::double)
+            / (count(*) over (partition by source))::double as fraction
+  from sized
+), placed as (
+  select *, row_number() over (order by fraction, key, source nulls first, doc_id nulls first, size, text_crc32) - 1 as place,
+         (count(*) over ()) // {sharding.SHARDS} as small, (count(*) over ()) % {sharding.SHARDS} as large
+  from ranked
+), dealt as (
+  select *, case when place < large * (small + 1) then place // (small + 1)
+                 else large + (place - large * (small + 1)) // greatest(small, 1) end as s
+  from placed
+)
+select doc_id, size, text_crc32, 'rows' as law, s::int as shard, place - s * small - least(s, large) as slot,
+       null::int as grown_shard, source
+from dealt
+"""
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
@@ -213,7 +245,7 @@ _QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
 }
 
-_SQL = {"op1_embeddings": _OP1_SQL, "op4_url_lists": _OP4_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+_SQL = {"op1_embeddings": _OP1_SQL, "op4_url_lists": _OP4_SQL, "op7_sharding": _OP7_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
 
 
 def queries() -> dict[str, Query]:
