@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tradewake.sources import scratch_path, stored
+from tradewake.sources import release, scratch_path, stored
 from tradewake.sources import workspace
 
 from .helpers import folder_of_jobs, plan
@@ -80,3 +80,11 @@ def test_stored_by_partition_prunes(spark):
     one = kept.filter("part = 1")
     assert one.count() == 33
     assert "PartitionFilters: [isnotnull(part" in plan(one)
+
+
+def test_release_deletes_what_the_application_stored(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "_application_folder", lambda spark: f"{tmp_path}/app")
+    stored(spark.range(3), "test")
+    assert (tmp_path / "app").exists()
+    release(spark)
+    assert not (tmp_path / "app").exists()
