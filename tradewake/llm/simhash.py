@@ -130,14 +130,12 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             x = np.asarray(left.values, dtype=np.int64)
             y = np.asarray(right.values, dtype=np.int64)
             fps = np.concatenate([x, y])
+            order = np.argsort(fps)  # so that the links lead to the lowest fingerprint, not from it
+            fps, second = fps[order], order >= len(x)
             rows = fps.view(np.uint8).reshape(-1, _BYTES)
-            n = len(x)
-            linked = np.zeros((len(fps), len(fps)), dtype=bool)
-            if len(y):
-                linked[:n, n:] = _close(rows[:n], rows[n:], max_bits)
-                linked |= linked.T
-            else:
-                linked = _close(rows, rows, max_bits)
+            linked = _close(rows, rows, max_bits)
+            if len(y):  # two blocks; what is within either is compared elsewhere
+                linked &= second[:, None] != second[None, :]
             np.fill_diagonal(linked, False)
             root = components(linked)
             moved = np.flatnonzero(root != np.arange(len(fps)))
