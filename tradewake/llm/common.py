@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +30,6 @@ def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None],
 
 def components(linked):
     """For a square boolean matrix: the smallest index that each row reaches."""
-    import numpy as np
-
     n = len(linked)
     root = np.arange(n)
     # Rows with no link need no rounds.
@@ -45,3 +45,45 @@ def components(linked):
         label = lowest
     root[active] = label
     return root
+
+
+ID_BITS = 1 << 26
+
+
+def bit_map(hashes: DataFrame, bits: int) -> bytes:
+    """A bit per hash modulo ``bits`` (a power of two), from a column ``hash`` of longs.
+
+    Its size is fixed: at most bits / 64 numbers come to the driver, whatever the number of hashes.
+    """
+    place = F.col("hash").bitwiseAND(F.lit(bits - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    words = hashes.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("set")).toArrow()
+    table = np.zeros(bits // 64, dtype=np.int64)
+    table[words.column("word").to_numpy()] = words.column("set").to_numpy()
+    return table.tobytes()
+
+
+def is_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bits of some hashes are set in a map, given as bytes in an array."""
+    place = hashes.view(np.uint64) & np.uint64(8 * len(table) - 1)
+    return (table[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def by_ids(docs: DataFrame, id_col: str, ids: DataFrame, bits: int = ID_BITS) -> tuple[DataFrame, DataFrame]:
+    """The rows whose id is certainly not among ``ids`` (one column), and the others, which have to be joined.
+
+    So that few whole documents are moved when a few of them are to go, the ids are made into a bit map of fixed
+    size; the more ids there are, the more rows are in the second part, at the end all of them.
+    """
+    table = bit_map(ids.select(F.xxhash64(F.col(ids.columns[0]).cast("string")).alias("hash")), bits)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def may_be(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        found = np.frombuffer(shared.value, dtype=np.uint8)
+        for hashes in batches:
+            yield pd.Series(is_set(found, hashes.to_numpy(dtype=np.int64)))
+
+    flag = "_may_be_among_ids"
+    marked = docs.withColumn(flag, may_be(F.xxhash64(F.col(id_col).cast("string"))))
+    return marked.filter(~F.col(flag)).drop(flag), marked.filter(flag).drop(flag)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.workspace import stored
-from .common import map_arrow
+from .common import bit_map, by_ids, is_set, map_arrow
 
 WINDOW = 5
 SHARE = 0.8
@@ -134,17 +134,16 @@ class Templates:
         return at, total[at].view(np.int64), value, placeholder
 
 
-def _rows(ids: list, texts: Iterable, window: int, bit_map: np.ndarray | None) -> dict | None:
+def _rows(ids: list, texts: Iterable, window: int, allowed: np.ndarray | None) -> dict | None:
     """Columns id, pos, hash, slots, n of the texts' windows; of those in the bit map if there is one."""
     templates = Templates(window)
     out_id, out_pos, out_hash, out_slots, out_n = [], [], [], [], []
     for id_, text in zip(ids, texts):
         at, hashes, value, placeholder = templates.windows(text)
         n = len(at)
-        if bit_map is not None and n:
-            place = hashes.view(np.uint64) % np.uint64(8 * len(bit_map))
-            hit = (bit_map[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
-            at, hashes = at[hit > 0], hashes[hit > 0]
+        if allowed is not None and n:
+            hit = is_set(allowed, hashes)
+            at, hashes = at[hit], hashes[hit]
         if not len(at):
             continue
         out_id.append(np.full(len(at), len(out_n)))
@@ -167,32 +166,20 @@ def _rows(ids: list, texts: Iterable, window: int, bit_map: np.ndarray | None) -
     }
 
 
-def template_windows(texts: DataFrame, id_col: str, text_col: str, window: int = WINDOW, bit_map=None) -> DataFrame:
+def template_windows(texts: DataFrame, id_col: str, text_col: str, window: int = WINDOW, only=None) -> DataFrame:
     """(id long, pos, hash, slots, n): windows with their slot values, n counting all windows of the text.
 
-    ``bit_map`` is a broadcast of a bit map of hashes; only windows found in it are given.
+    ``only`` is a broadcast of a bit map of hashes; then only windows found in it are given.
     """
 
     def find(batch: pa.RecordBatch) -> dict | None:
-        allowed = None if bit_map is None else np.frombuffer(bit_map.value, dtype=np.uint8)
+        allowed = None if only is None else np.frombuffer(only.value, dtype=np.uint8)
         return _rows(batch.column(0).to_pylist(), batch.column(1).to_pylist(), window, allowed)
 
     chosen = texts.select(F.col(id_col).cast("long"), F.col(text_col)).filter(F.col(id_col).isNotNull())
     return map_arrow(chosen, find, "id long, pos long, hash long, slots array<long>, n long")
 
 
-def _bit_map(windows: DataFrame, bits: int) -> bytes:
-    """A bit per hash modulo ``bits``; at most bits / 64 numbers come to the driver."""
-    # The hash is taken as unsigned, as in the tasks: bits divides 2^64.
-    place = F.col("hash").bitwiseAND(F.lit(bits - 1))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
-    words = windows.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("set"))
-    table = np.zeros(bits // 64, dtype=np.int64)
-    for row in words.collect():
-        table[row.word] = row.set
-    return table.tobytes()
-
-
 def matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -218,9 +205,9 @@ def matches(
         .agg(F.min("slots").alias("item_slots"), F.max("n").alias("n")),
         "benchmark-windows",
     )
-    bit_map = spark.sparkContext.broadcast(_bit_map(items, bits))
+    known = spark.sparkContext.broadcast(bit_map(items, bits))
     hits = stored(
-        template_windows(docs, id_col, text_col, window, bit_map)
+        template_windows(docs, id_col, text_col, window, known)
         .groupBy("id", "pos", "hash")
         .agg(F.min("slots").alias("slots")),
         "document-windows",
@@ -264,4 +251,7 @@ def matches(
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that hold no item; rows with a null id cannot be named by a match and stay."""
     held = matches(docs.select(id_col, text_col), benchmark, id_col, text_col).select(F.col(id_col).alias("_held")).distinct()
-    return docs.join(held, F.col(id_col).cast("long") == F.col("_held"), "left_anti")
+    held = stored(held, "contaminated-ids")
+    clean, rest = by_ids(docs, id_col, held)
+    # Only documents that may be among those are moved, by the same plan at every size.
+    return clean.union(rest.join(held.hint("merge"), F.col(id_col).cast("long") == F.col("_held"), "left_anti"))

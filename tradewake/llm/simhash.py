@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import stored
-from .common import components, map_arrow
+from .common import by_ids, components, map_arrow
 from .graph import lowest_reachable
 
 SHINGLE = 4
@@ -179,7 +179,7 @@ def one_of_each_class(
     """The documents without near-duplicates: of each class the one with the smallest id stays, with all its columns.
 
     An id is a key: of several rows with the id that stays, one does. Rows with a null id cannot be named and all stay.
-    Only ids are moved to find what goes; the documents themselves are joined with the ids that go.
+    Only ids are moved to find what goes, and only documents that may go are moved to be joined with those ids.
     """
     classes = near_duplicates(docs.select(id_col, text_col), id_col, text_col, max_bits)
     ids = stored(
@@ -188,11 +188,14 @@ def one_of_each_class(
         .agg(F.max(F.col(id_col) == F.col("component_id")).alias("_stays"), F.count("*").alias("_rows")),
         "class-decisions",
     )
-    gone = ids.filter(~F.col("_stays")).select("_id")
-    repeated = ids.filter(F.col("_stays") & (F.col("_rows") > 1)).select("_id")
-    same = F.col(id_col) == F.col("_id")
-    single = docs.join(gone.union(repeated), same, "left_anti")
-    return single.union(docs.join(repeated, same, "left_semi").dropDuplicates([id_col]))
+    # Ids whose rows go, and ids of which one of several rows stays; these rows are moved, the others only read.
+    once = F.col("_stays") & (F.col("_rows") > 1)
+    special = stored(ids.filter(~F.col("_stays") | once).select("_id", once.alias("_once")), "special-ids")
+    others, rest = by_ids(docs, id_col, special.select("_id"))
+    joined = rest.join(special.hint("merge"), F.col(id_col) == F.col("_id"), "left")
+    unnamed = joined.filter(F.col("_id").isNull()).drop("_id", "_once")
+    single = joined.filter("_once").drop("_id", "_once").dropDuplicates([id_col])
+    return others.union(unnamed).union(single)
 
 
 def hex_digits(fp: Column) -> Column:
