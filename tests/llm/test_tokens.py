@@ -89,6 +89,13 @@ def test_pieces_cover_all_documents_with_no_padding(spark, sf_dir):
         assert sum(f == 1024 for f in fills) >= sum(fills) // 1024 - 60
 
 
+def test_long_documents_are_given_out_as_they_come(spark):
+    """Some groups of output before the end of the partition, with ends of documents left over in between."""
+    docs = spark.range(60).selectExpr("id as doc_id", "repeat('some words of a long text, ', 20000 + cast(id as int)) as text").coalesce(1)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    check_pieces(packing.pack(docs).collect(), {i: texts[i] for i in texts})
+
+
 def test_pack_odd_rows(spark):
     rows = [(i, t, "s") for i, t in enumerate([None, *ODD, "many words " * 3000])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start string")

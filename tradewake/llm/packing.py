@@ -232,7 +232,8 @@ def pack(
         encoder = Encoder(json_path, ranks_path)
         packer = SumOfSquares(window)
         first = TaskContext.get().partitionId() << _SEQUENCE_BITS
-        # Documents with pieces in windows that are still open: number -> [id, token bytes, tokens not yet given out].
+        # Documents with pieces not yet given out: number -> [id, bytes of their last tokens, how many are still to
+        # be given out, how many the document has].
         documents: dict[int, list] = {}
         number = 0
 
@@ -242,15 +243,17 @@ def pack(
                 offset = 0
                 for document, start, length in pieces:
                     entry = documents[document]
-                    part = entry[1][4 * start : 4 * (start + length)]
-                    rows.append(
-                        (entry[0], start, length, zlib.crc32(part), len(entry[1]) // 4, first + sequence, offset, part)
-                    )
+                    begin = 4 * (start - entry[3]) + len(entry[1])
+                    part = entry[1][begin : begin + 4 * length]
+                    rows.append((entry[0], start, length, zlib.crc32(part), entry[3], first + sequence, offset, part))
                     offset += length
                     entry[2] -= length
                     if not entry[2]:
                         del documents[document]
             packer.closed.clear()
+            # What waits in an open window is the end of a document, less than a window.
+            for entry in documents.values():
+                entry[1] = entry[1][len(entry[1]) - 4 * entry[2] :]
             if not rows:
                 return None
             ids, start, length, crc, tokens, sequence, offset, parts = zip(*rows)
@@ -276,7 +279,7 @@ def pack(
             arrow_type = batch.schema.field(0).type
             texts = [text or "" for text in batch.column(1).to_pylist()]
             for id_, tokens in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
-                documents[number] = [id_, tokens, len(tokens) // 4]
+                documents[number] = [id_, tokens, len(tokens) // 4, len(tokens) // 4]
                 packer.add(number, len(tokens) // 4)
                 number += 1
                 size += len(tokens)
