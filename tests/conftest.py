@@ -21,6 +21,9 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from tradewake.sources import release
+
+    release(session)
     session.stop()
 
 
