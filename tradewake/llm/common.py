@@ -16,11 +16,23 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
-def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """Apply a function from a batch to columns, in tasks; batches for which it returns None give no row."""
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most so many rows, which bounds what is unpacked into Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def map_arrow(
+    df: DataFrame, function: Callable[[pa.RecordBatch], dict | None], schema: str, rows: int | None = None
+) -> DataFrame:
+    """Apply a function from a batch to columns, in tasks; batches for which it returns None give no row.
+
+    ``rows`` bounds the rows of a batch, for functions that unpack texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches if rows is None else sliced(batches, rows):
             columns = function(batch)
             if columns is not None:
                 yield pa.RecordBatch.from_pydict(columns)

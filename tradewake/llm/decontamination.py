@@ -15,7 +15,7 @@ common are only looked at for candidates.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.workspace import stored
-from .common import bit_map, by_ids, is_set, map_arrow
+from .common import bit_map, by_ids, is_set, sliced
 
 WINDOW = 5
 SHARE = 0.8
@@ -87,7 +87,7 @@ class _Known(dict):
 class Templates:
     """Windows of texts; what was found for a token is kept, up to a limit that is looked at before each text."""
 
-    def __init__(self, window: int = WINDOW, limit: int = 300_000):
+    def __init__(self, window: int = WINDOW, limit: int = 200_000):
         self._window, self._limit = window, limit
         self._known = _Known(limit)
 
@@ -134,9 +134,11 @@ class Templates:
         return at, total[at].view(np.int64), value, placeholder
 
 
-def _rows(ids: list, texts: Iterable, window: int, allowed: np.ndarray | None) -> dict | None:
+def _rows(
+    ids: list, texts: Iterable, window: int, allowed: np.ndarray | None, templates: Templates | None = None
+) -> dict | None:
     """Columns id, pos, hash, slots, n of the texts' windows; of those in the bit map if there is one."""
-    templates = Templates(window)
+    templates = templates or Templates(window)
     out_id, out_pos, out_hash, out_slots, out_n = [], [], [], [], []
     for id_, text in zip(ids, texts):
         at, hashes, value, placeholder = templates.windows(text)
@@ -172,12 +174,16 @@ def template_windows(texts: DataFrame, id_col: str, text_col: str, window: int =
     ``only`` is a broadcast of a bit map of hashes; then only windows found in it are given.
     """
 
-    def find(batch: pa.RecordBatch) -> dict | None:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         allowed = None if only is None else np.frombuffer(only.value, dtype=np.uint8)
-        return _rows(batch.column(0).to_pylist(), batch.column(1).to_pylist(), window, allowed)
+        templates = Templates(window)
+        for batch in sliced(batches):
+            columns = _rows(batch.column(0).to_pylist(), batch.column(1).to_pylist(), window, allowed, templates)
+            if columns is not None:
+                yield pa.RecordBatch.from_pydict(columns)
 
     chosen = texts.select(F.col(id_col).cast("long"), F.col(text_col)).filter(F.col(id_col).isNotNull())
-    return map_arrow(chosen, find, "id long, pos long, hash long, slots array<long>, n long")
+    return chosen.mapInArrow(find, "id long, pos long, hash long, slots array<long>, n long")
 
 
 def matches(

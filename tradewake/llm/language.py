@@ -120,7 +120,7 @@ def fit(
                 counts.update(zip(words_of(part), repeat(language)))
         return _counted(counts)
 
-    words = map_arrow(sample, count_words, "entry string, lang string, n long")
+    words = map_arrow(sample, count_words, "entry string, lang string, n long", rows=1000)
     words = stored(words.groupBy("entry", "lang").agg(F.sum("n").alias("n")), "word-counts")
 
     def count_grams(batch: pa.RecordBatch) -> dict | None:

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pretokens
+from .common import sliced
 
 WINDOW = 1024
 END_ID = 0
@@ -39,7 +40,7 @@ _SEQUENCE_BITS = 33  # running number within a partition
 class Encoder:
     """Token ids of texts, as the tokenizers library gives them; equal pre-tokens are encoded once."""
 
-    def __init__(self, json_path: str, ranks_path: str, limit: int = 400_000):
+    def __init__(self, json_path: str, ranks_path: str, limit: int = 250_000):
         self._json_path = json_path
         self._piece = _rank_encoding(ranks_path)._core_bpe.encode_single_piece
         self._numbers = pretokens.Numbering(limit)
@@ -275,7 +276,7 @@ def pack(
             return pa.array(values, arrow_type)
 
         size = 0
-        for batch in batches:
+        for batch in sliced(batches):
             arrow_type = batch.schema.field(0).type
             texts = [text or "" for text in batch.column(1).to_pylist()]
             for id_, tokens in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
@@ -283,7 +284,7 @@ def pack(
                 packer.add(number, len(tokens) // 4)
                 number += 1
                 size += len(tokens)
-                if size > 1 << 24:  # give out by about 16 MB of ids
+                if size > 1 << 22:  # give out by about 4 MB of ids
                     size = 0
                     if (out := given_out()) is not None:
                         yield out

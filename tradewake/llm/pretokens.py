@@ -66,7 +66,7 @@ def _segments(text: str, size: int) -> Iterator[str]:
     yield text[start:]
 
 
-def grouped(texts: list[str], size: int = 1 << 21) -> Iterator[bytes]:
+def grouped(texts: list[str], size: int = 1 << 19) -> Iterator[bytes]:
     """The texts joined, an end byte behind each, in parts of about ``size``; a part may end within a long text."""
     parts: list[bytes] = []
     held = 0
@@ -135,7 +135,7 @@ def _hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 class Numbering:
     """Numbers for distinct pre-tokens, from 0; grows until ``limit`` and then forgets all."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 250_000):
         self._limit = limit
         self.clear()
 
