@@ -88,3 +88,30 @@ def test_filter_keeps_columns_and_clean_rows(spark):
     kept = dc.without_benchmark(docs, items)
     assert kept.columns == docs.columns
     assert [r.doc_id for r in kept.orderBy(F.col("doc_id").asc_nulls_first()).collect()] == [None, 2, 3]
+
+
+def test_copies_with_words_added_or_dropped(spark):
+    words = TANK.split()
+    texts = [
+        TANK.replace("are added", "are then added"), TANK.replace("are added", "added"),
+        "Words before. " + " ".join(words[:10] + ["slowly", "but", "surely"] + words[10:]) + " Words behind.",
+        TANK.replace("by the man", "by the very old man").replace("30", "50"), " ".join(words[:10] + ["pad"] * 400 + words[10:]),
+        " ".join(words[10:] + words[:10]), " ".join(words[:10]),
+    ]
+    templates = dc.Templates()
+    _, wanted, _, _ = templates.windows(TANK)
+    for share in (0.6, 0.8):
+        # Counted in whole short documents, without shifts; the one with 400 words between its halves is no passage.
+        held = {i for i, t in enumerate(texts) if i != 4 and len(set(wanted) & set(templates.windows(t)[1])) >= share * len(wanted)}
+        found = result(spark, list(enumerate(texts)), [(1, TANK)], share=share)
+        assert {i for i, _ in found} == held
+        assert found.get((3, 1), False) is False
+    # An added word takes four windows of more than twenty: at the given share, in a longer item.
+    long = ITEM + " " + TANK
+    copy = long.replace("half as many", "about half as many")
+    assert result(spark, [(1, copy), (2, copy.replace("48", "52")), (3, ITEM)], [(5, long)]) == {(1, 5): True, (2, 5): False}
+
+
+def test_one_window_of_a_document_stands_for_one_of_the_item(spark):
+    line = "round and round the wheels of the old bus go. "
+    assert result(spark, [(1, line), (2, line * 6)], [(1, line * 6)]) == {(2, 1): True}

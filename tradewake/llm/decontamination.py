@@ -1,20 +1,24 @@
 """Benchmark items in documents, also with other numbers, names and units: template windows.
 
 Texts are made into templates: numbers, names and units become typed placeholders whose values are kept as
-slots, and other words are lower-cased. A document holds an item when windows of five template words agree, at one
-alignment, for at least 0.8 of the item's windows, and the slots agree with a renaming: each value of the item
-stands for one value in the document and the other way round. Equal values are the plain case.
+slots, and other words are lower-cased. A document holds an item when at least 0.8 of the item's windows of five template
+words occur within a passage of it of at most twice the item's length, and the slots agree with a renaming: each value
+of the item stands for one value in the document and the other way round. Equal values are the plain case. Words added or
+dropped move the windows behind them, so windows are not held to one alignment; each window of the document
+stands for one of the item's only.
 
 Scale: documents are read once, in tasks that keep only windows found in a bit map of the benchmark's
 windows. The map has a fixed size (``bits``), which bounds what is broadcast; a larger benchmark only lets more
 windows through, and the join on the windows themselves decides. An item that matches must share one of
 its ``floor(0.2 n) + 1`` rarest windows, so candidates come from those, and windows which many items have in
-common are only looked at for candidates.
+common are only looked at for candidates. A passage is judged in a task of its own part of the document, by the
+windows it shares with the item: as many as the item's length allows.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -186,6 +190,38 @@ def template_windows(texts: DataFrame, id_col: str, text_col: str, window: int =
     return chosen.mapInArrow(find, "id long, pos long, hash long, slots array<long>, n long")
 
 
+def _aligned(hits: list[dict], shift: int) -> list[dict]:
+    """Pairs of windows, the nearest to the shift first; each window of either side is in one pair."""
+    used_item, used_doc, out = set(), set(), []
+    for h in sorted(hits, key=lambda h: (abs(h["pos"] - h["item_pos"] - shift), h["item_slots"] != h["slots"], h["item_pos"])):
+        if h["item_pos"] not in used_item and h["pos"] not in used_doc:
+            used_item.add(h["item_pos"])
+            used_doc.add(h["pos"])
+            out.append(h)
+    return out
+
+
+def _best(hits: list[dict], n: int, share: float, reach: int) -> tuple[bool, float] | None:
+    """(exact, share) of the best passage that holds the item, if any does; ``hits`` are those of two passages' length."""
+    shifts = Counter(h["pos"] - h["item_pos"] for h in hits)
+    most = min(n, len({h["item_pos"] for h in hits}))
+    best = None
+    for shift, _ in sorted(shifts.items(), key=lambda x: (-x[1], x[0])):
+        near = [h for h in hits if abs(h["pos"] - h["item_pos"] - shift) < reach]
+        if len({h["item_pos"] for h in near}) < share * n:
+            continue
+        pairs = _aligned(near, shift)
+        if len(pairs) < share * n:
+            continue
+        values = {v for h in pairs for v in zip(h["item_slots"], h["slots"])}
+        if len({a for a, _ in values}) == len(values) == len({b for _, b in values}):
+            found = (all(a == b for a, b in values), len(pairs) / n)
+            best = found if best is None else max(best, found)
+            if best == (True, most / n):
+                break
+    return best
+
+
 def matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -197,7 +233,7 @@ def matches(
     share: float = SHARE,
     bits: int = BITS,
 ) -> DataFrame:
-    """(id, item, share, exact): a row for each document and item it holds, at its best alignment.
+    """(id, item, share, exact): a row for each document and item it holds, for its best passage.
 
     ``exact`` tells whether all slots have the item's own values. Null and empty texts, and those of fewer
     template words than a window, hold nothing and are held by nothing; so are windows with fewer than two words
@@ -225,28 +261,41 @@ def matches(
         items.join(common, "hash")
         .withColumn("rank", F.row_number().over(by_rarity))
         .filter(F.col("rank") <= F.floor(F.col("n") * (1 - share) + 1e-9) + 1)
-        .select("item", "item_pos", "hash")
+        .select("item", "hash")
+        .distinct()
     )
-    candidates = hits.join(anchors, "hash").select("id", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
-    expected = candidates.join(items, "item").withColumn("pos", F.col("item_pos") + F.col("shift"))
-    pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
-    aligned = (
-        expected.join(hits, ["id", "pos", "hash"])
-        .groupBy("id", "item", "shift")
+    reach = items.groupBy("item").agg((2 * (F.max("item_pos") + window)).alias("reach"))
+    candidates = hits.join(anchors, "hash").select("id", "item").distinct()
+    part = F.floor(F.col("pos") / F.col("reach"))
+    passages = (
+        candidates.join(items.join(reach, "item"), "item")
+        .join(hits, ["id", "hash"])
+        # A passage lies in one of the parts of twice its length, which begin at every passage's length.
+        .withColumn("part", F.explode(F.when(part > 0, F.array(part - 1, part)).otherwise(F.array(part))))
+        .groupBy("id", "item", "part")
         .agg(
-            F.count("*").alias("found"),
             F.max("n").alias("n"),
-            # As long as an item's windows have slots.
-            F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs"),
+            F.max("reach").alias("reach"),
+            # As long as an item allows: windows in two passages, each equal to some of the item.
+            F.collect_list(F.struct("item_pos", "pos", "item_slots", "slots")).alias("hits"),
         )
+        .filter(F.size(F.array_distinct("hits.item_pos")) >= share * F.col("n"))
     )
-    one_to_one = (F.size("pairs") == F.size(F.array_distinct(F.col("pairs.a")))) & (
-        F.size("pairs") == F.size(F.array_distinct(F.col("pairs.b")))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                id_, item, hits_, n, reach_ = (column[i].as_py() for column in batch.columns)
+                best = _best(hits_, n, share, reach_)
+                if best is not None:
+                    out.append((id_, item, *best))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], ["id", "item", "exact", "share"])
+
+    held = passages.select("id", "item", "hits", "n", "reach").mapInArrow(
+        judge, "id long, item long, exact boolean, share double"
     )
-    held = aligned.filter((F.col("found") >= share * F.col("n")) & one_to_one).select(
-        "id", "item", (F.col("found") / F.col("n")).alias("share"),
-        F.forall("pairs", lambda p: p["a"] == p["b"]).alias("exact"),
-    )
     return (
         held.groupBy("id", "item")
         .agg(F.max(F.struct("exact", "share")).alias("best"))
