@@ -79,6 +79,20 @@ def test_equals_a_search_through_all_entries(spark, seed):
     assert {i: v[0] for i, v in found.items()} == {i: plain(u, t, entries) for i, u, t in captures}
 
 
+def test_deep_paths_and_hosts(spark):
+    deep, host = "/a/b/c/d/e", ".".join("klmnopqrstu") + ".org"
+    long = "/" + "/".join(f"s{i}" for i in range(20))
+    entries = [("p", "site.org" + deep, "block", at(0)), ("h", host, "block", at(0)), ("h", host.split(".", 1)[1], "allow", at(0)),
+               ("p", "low.org" + long, "allow", at(0)), ("p", "x.low.org/s0", "block", at(0)), ("p", "one.org/a", "block", at(0)),
+               ("p", "one.org" + long, "allow", at(0))]
+    texts = ["site.org/a/b/c/d/e/f", "www.site.org/A/b/c//d/e", "site.org/a/b/c/d", "site.org/a/b/c/d/ee", host, "z." + host, host[2:],
+             host[4:], "x.low.org" + long, "low.org" + long + "/t", "one.org" + long]
+    captures = [(i, "http://" + t, at(1)) for i, t in enumerate(texts)]
+    found = {i: v[0] for i, v in verdicts(spark, captures, entries).items()}
+    assert found == {0: "block", 1: "block", 2: "none", 3: "none", 4: "block", 5: "block", 6: "allow", 7: "none", 8: "block", 9: "allow", 10: "allow"}
+    assert found == {i: plain(u, t, entries) for i, u, t in captures}
+
+
 def test_no_python_runs(spark):
     found = urls.verdicts(spark.createDataFrame([(1, "http://a.org", at(1))], CAPTURES).repartition(2), spark.createDataFrame([], ENTRIES))
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan(found))

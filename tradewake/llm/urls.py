@@ -6,10 +6,10 @@ against the entries that were active when it was fetched: the capture's host and
 the prefixes of its path, are joined by equality with the patterns, and the interval must contain the time
 of the fetch. Of several active entries the most specific decides, and a block before an allowance.
 
-Scale: a capture gives at most ``MAX_LABELS`` * (1 + ``MAX_SEGMENTS``) keys, bounded by the form of addresses and not
-by the data, and carries no page content. Captures are first reduced to distinct addresses and times, and keys that no
+Scale: a capture gives a key for each depth (labels of the domain, segments of the path) that occurs in the lists and that its
+address reaches; depths are few, whatever the number of entries, and no page content is carried. Captures are first reduced to distinct addresses and times, and keys that no
 list has are dropped by the join; where one host holds many captures the join is an ordinary equality join that
-adaptive execution splits. Nothing is broadcast by force and no Python runs.
+adaptive execution splits. Of the lists only their distinct depths go to the driver, and no Python runs.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# A host has at most 127 labels by the rules of names; these are what can be told apart in practice.
-MAX_LABELS = 8
-MAX_SEGMENTS = 4
 BLOCK, ALLOW, REMOVE = "block", "allow", "remove"
 NOT_LISTED = "none"
 
@@ -65,36 +62,41 @@ def validity(entries: DataFrame) -> DataFrame:
     )
 
 
-def _keys(host: Column, path: Column) -> Column:
-    """Patterns that could name an address, as structs of key and specificity: domains, each with path prefixes."""
-    labels = F.split(host, r"\.")
-    first = F.greatest(F.size(labels) - MAX_LABELS, F.lit(0))
-    domains = F.transform(
-        F.sequence(first, F.greatest(F.size(labels) - 1, first)),
-        lambda i: F.struct(
-            F.array_join(F.slice(labels, i + 1, F.size(labels)), ".").alias("domain"), (F.size(labels) - i).alias("labels")
-        ),
-    )
-    parts = F.filter(F.split(F.lower(path), "/"), lambda x: x != "")
-    depth = F.least(F.size(parts), F.lit(MAX_SEGMENTS))
-    prefixes = F.transform(
-        F.sequence(F.lit(0), depth),
-        lambda n: F.struct(
-            F.when(n == 0, F.lit("")).otherwise(F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), n), "/"))).alias("prefix"),
-            n.alias("segments"),
-        ),
-    )
-    return F.flatten(
-        F.transform(
-            domains,
-            lambda d: F.transform(
-                prefixes,
-                lambda p: F.struct(
-                    F.concat(d["domain"], p["prefix"]).alias("key"), (d["labels"] * 16 + p["segments"]).alias("specific")
-                ),
+def _parts(path: Column) -> Column:
+    return F.filter(F.split(F.lower(path), "/"), lambda x: x != "")
+
+
+def _depths(entries: DataFrame) -> list[tuple[int, list[int]]]:
+    """The numbers of labels that occur in patterns, each with the numbers of path segments that occur with it."""
+    host, path = F.split_part("pattern", F.lit("/"), F.lit(1)), F.regexp_replace("pattern", "^[^/]*", "")
+    rows = entries.filter(F.col("pattern").isNotNull()).select(
+        F.size(F.split(host, r"\.")).alias("labels"), F.size(_parts(path)).alias("segments")
+    ).distinct().groupBy("labels").agg(F.sort_array(F.collect_list("segments")).alias("segments")).collect()
+    return sorted((r.labels, list(r.segments)) for r in rows)
+
+
+def _keys(host: Column, path: Column, depths: list[tuple[int, list[int]]]) -> Column:
+    """Patterns that could name an address, as structs of key, labels and segments: domains, each with path prefixes.
+
+    Only those of the given depths, as no pattern has others.
+    """
+    if not depths:
+        return F.array().cast("array<struct<key:string,labels:int,segments:int>>")
+    labels, parts = F.split(host, r"\."), _parts(path)
+    given = F.array(*(F.struct(F.lit(n).alias("labels"), F.array(*map(F.lit, ms)).alias("segments")) for n, ms in depths))
+
+    def keys(d: Column) -> Column:
+        domain = F.array_join(F.slice(labels, F.size(labels) - d["labels"] + 1, d["labels"]), ".")
+        return F.transform(
+            F.filter(d["segments"], lambda m: m <= F.size(parts)),
+            lambda m: F.struct(
+                F.concat(domain, F.when(m == 0, "").otherwise(F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), m), "/")))).alias("key"),
+                d["labels"].alias("labels"),
+                m.alias("segments"),
             ),
         )
-    )
+
+    return F.flatten(F.transform(F.filter(given, lambda d: d["labels"] <= F.size(labels)), keys))
 
 
 def verdicts(
@@ -113,15 +115,15 @@ def verdicts(
         F.col(time_col).alias("time"),
     )
     addresses = rows.filter(F.col("host").isNotNull() & F.col("time").isNotNull()).select("host", "path", "time").distinct()
-    keys = addresses.select("host", "path", "time", F.inline(_keys(F.col("host"), F.col("path"))))
     intervals = validity(entries)
+    keys = addresses.select("host", "path", "time", F.inline(_keys(F.col("host"), F.col("path"), _depths(entries))))
     active = keys.join(intervals, keys["key"] == intervals["pattern"]).filter(
         (F.col("time") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("time") < F.col("valid_to")))
     )
     # The best entry as a minimum: most specific, block first, latest, then by name.
     order = F.struct(
-        (-F.col("specific")).alias("a"), F.when(F.col("action") == BLOCK, 0).otherwise(1).alias("b"),
-        (-F.unix_micros(F.col("valid_from").cast("timestamp"))).alias("c"), F.col("list"), F.col("pattern"),
+        (-F.col("labels")).alias("a"), (-F.col("segments")).alias("s"),
+        F.when(F.col("action") == BLOCK, 0).otherwise(1).alias("b"), (-F.unix_micros(F.col("valid_from").cast("timestamp"))).alias("c"), F.col("list"), F.col("pattern"),
         F.col("action"), F.col("valid_from"),
     )
     best = active.groupBy("host", "path", "time").agg(F.min(order).alias("best")).select(
