@@ -90,6 +90,27 @@ def test_what_is_not_valid_stays(spark, text):
     assert changed(spark, text) == [text]
 
 
+def plain_phone(text):
+    digits = re.sub(r"\D", "", text)
+    return re.sub(r"\d", "{}", text).format(*(digits[0] + plain_digits(digits[1:], "phone")))
+
+
+def test_phones_end_before_the_next_number(spark):
+    phones = ["+1 (826) 555-4081", "+1 843-555-7672", "+44 20 7946 0958", "+49 30 1234567", "+49 30 170-12-3456", "+33.12.34.56.78"]
+    # What follows, and what it becomes.
+    behind = [
+        ("190.137.223.204", plain_address("190.137.223.204")), ("10.0.0.7", plain_address("10.0.0.7")), ("2024-02-29", plain_date("2024-02-29")),
+        ("28.02.1985", plain_date("28.02.1985", "%d.%m.%Y")), ("4111111111111111", plain_card("4111111111111111")), ("123456 items", "123456 items"),
+        ("10:30", "10:30"), ("1,250 items", "1,250 items"),
+    ]
+    texts = [(f"call {p} {b} now", f"call {plain_phone(p)} {new} now") for p in phones for b, new in behind]
+    # Behind country code 1 the digits are counted; elsewhere a short number cannot be told from a last group.
+    texts += [(f"{p} {b}", f"{plain_phone(p)} {b}") for p in phones[:2] for b in ("24 hours", "1234", "555 1234")]
+    assert changed(spark, *(old for old, _ in texts)) == [new for _, new in texts]
+    alone = phones + ["+123456789012345", "+12 34 56 78", "+49 176 12 345678", "+44 20-79 46 09-58"]
+    assert changed(spark, *alone) == list(map(plain_phone, alone))
+
+
 def test_mail_and_secrets(spark):
     first, again, other, secret, upper = changed(
         spark, "to ann.34@mail7.example.com, now", "Ann.34@mail7.example.com", "bob@mail7.example.com",

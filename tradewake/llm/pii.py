@@ -27,7 +27,6 @@ _END = r"(?![A-Za-z0-9])"
 _NAME = r"[A-Za-z0-9À-ɏ._%+-]"
 _MAIL = f"(?<!{_NAME}){_NAME}++@" + r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*(?<=\.[A-Za-z]{2,24})"
 _SECRET = _EDGE + r"(?=[A-Fa-f]*[0-9])(?=[0-9]*[A-Fa-f])(?:[0-9a-f]{32,}|[0-9A-F]{32,})" + _END
-_PHONE = r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
 _ADDRESS = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 _ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9])"
 _DAY_FIRST = r"(?<![0-9./])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9]|[./][0-9])"
@@ -35,6 +34,16 @@ _SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 _CARD = _EDGE + (
     r"(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})"
 ) + _END
+# A phone number has 8 to 15 digits, those behind country code 1 eleven. It ends before what is a number of its own form, if it
+# is whole by then, and otherwise goes on as long as it may.
+_GROUP = r"[ .-]?[0-9]{2,4}"
+_OWN = f"{_ADDRESS}|{_ISO_DATE}|{_DAY_FIRST}|" + r"[0-9]+[,:/][0-9]"
+# Java wants the length of what it looks back at spelled out.
+_DIGIT = r"[ .()-]{0,2}[0-9]"
+_WHOLE = r"(?<=\+" + 8 * _DIGIT + 7 * f"(?:{_DIGIT}" + 7 * ")?" + ")(?![0-9])"
+_PHONE = r"(?<![0-9A-Za-z])(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|" + "|".join(
+    r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:" + before + _GROUP + "){2,4}" + _WHOLE for before in (f"(?![ .-](?:{_OWN}|{_SOCIAL}|{_CARD}))", f"(?![ .-](?:{_OWN}))", "")
+) + ")"
 _FORMS = {
     "mail": _MAIL, "secret": _SECRET, "phone": _PHONE, "address": _ADDRESS, "iso_date": _ISO_DATE,
     "day_first": _DAY_FIRST, "social": _SOCIAL, "card": _CARD,
