@@ -115,3 +115,15 @@ def test_copies_with_words_added_or_dropped(spark):
 def test_one_window_of_a_document_stands_for_one_of_the_item(spark):
     line = "round and round the wheels of the old bus go. "
     assert result(spark, [(1, line), (2, line * 6)], [(1, line * 6)]) == {(2, 1): True}
+
+
+def test_verbatim_copies_of_short_items_and_other_cases(spark):
+    items = ["Who wrote the novel Dracula?", "What is the capital city of France?", "Who wrote Dracula?", "Hours of work", "Add 1 2 3 4 5 6 7",
+             "WHO WROTE IT AND WHEN", "Who Wrote The Novel Emma In London", "Anna Lee", "", "?!"]
+    frames_ = "{}", "Question: {}", 'He asked Bob, "{}" Then Ann left.', "Take 3 {} and Then", "So by John {} Smith said"
+    docs = [(100 * i + j, f.format(text)) for i, text in enumerate(items[:8]) for j, f in enumerate(frames_)]
+    found = result(spark, docs, list(enumerate(items)))
+    assert all(found.get((100 * i + j, i)) for i in range(8) for j in range(len(frames_)))
+    assert not [x for x in found if x[1] in (8, 9)]
+    other = [(1, ITEM.lower()), (2, ITEM.title()), (3, "Who wrote the book Dracula?"), (4, "Hours of hard work"), (5, "Add 1 2 3 4 6 5 7")]
+    assert set(result(spark, other, [(50, ITEM), *enumerate(items)])) == {(1, 50), (2, 50)}

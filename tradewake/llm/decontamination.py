@@ -5,7 +5,9 @@ slots, and other words are lower-cased. A document holds an item when at least 0
 words occur within a passage of it of at most twice the item's length, and the slots agree with a renaming: each value
 of the item stands for one value in the document and the other way round. Equal values are the plain case. Words added or
 dropped move the windows behind them, so windows are not held to one alignment; each window of the document
-stands for one of the item's only.
+stands for one of the item's only. What is a name depends on case and on the words around it, so a window may also agree
+with capitalised words and units as plain words; only windows all in capitals agree with names in no such way. Items without
+windows of two words beside placeholders are looked for word by word: in windows of five, or whole if they are shorter.
 
 Scale: documents are read once, in tasks that keep only windows found in a bit map of the benchmark's
 windows. The map has a fixed size (``bits``), which bounds what is broadcast; a larger benchmark only lets more
@@ -20,6 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +54,7 @@ _NAMES = frozenset(
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,:/]\d+)*|[.!?\n]+")
 _WORD, _NUMBER, _CAPITAL, _MARK, _UNIT, _NAME = range(6)
 _CODES = {_NUMBER: 0x9D3F0001, _UNIT: 0x9D3F0003, _NAME: 0x9D3F0005}
+_EXACT = 0x9D3F0100  # added to the words of exact windows, with their width
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -77,17 +81,35 @@ class _Known(dict):
         self._digest = xxhash.xxh64_intdigest
         self.kinds = np.empty(size, dtype=np.uint8)
         self.values = np.empty(size, dtype=np.uint64)
+        self.capitals = np.empty(size, dtype=bool)
 
     def __missing__(self, token: str) -> int:
         n = len(self)
         if n == len(self.kinds):
             self.kinds, self.values = np.resize(self.kinds, 2 * n), np.resize(self.values, 2 * n)
+            self.capitals = np.resize(self.capitals, 2 * n)
         self.kinds[n] = _kind(token)
         self.values[n] = self._digest(token.lower())
+        self.capitals[n] = token.isupper()
         self[token] = n
         return n
 
 
+class Form(NamedTuple):
+    """Windows of a text in one form: word positions, hashes, whether all in capitals, and what gives their slots."""
+
+    pos: np.ndarray
+    hash: np.ndarray
+    loud: np.ndarray
+    values: np.ndarray
+    placeholder: np.ndarray
+    start: np.ndarray
+    width: int
+
+    def of(self, chosen: np.ndarray) -> Form:
+        return self._replace(pos=self.pos[chosen], hash=self.hash[chosen], loud=self.loud[chosen], start=self.start[chosen])
+
+
 class Templates:
     """Windows of texts; what was found for a token is kept, up to a limit that is looked at before each text."""
 
@@ -95,99 +117,146 @@ class Templates:
         self._window, self._limit = window, limit
         self._known = _Known(limit)
 
-    def template(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per template word: its code, its slot value, and whether it is a placeholder."""
+    def _read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Kinds, hashes of the lower case and whether all in capitals, per token."""
         tokens = _TOKEN.findall(text or "")
         if len(self._known) > self._limit:
             self._known = _Known(self._limit)
         known = self._known
         numbers = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-        kind, value = known.kinds[numbers], known.values[numbers]
+        return known.kinds[numbers], known.values[numbers], known.capitals[numbers]
+
+    def template(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per template word: its code, its slot value, and whether it is a placeholder."""
+        kind, value, _ = self._read(text)
+        return self._typed(kind, value)[:3]
+
+    @staticmethod
+    def _typed(kind: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The template's code, value and flags, and per template word the number of words before it in the text."""
         before = np.append(np.uint8(_MARK), kind[:-1])
         name = (kind == _NAME) | ((kind == _CAPITAL) & (before != _MARK))
         slot = np.where(kind == _NUMBER, _NUMBER, 0)
         slot = np.where((kind == _UNIT) & (before == _NUMBER), _UNIT, slot)
         slot = np.where(name, _NAME, slot)
+        at = np.cumsum(kind != _MARK) - 1
         # Words of one name are one placeholder.
         go_on = name & np.append(False, name[:-1])
         first = np.flatnonzero(~go_on)
         if len(first) < len(kind):
             value = np.add.reduceat(value, first)
-            kind, slot = kind[first], slot[first]
+            kind, slot, at = kind[first], slot[first], at[first]
         code = value.copy()
         for which, constant in _CODES.items():
             code[slot == which] = constant
         word = kind != _MARK
-        return code[word], value[word], slot[word] > 0
+        return code[word], value[word], slot[word] > 0, at[word]
 
-    def windows(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Positions and hashes of the text's windows, and its slot values and placeholder flags per word."""
-        code, value, placeholder = self.template(text)
-        n = len(code) - self._window + 1
+    def _hashes(self, code: np.ndarray, placeholder: np.ndarray, least: int = _MIN_WORDS, width: int | None = None):
+        """Positions and hashes of windows with so many words that are not placeholders."""
+        width = width or self._window
+        n = len(code) - width + 1
         if n <= 0:
-            return np.empty(0, np.int64), np.empty(0, np.int64), value, placeholder
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         total = np.zeros(n, dtype=np.uint64)
         words = np.zeros(n, dtype=np.int64)
-        for i in range(self._window):
+        for i in range(width):
             total = total * _BASE + code[i : i + n]
             words += ~placeholder[i : i + n]
         total ^= total >> np.uint64(31)
         total *= _BASE
         total ^= total >> np.uint64(29)
-        at = np.flatnonzero(words >= _MIN_WORDS)
-        return at, total[at].view(np.int64), value, placeholder
-
-
-def _rows(
-    ids: list, texts: Iterable, window: int, allowed: np.ndarray | None, templates: Templates | None = None
-) -> dict | None:
-    """Columns id, pos, hash, slots, n of the texts' windows; of those in the bit map if there is one."""
-    templates = templates or Templates(window)
-    out_id, out_pos, out_hash, out_slots, out_n = [], [], [], [], []
-    for id_, text in zip(ids, texts):
-        at, hashes, value, placeholder = templates.windows(text)
-        n = len(at)
-        if allowed is not None and n:
-            hit = is_set(allowed, hashes)
-            at, hashes = at[hit], hashes[hit]
-        if not len(at):
-            continue
-        out_id.append(np.full(len(at), len(out_n)))
-        out_n.append((id_, n))
-        out_pos.append(at)
-        out_hash.append(hashes)
-        values = value.view(np.int64)
-        for p in at.tolist():
-            inside = placeholder[p : p + window]
-            out_slots.append(values[p : p + window][inside].tolist() if inside.any() else [])
-    if not out_n:
-        return None
-    number = np.concatenate(out_id)
-    return {
-        "id": pa.array([out_n[i][0] for i in number.tolist()]),
-        "pos": pa.array(np.concatenate(out_pos)),
-        "hash": pa.array(np.concatenate(out_hash)),
-        "slots": pa.array(out_slots, pa.list_(pa.int64())),
-        "n": pa.array([out_n[i][1] for i in number.tolist()], pa.int64()),
-    }
-
-
-def template_windows(texts: DataFrame, id_col: str, text_col: str, window: int = WINDOW, only=None) -> DataFrame:
-    """(id long, pos, hash, slots, n): windows with their slot values, n counting all windows of the text.
-
-    ``only`` is a broadcast of a bit map of hashes; then only windows found in it are given.
+        at = np.flatnonzero(words >= least)
+        return at, total[at].view(np.int64)
+
+    def windows(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Positions and hashes of the text's windows, and its slot values and placeholder flags per word."""
+        code, value, placeholder = self.template(text)
+        return *self._hashes(code, placeholder), value, placeholder
+
+    def forms(self, text: str | None, widths: Iterable[int] = ()) -> list[Form]:
+        """The typed windows, those with only numbers as placeholders, and exact ones of the given widths.
+
+        Positions are counted in words of the text in all of them, so that they can stand for one another.
+        """
+        kind, value, capitals = self._read(text)
+        code, values, placeholder, start = self._typed(kind, value)
+        at, hashes = self._hashes(code, placeholder)
+        word = kind != _MARK
+        plain, number, capitals = value[word], kind[word] == _NUMBER, capitals[word] | (kind[word] == _NUMBER)
+        shouted = np.flatnonzero(np.convolve(~capitals, np.ones(self._window, np.int64), "valid") == 0) if len(plain) >= self._window else []
+        loud = np.zeros(len(plain) + 1, dtype=bool)
+        loud[shouted] = True
+        typed = Form(start[at], hashes, loud[start[at]], values, placeholder, at, self._window)
+        at, hashes = self._hashes(np.where(number, np.uint64(_CODES[_NUMBER]), plain), number)
+        out = [typed, Form(at, hashes, loud[at], plain, number, at, self._window)]
+        nothing = np.zeros(len(plain), dtype=bool)
+        for width in widths:
+            at, hashes = self._hashes(plain + np.uint64(_EXACT + width), nothing, 1, width)
+            if width < self._window:
+                hashes, first = np.unique(hashes, return_index=True)
+                at = at[first]
+            out.append(Form(at, hashes, nothing[at], plain, nothing, at, width))
+        return out
+
+
+_SCHEMA = "id long, pos long, hash long, slots array<long>, n long, form int, loud boolean, width int"
+
+
+def _item_forms(forms: list[Form]) -> list[tuple[int, Form]]:
+    """The forms that stand for an item, numbered: typed windows and the plain ones at their places.
+
+    Without typed windows all plain ones, and without these exact ones: of five words, or of all if there are fewer.
+    """
+    typed, plain, *exact = forms
+    if len(typed.pos):
+        return [(0, typed), (1, plain.of(np.isin(plain.pos, typed.pos)))]
+    if len(plain.pos):
+        return [(1, plain)]
+    return [(2, f) for f in exact if len(f.pos)][-1:]
+
+
+def _doc_forms(forms: list[Form], allowed: np.ndarray) -> list[tuple[int, Form]]:
+    return [(min(i, 2), f.of(is_set(allowed, f.hash))) for i, f in enumerate(forms) if len(f.hash)]
+
+
+def template_windows(
+    texts: DataFrame, id_col: str, text_col: str, window: int = WINDOW, only=None, widths: Iterable[int] = ()
+) -> DataFrame:
+    """(id long, pos, hash, slots, n, form, loud, width): windows with their slot values, n counting an item's places.
+
+    ``only`` is a broadcast of a bit map of hashes; then the texts are documents, and only windows found in it are given.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         allowed = None if only is None else np.frombuffer(only.value, dtype=np.uint8)
         templates = Templates(window)
         for batch in sliced(batches):
-            columns = _rows(batch.column(0).to_pylist(), batch.column(1).to_pylist(), window, allowed, templates)
-            if columns is not None:
-                yield pa.RecordBatch.from_pydict(columns)
+            parts, slots = [], []
+            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                forms = templates.forms(text, widths)
+                chosen = _item_forms(forms) if allowed is None else _doc_forms(forms, allowed)
+                n = len(chosen[0][1].pos) if chosen else 0
+                for which, f in chosen:
+                    if not len(f.pos):
+                        continue
+                    parts.append((id_, n, which, f))
+                    values = f.values.view(np.int64)
+                    for p in f.start.tolist():
+                        inside = f.placeholder[p : p + f.width]
+                        slots.append(values[p : p + f.width][inside].tolist() if inside.any() else [])
+            if parts:
+                sizes = [len(f.pos) for *_, f in parts]
+                each = lambda i, kind: pa.array(np.repeat(np.array([x[i] for x in parts], kind), sizes))
+                yield pa.RecordBatch.from_pydict({
+                    "id": each(0, np.int64), "pos": pa.array(np.concatenate([f.pos for *_, f in parts])),
+                    "hash": pa.array(np.concatenate([f.hash for *_, f in parts])), "slots": pa.array(slots, pa.list_(pa.int64())),
+                    "n": each(1, np.int64), "form": each(2, np.int32), "loud": pa.array(np.concatenate([f.loud for *_, f in parts])),
+                    "width": pa.array(np.repeat(np.array([f.width for *_, f in parts], np.int32), sizes)),
+                })
 
     chosen = texts.select(F.col(id_col).cast("long"), F.col(text_col)).filter(F.col(id_col).isNotNull())
-    return chosen.mapInArrow(find, "id long, pos long, hash long, slots array<long>, n long")
+    return chosen.mapInArrow(find, _SCHEMA)
 
 
 def _aligned(hits: list[dict], shift: int) -> list[dict]:
@@ -235,41 +304,51 @@ def matches(
 ) -> DataFrame:
     """(id, item, share, exact): a row for each document and item it holds, for its best passage.
 
-    ``exact`` tells whether all slots have the item's own values. Null and empty texts, and those of fewer
-    template words than a window, hold nothing and are held by nothing; so are windows with fewer than two words
-    that are not placeholders. Rows with a null id are left out. Repeated rows count once; of several rows with one
+    ``exact`` tells whether all slots have the item's own values. Null texts and those without words or numbers hold nothing
+    and are held by nothing. A verbatim copy is always found. Rows with a null id are left out. Repeated rows count once; of several rows with one
     id any may match. Other columns have no effect; with no documents or no items there are no rows.
     """
     spark = docs.sparkSession
     items = stored(
-        template_windows(benchmark, item_col, item_text_col, window)
+        template_windows(benchmark, item_col, item_text_col, window, widths=range(1, window + 1))
         .groupBy(F.col("id").alias("item"), F.col("pos").alias("item_pos"), "hash")
-        .agg(F.min("slots").alias("item_slots"), F.max("n").alias("n")),
+        .agg(
+            F.min("slots").alias("item_slots"), F.max("n").alias("n"), F.max("width").alias("width"),
+            F.max(F.when(F.col("form") == 2, F.col("width"))).alias("exact_width"),
+            # A typed window, or one all in capitals, may stand for one all in capitals.
+            F.max((F.col("form") != 1) | F.col("loud")).alias("any_case"),
+        ),
         "benchmark-windows",
     )
     known = spark.sparkContext.broadcast(bit_map(items, bits))
+    # At most as many as a window has words.
+    widths = sorted(r[0] for r in items.filter("exact_width is not null").select("exact_width").distinct().collect())
     hits = stored(
-        template_windows(docs, id_col, text_col, window, known)
+        template_windows(docs, id_col, text_col, window, known, widths)
         .groupBy("id", "pos", "hash")
-        .agg(F.min("slots").alias("slots")),
+        .agg(F.min("slots").alias("slots"), F.min("loud").alias("loud")),
         "document-windows",
     )
     # The rarest windows of each item; an item's windows are as many as its words.
     common = items.groupBy("hash").agg(F.count_distinct("item").alias("items"))
-    by_rarity = Window.partitionBy("item").orderBy("items", "hash", "item_pos")
-    anchors = (
+    by_rarity = Window.partitionBy("item").orderBy("items", "item_pos")
+    rarest = (
         items.join(common, "hash")
+        .groupBy("item", "item_pos")
+        .agg(F.max("items").alias("items"), F.max("n").alias("n"))
         .withColumn("rank", F.row_number().over(by_rarity))
         .filter(F.col("rank") <= F.floor(F.col("n") * (1 - share) + 1e-9) + 1)
-        .select("item", "hash")
-        .distinct()
+        .select("item", "item_pos")
     )
-    reach = items.groupBy("item").agg((2 * (F.max("item_pos") + window)).alias("reach"))
-    candidates = hits.join(anchors, "hash").select("id", "item").distinct()
+    anchors = items.join(rarest, ["item", "item_pos"]).select("item", "hash", "any_case").distinct()
+    reach = items.groupBy("item").agg((2 * F.max(F.col("item_pos") + F.col("width"))).alias("reach"))
+    same = F.col("any_case") | ~F.col("loud")
+    candidates = hits.join(anchors, "hash").filter(same).select("id", "item").distinct()
     part = F.floor(F.col("pos") / F.col("reach"))
     passages = (
         candidates.join(items.join(reach, "item"), "item")
         .join(hits, ["id", "hash"])
+        .filter(same)
         # A passage lies in one of the parts of twice its length, which begin at every passage's length.
         .withColumn("part", F.explode(F.when(part > 0, F.array(part - 1, part)).otherwise(F.array(part))))
         .groupBy("id", "item", "part")
