@@ -75,6 +75,29 @@ def bit_map(hashes: DataFrame, bits: int) -> bytes:
     return table.tobytes()
 
 
+def bits_for(n: int, per_entry: int = 16, least: int = 1 << 20, most: int = 1 << 29) -> int:
+    """The size of a map for so many entries, a power of two; ``most`` (64 MB) bounds what is broadcast."""
+    return min(max(1 << (per_entry * max(n, 1) - 1).bit_length(), least), most)
+
+
+SMALL_ROWS = 1_000_000  # of a few numbers each: some tens of megabytes
+SALTS = 32
+
+
+def with_lookup(rows: DataFrame, lookup: DataFrame, on: list[str], salt: Column, small: int = SMALL_ROWS) -> DataFrame:
+    """The rows joined (inner) with a stored table of narrow rows, one for each key, whatever the keys' sizes.
+
+    The table is counted. Up to ``small`` rows it is broadcast; beyond, each of its rows is repeated for a few salts
+    and the rows are dealt to them by ``salt``, any column of whole numbers, so that a hot key is in many tasks. A null
+    in a key joins nothing.
+    """
+    if lookup.count() <= small:
+        return rows.join(F.broadcast(lookup), on)
+    salted = lookup.withColumn("salt of key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("salt of key", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, [*on, "salt of key"]).drop("salt of key")
+
+
 def is_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether the bits of some hashes are set in a map, given as bytes in an array."""
     place = hashes.view(np.uint64) & np.uint64(8 * len(table) - 1)

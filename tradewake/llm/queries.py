@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import corpus_pipeline
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
     decontamination,
     embeddings,
     language,
+    line_dedup,
+    merkle,
     packing,
     pii,
     quality,
     sharding,
     simhash,
+    spelling,
     token_counts,
     urls,
 )
@@ -215,6 +219,148 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs).drop("text")
 
 
+def lower_ascii(text: Column) -> Column:
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    proven = merkle.manifest(
+        docs,
+        group_col="lang",
+        id_col="doc_id",
+        columns=["doc_id", "source", "lang", "n_chars", "text"],
+        changed={"text": lower_ascii(F.col("text"))},
+        where=fold("doc_id", 3) == 0,
+    )
+    return proven.withColumn("verified", F.col("folded_root") == F.col("root")).withColumnRenamed("id", "doc_id")
+
+
+# CRC-32 of a list of bytes, with the usual table made from its polynomial.
+_CRC_STEPS = """steps as (
+  select list_transform(range(256), lambda n: list_reduce([n::bigint, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end)) as t
+)"""
+
+
+def _crc_sql(text: str) -> str:
+    return f"""xor(4294967295::bigint, list_reduce(list_concat([4294967295::bigint],
+      list_transform(range(length(hex(encode({text}))) // 2), lambda i: ('0x' || substr(hex(encode({text})), 2 * i::int + 1, 2))::bigint)),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)))"""
+
+
+_UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
+_PART = "case when {0} is null then '-' else strlen({0}::varchar)::varchar || ':' || {0}::varchar end"
+_LEAF = "sha256(" + " || ".join(_PART.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_OP11_SQL = f"""
+with recursive {_CRC_STEPS}, leaves as (
+  select doc_id, lang, dense_rank() over (order by lang nulls first) - 1 as tree,
+         row_number() over (partition by lang order by doc_id) - 1 as rank, {_LEAF.format(text="text")} as leaf,
+         case when {_crc_sql("doc_id::varchar")} % 3 = 0
+              then {_LEAF.format(text=f"translate(text, '{_UPPER}', '{_LOWER}')")} else {_LEAF.format(text="text")} end as other
+  from documents, steps
+), up as (
+  select tree, 0 as level, rank, leaf as node, count(*) over (partition by tree) as n from leaves
+  union all
+  select tree, level + 1, rank // 8, sha256(string_agg(node, '' order by rank)), (max(n) + 7) // 8
+  from up where n > 1 group by tree, level, rank // 8
+), subroots as (select tree, node as subroot, max(level) over () as top from up where n = 1
+), over_trees as (
+  select 0 as level, tree as rank, subroot as node, (select count(*) from subroots) as n from subroots
+  union all
+  select level + 1, rank // 8, sha256(string_agg(node, '' order by rank)), (max(n) + 7) // 8
+  from over_trees where n > 1 group by level, rank // 8
+), root as (select node as root from over_trees where n = 1
+), nodes as (
+  select tree, level, rank, node from up where n > 1
+  union all select -1, level, rank, node from over_trees where n > 1
+), steps_up as (
+  select distinct d.doc_id, d.tree, u.tree as of, u.level,
+         case when u.tree = -1 then d.tree else d.rank end // (8::bigint ** u.level)::bigint as rank,
+         case when u.tree = -1 then 1000 else 0 end + u.level as step
+  from leaves d join (select distinct tree, level from nodes) u on u.tree = d.tree or u.tree = -1
+), sides as (
+  select s.doc_id, s.step, coalesce(string_agg(k.node, '' order by k.rank) filter (k.rank < s.rank), '') as before,
+         coalesce(string_agg(k.node, '' order by k.rank) filter (k.rank > s.rank), '') as after
+  from steps_up s join nodes k on k.tree = s.of and k.level = s.level and k.rank // 8 = s.rank // 8
+  group by s.doc_id, s.step
+), ways as (
+  select doc_id, list(before || '|' || after order by step) as way, string_agg(before || after, '' order by step) as siblings
+  from sides group by doc_id
+), folded as (
+  select doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) as proof_sha256,
+         list_reduce(list_concat([other], coalesce(way, [])),
+                     lambda a, x: sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) as folded_root
+  from leaves join subroots using (tree) left join ways using (doc_id), root
+)
+select *, folded_root = root as verified from folded
+"""
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_documents(spark, sf_dir))
+
+
+_OP12_SQL = f"""
+with recursive {_CRC_STEPS}, runs as (
+  select doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) as run
+  from documents
+), counted as (select doc_id, run, count(*) as n from runs group by all
+), coded as (
+  select run, n, {_crc_sql("coalesce(doc_id::varchar, '') || ':' || run")} as code from counted, steps
+), spelled as (
+  select case when code % 31 = 0 then left(run, (code % length(run))::int) || substr(run, (code % length(run))::int + 2)
+              else run end as word, n
+  from coded
+), words as (
+  select word, sum(n)::bigint as n from spelled where length(word) >= 7 group by word having sum(n) >= 2
+), cut as (
+  select word, n, i, left(word, i::int) || substr(word, i::int + 2) as rest
+  from (select word, n, unnest(range(length(word))) as i from words)
+), pairs as (
+  select a.word, a.n, b.word as near, b.n as near_n
+  from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select a.word, a.n, b.word, b.n from cut a join words b on a.rest = b.word
+  union select b.word, b.n, a.word, a.n from cut a join words b on a.rest = b.word
+), best as (
+  select *, row_number() over (partition by word order by near_n desc, encode(near)) as r,
+         count(*) over (partition by word) as n_near
+  from pairs
+), forms as (
+  select words.word, words.n, coalesce(n_near, 0) as n_near, case when near_n >= 10 * words.n then near end as form,
+         case when near_n >= 10 * words.n then near_n end as form_n
+  from words left join (select * from best where r = 1) using (word)
+), ways as (
+  select word, word as root, form as next from forms
+  union all select ways.word, forms.word, forms.form from ways join forms on ways.next = forms.word
+)
+select word, form, root, n, n_near, form_n from forms join (select word, root from ways where next is null) using (word)
+"""
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.without_repeated_lines(_documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+_OP13_SQL = f"""
+with cut as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as place
+  from documents
+), keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') as key from cut
+), repeated as (
+  select key, max(doc_id) as last from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5
+), judged as (
+  select keyed.*, last is not null and doc_id <> last as gone from keyed left join repeated using (key)
+)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by place) filter (gone = false), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+
 _OP1_SQL = """
 with recursive v as (
   select vec_id, label, embedding::double[] as e from embeddings
@@ -242,10 +388,21 @@ _QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_pii": op9_pii,
     "op10_token_counts": op10_token_counts,
+    "op11_merkle": op11_merkle,
+    "op12_spelling": op12_spelling,
+    "op13_line_dedup": op13_line_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
-_SQL = {"op1_embeddings": _OP1_SQL, "op4_url_lists": _OP4_SQL, "op7_sharding": _OP7_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+_SQL = {
+    "op1_embeddings": _OP1_SQL,
+    "op4_url_lists": _OP4_SQL,
+    "op7_sharding": _OP7_SQL,
+    "op11_merkle": _OP11_SQL,
+    "op12_spelling": _OP12_SQL,
+    "op13_line_dedup": _OP13_SQL,
+    "pipeline": corpus_pipeline.ORACLE_SQL,
+}
 
 
 def queries() -> dict[str, Query]:
