@@ -11,7 +11,6 @@ from tokenizers import Tokenizer
 from tradewake.llm import packing, pretokens, token_counts
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 LIBRARY = Tokenizer.from_file(JSON)
 ODD = [
     "", " ", "a  b", " lead", "trail ", "x\n y", "x \ny", "\n\n a", "日本語 text ça 123!!", "hi <|endoftext|> you<|endoftext|>",
@@ -28,7 +27,7 @@ def ids(text):
 @given(st.lists(st.text(st.sampled_from("abz AZé  \n\n'std.,!7?×"), max_size=40), max_size=5))
 def test_any_text_is_encoded_and_counted_as_the_library_does(texts):
     wanted = [ids(t) for t in texts]
-    encoded = packing.Encoder(JSON, RANKS).encode(texts)
+    encoded = packing.Encoder(JSON).encode(texts)
     assert [np.frombuffer(x, "<u4").tolist() for x in encoded] == [[*w, 0] for w in wanted]
     assert token_counts.Counter(JSON).count(texts).tolist() == [len(w) for w in wanted]
 
@@ -40,11 +39,37 @@ def test_odd_and_long_texts(monkeypatch, limit, size):
     monkeypatch.setattr(pretokens, "grouped", lambda texts: original(texts, size))
     texts = ODD + ["many words in one long text, and more. " * 200] + ODD[:3]
     wanted = [ids(t) for t in texts]
-    encoded = list(packing.Encoder(JSON, RANKS, limit).encode(texts))
+    encoded = list(packing.Encoder(JSON, limit).encode(texts))
     assert [np.frombuffer(x, "<u4").tolist() for x in encoded] == [[*w, 0] for w in wanted]
     assert token_counts.Counter(JSON, limit).count(texts).tolist() == [len(w) for w in wanted]
 
 
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 2048, 4096, 8192])
+@pytest.mark.parametrize("letters", ["at", "en"])
+def test_parts_that_share_a_hash_are_told_apart(n, letters):
+    """A polynomial hash modulo 2^64 cannot tell these strings from those with swapped letters."""
+    one, other = thue_morse(n, letters), thue_morse(n, letters[::-1])
+    lists = [[f"{one} {other}", f"x {other}  {one}"], [one, other], [other], [f"{one}"] * 3]
+    encoder, counter = packing.Encoder(JSON), token_counts.Counter(JSON)
+    for texts in lists:  # in one text, in two, and over several batches
+        wanted = [ids(t) for t in texts]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [[*w, 0] for w in wanted]
+        assert counter.count(texts).tolist() == [len(w) for w in wanted]
+
+
+def test_every_part_is_compared_with_the_one_that_stands_for_it(monkeypatch):
+    """With one hash for all parts, numbers still follow the parts."""
+    monkeypatch.setattr(pretokens, "_hashes", lambda data, starts: np.zeros(len(starts), dtype=np.uint64))
+    texts = [*ODD, "a ab abc abcdefgh abcdefghi abcdefgh  abcdefghj " + "z" * 300 + " " + "z" * 299 + "y"] * 2
+    wanted = [ids(t) for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.Encoder(JSON, 30).encode(texts)] == [[*w, 0] for w in wanted]
+    assert token_counts.Counter(JSON).count(texts).tolist() == [len(w) for w in wanted]
+
+
 def test_counts_of_a_frame(spark):
     rows = [(i, t, "clash") for i, t in enumerate([*ODD, None, "word " * 513])] + [(None, "x", "y"), (0, "", "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -40,9 +39,9 @@ _SEQUENCE_BITS = 33  # running number within a partition
 class Encoder:
     """Token ids of texts, as the tokenizers library gives them; equal pre-tokens are encoded once."""
 
-    def __init__(self, json_path: str, ranks_path: str, limit: int = 250_000):
-        self._json_path = json_path
-        self._piece = _rank_encoding(ranks_path)._core_bpe.encode_single_piece
+    def __init__(self, json_path: str, limit: int = 250_000):
+        self._library = pretokens.library_tokenizer(json_path)
+        self._character = dict(enumerate(pretokens.byte_characters()))
         self._numbers = pretokens.Numbering(limit)
         self._forget()
 
@@ -53,7 +52,11 @@ class Encoder:
         self._end_number = -1
 
     def _learn(self, fresh: list[bytes]) -> None:
-        found = [[END_ID] if part == pretokens.END else self._piece(part) for part in fresh]
+        tokenize, character = self._library.model.tokenize, self._character
+        found = [
+            [END_ID] if part == pretokens.END else [t.id for t in tokenize(part.decode("latin-1").translate(character))]
+            for part in fresh
+        ]
         if pretokens.END in fresh:
             self._end_number = len(self._start) + fresh.index(pretokens.END)
         length = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
@@ -90,23 +93,10 @@ class Encoder:
             if plain:
                 yield next(ended)
             else:
-                ids = pretokens.library_tokenizer(self._json_path).encode(text, add_special_tokens=False).ids
+                ids = self._library.encode(text, add_special_tokens=False).ids
                 yield np.array([*ids, END_ID], dtype="<u4").tobytes()
 
 
-@lru_cache(maxsize=2)
-def _rank_encoding(path: str):
-    """The same vocabulary as ranks; the library for these encodes short strings faster."""
-    import base64
-
-    import public_tokenizers
-    import tiktoken
-
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
 def is_power_of_two(n: int) -> bool:
     return n & (n - 1) == 0
 
@@ -214,7 +204,6 @@ class SumOfSquares:
 def pack(
     docs: DataFrame,
     json_path: str | None = None,
-    ranks_path: str | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     window: int = WINDOW,
@@ -226,11 +215,10 @@ def pack(
     null ids included; columns besides id and text have no effect. An empty table gives no rows.
     """
     json_path = pretokens.vocabulary_file(json_path, "byte_bpe_50k.json")
-    ranks_path = pretokens.vocabulary_file(ranks_path, "byte_bpe_50k.tiktoken")
     id_type = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(json_path, ranks_path)
+        encoder = Encoder(json_path)
         packer = SumOfSquares(window)
         first = TaskContext.get().partitionId() << _SEQUENCE_BITS
         # Documents with pieces not yet given out: number -> [id, bytes of their last tokens, how many are still to

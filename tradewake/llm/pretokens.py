@@ -6,8 +6,8 @@ letters) the parts follow from the class of each byte and of its neighbours, so
 operations over the texts of a batch joined together. Other texts, and texts that hold special strings, go
 to the library's own splitter.
 
-Parts repeat a lot. A worker numbers the distinct ones by a 64-bit hash of their bytes, so that
-what follows (merging) is done once per part; when it holds more than its limit it starts afresh.
+Parts repeat a lot. A worker numbers the distinct ones, so that what follows (merging) is done once per part; when it
+holds more than its limit it starts afresh. A hash only brings equal parts together: their bytes are compared.
 """
 
 from __future__ import annotations
@@ -32,6 +32,14 @@ for _bytes, _kind in ((range(65, 91), _LETTER), (range(97, 123), _LETTER), (rang
     _CLASS[list(_bytes)] = _kind
 
 
+@lru_cache(maxsize=1)
+def byte_characters() -> list[str]:
+    """The printable character by which such vocabularies write each byte."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return [chr(b if b in set(plain) else 256 + rest.index(b)) for b in range(256)]
+
+
 def is_usual(text: str) -> bool:
     """Whether the text has usual characters only and no special string."""
     return not _UNUSUAL.search(text) and END_OF_TEXT not in text
@@ -132,41 +140,63 @@ def _hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return (value ^ (value >> np.uint64(29))) * _BASE
 
 
+_DIRECT = 256  # bytes; longer parts are compared as byte strings
+
+
+def _unlike(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Places of the parts that differ from another part each, given by its place; compared byte by byte, eight at a time."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    words = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    length = ends - starts
+    differs = length != length[other]
+    active = np.flatnonzero(~differs & (other != np.arange(len(starts))))
+    for at in active[length[active] > _DIRECT].tolist():
+        a, b = slice(starts[at], ends[at]), slice(starts[other[at]], ends[other[at]])
+        differs[at] = data[a].tobytes() != data[b].tobytes()
+    active = active[length[active] <= _DIRECT]
+    for offset in range(0, _DIRECT, 8):
+        if not len(active):
+            break
+        unequal = words[starts[active] + offset] ^ words[starts[other[active]] + offset]
+        spare = np.maximum(offset + 8 - length[active], 0).astype(np.uint64)  # bytes beyond the part
+        differs[active] |= (unequal << (np.uint64(8) * spare)) != 0
+        active = active[length[active] > offset + 8]
+    return np.flatnonzero(differs)
+
+
 class Numbering:
-    """Numbers for distinct pre-tokens, from 0; grows until ``limit`` and then forgets all."""
+    """Numbers for distinct pre-tokens, from 0; grows until ``limit`` and then forgets all.
+
+    Within a group equal parts are brought together by a hash, and each is compared with the one that stands for it, so
+    that parts which share a hash are told apart. Numbers are kept by the parts themselves.
+    """
 
     def __init__(self, limit: int = 250_000):
         self._limit = limit
         self.clear()
 
     def clear(self) -> None:
-        self._hash = np.empty(0, dtype=np.uint64)
-        self._number = np.empty(0, dtype=np.int64)
+        self._numbers: dict[bytes, int] = {}
 
     def __len__(self) -> int:
-        return len(self._hash)
+        return len(self._numbers)
 
     def of(self, group: bytes) -> tuple[np.ndarray, list[bytes], bool]:
         """The number of each pre-token of a joined group, the new ones, and whether numbers began afresh."""
         data = np.frombuffer(group, dtype=np.uint8)
         starts = starts_of(data)
-        distinct, inverse = np.unique(_hashes(data, starts), return_inverse=True)
-        at = np.searchsorted(self._hash, distinct)
-        known = self._hash[np.minimum(at, len(self) - 1)] == distinct if len(self) else np.zeros(len(distinct), bool)
-        afresh = len(self) + int((~known).sum()) > self._limit and len(self) > 0
+        ends = np.append(starts[1:], len(data))
+        _, first, inverse = np.unique(_hashes(data, starts), return_index=True, return_inverse=True)
+        apart = _unlike(data, starts, ends, first[inverse])
+        places = np.concatenate([first, apart])
+        parts = [group[a:b] for a, b in zip(starts[places].tolist(), ends[places].tolist())]
+        new = [part for part in dict.fromkeys(parts) if part not in self._numbers]
+        afresh = len(self) + len(new) > self._limit and len(self) > 0
         if afresh:
             self.clear()
-            at = np.zeros(len(distinct), dtype=np.int64)
-            known = np.zeros(len(distinct), dtype=bool)
-        first = np.empty(len(distinct), dtype=np.int64)
-        first[inverse[::-1]] = np.arange(len(starts))[::-1]
-        ends = np.append(starts[1:], len(data))
-        new = np.flatnonzero(~known)
-        places = first[new]
-        fresh = [group[a:b] for a, b in zip(starts[places].tolist(), ends[places].tolist())]
-        numbers = np.empty(len(distinct), dtype=np.int64)
-        numbers[known] = self._number[at[known]]
-        numbers[new] = np.arange(len(self), len(self) + len(new))
-        self._hash = np.insert(self._hash, at[new], distinct[new])
-        self._number = np.insert(self._number, at[new], numbers[new])
-        return numbers[inverse], fresh, afresh
+            new = list(dict.fromkeys(parts))
+        self._numbers.update(zip(new, range(len(self), len(self) + len(new))))
+        numbers = np.fromiter(map(self._numbers.__getitem__, parts), dtype=np.int64, count=len(parts))
+        found = numbers[: len(first)][inverse]
+        found[apart] = numbers[len(first) :]
+        return found, new, afresh

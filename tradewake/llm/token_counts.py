@@ -29,13 +29,6 @@ _NONE = np.iinfo(np.int32).max
 _SHIFT = 20  # bits of a symbol number in the key of a pair
 
 
-def _byte_characters() -> list[str]:
-    """The printable character by which such vocabularies write each byte."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return [chr(b if b in set(plain) else 256 + rest.index(b)) for b in range(256)]
-
-
 class Merges:
     """The merge table of a vocabulary file, as arrays."""
 
@@ -58,7 +51,7 @@ class Merges:
             self._slots[slot[free]] = waiting[free]
             placed = self._slots[slot] == waiting
             waiting, slot = waiting[~placed], (slot[~placed] + 1) % len(self._slots)
-        characters = _byte_characters()
+        characters = pretokens.byte_characters()
         self.of_byte = np.array([vocabulary[c] for c in characters], dtype=np.int32)
         self.byte_of = {c: b for b, c in enumerate(characters)}
 
