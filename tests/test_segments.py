@@ -1,12 +1,15 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from tradewake.model import SEGMENT_INPUTS
-from tradewake.operators import segments
+from tradewake.operators import kmeans, segments
 from tradewake.plans import pipelines
-from tradewake.sources import read_table, write_table
+from tradewake.sources import read_table, stored, write_table
 
 from .helpers import daily_rows, folder_of_jobs, frame
 
@@ -64,6 +67,7 @@ def test_labels_do_not_depend_on_the_layout(stats):
 
     first = labels(stats.coalesce(1))
     assert labels(stats.repartition(7)) == first
+    assert labels(stats.repartition(60)) == first
     assert labels(stats.orderBy(F.desc("log_price_med"))) == first
 
 
@@ -85,6 +89,48 @@ def test_model_gives_the_labels_of_the_map(stats, tmp_path):
     assert {r.type_id: r.segment_id for r in again.collect()} == {r.type_id: r.segment_id for r in labelled.collect()}
 
 
+def test_no_step_gathers_the_items(spark, stats, monkeypatch):
+    """Only aggregates and drawn candidates come to the driver, and no step asks for one partition."""
+    rows = []
+    collect = DataFrame.collect
+
+    def counted(df):
+        found = collect(df)
+        rows.append(len(found))
+        return found
+
+    many = spark.range(3000).select(
+        F.col("id").alias("type_id"), F.lit(1).alias("n_rows"),
+        *((F.pmod(F.xxhash64("id", F.lit(name)), F.lit(1000)) / 100.0).alias(name) for name in SEGMENT_INPUTS),
+    )
+    monkeypatch.setattr(DataFrame, "collect", counted)
+    labelled = segments.fit_segments(many, 5)[1]
+    assert max(rows) < 5 * 2 * 5 * 3 and labelled.filter("segment_id is null").isEmpty()
+
+
+def test_cost_is_near_that_of_another_implementation(spark):
+    """Six overlapping groups; the best of several fits by MLlib is the measure."""
+    draw = np.random.default_rng(1)
+    centers = draw.normal(0, 4, (6, 2))
+    points = np.concatenate([c + draw.normal(0, 1, (200, 2)) for c in centers])
+    df = stored(spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], "id int, x double, y double"), "points")
+    found = kmeans.fit(df, "id", ["x", "y"], 6, seed=42)
+    vectors = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(df).coalesce(1)
+    best = min(KMeans(k=6, seed=s).fit(vectors).summary.trainingCost for s in range(3))
+    assert len(found) == 6 and kmeans.total_cost(df, ["x", "y"], found) < 1.1 * best
+
+
+def test_fewer_points_than_clusters(spark):
+    df = stored(spark.createDataFrame([(1, 0.0), (2, 0.0), (3, 5.0)], "id int, x double"), "points")
+    assert kmeans.fit(df, "id", ["x"], 8, seed=1) == [(0.0,), (5.0,)]
+
+
+def test_an_item_without_a_statistic_has_no_segment(stats):
+    incomplete = stats.withColumn("log_vol_std", F.when(F.col("type_id") % 5 != 0, F.col("log_vol_std")))
+    found = segments.fit_segments(incomplete, 3)[1].collect()
+    assert all((r.segment_id is None) == (r.type_id % 5 == 0) for r in found) and len(found) == stats.count()
+
+
 def test_no_items_is_a_clear_error(stats):
     with pytest.raises(ValueError, match="no items"):
         segments.fit_segments(stats.filter("false"))

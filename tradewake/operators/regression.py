@@ -50,7 +50,7 @@ class RidgeSettings:
     parallel_fits: int = 5  # segments fitted at the same time
 
 
-_VECTOR = "features_raw"
+VECTOR = "features_raw"
 
 
 def vectorizer(settings: RidgeSettings) -> list[Transformer]:
@@ -62,13 +62,13 @@ def vectorizer(settings: RidgeSettings) -> list[Transformer]:
         hasher = FeatureHasher(inputCols=list(settings.categories), outputCol="cat_vec", numFeatures=settings.hash_slots)
         stages.append(hasher)
         inputs.append("cat_vec")
-    return [*stages, VectorAssembler(inputCols=inputs, outputCol=_VECTOR, handleInvalid="keep")]
+    return [*stages, VectorAssembler(inputCols=inputs, outputCol=VECTOR, handleInvalid="keep")]
 
 
 def _estimators(settings: RidgeSettings) -> list[Estimator]:
     """Scaling by deviation only, as centering would make the hashed part dense, and the regression."""
     return [
-        StandardScaler(inputCol=_VECTOR, outputCol="features", withMean=False, withStd=True),
+        StandardScaler(inputCol=VECTOR, outputCol="features", withMean=False, withStd=True),
         LinearRegression(
             labelCol=LABEL,
             solver="l-bfgs",
@@ -96,9 +96,9 @@ def training_frame(features: DataFrame, segments: DataFrame, settings: RidgeSett
     ))
     split = time_split_by_segment(stored(joined.select(*needed), "segmented-rows"), settings.test_days)
     kept = split.filter((F.col("part") == "test") | drawn(settings.sample_fraction, settings.seed))
-    vectors = PipelineModel(vectorizer(settings)).transform(kept).withMetadata(_VECTOR, {})
+    vectors = PipelineModel(vectorizer(settings)).transform(kept).withMetadata(VECTOR, {})
     return stored(
-        vectors.select("segment_id", "part", LABEL, _NAIVE, _VECTOR), "training-rows", partition_by="segment_id"
+        vectors.select("segment_id", "part", LABEL, _NAIVE, VECTOR), "training-rows", partition_by="segment_id"
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import log_size, median, relative_spread
 from ..model import MIN_ITEM_ROWS, SEED, SEGMENT_INPUTS, SEGMENTS
 from ..sources.workspace import stored
+from . import kmeans
 
 
 def type_stats(daily: DataFrame, min_rows: int = MIN_ITEM_ROWS) -> DataFrame:
@@ -67,35 +67,40 @@ def zscores(stats: DataFrame) -> DataFrame:
     )
 
 
-def fit_segments(
-    stats: DataFrame, k: int = SEGMENTS, seed: int = SEED, partitions: int = 1
-) -> tuple[PipelineModel, DataFrame]:
-    """Cluster the items; returns the fitted pipeline and item -> segment with the statistics.
+class SegmentModel(PipelineModel):
+    """A fitted segmentation: adds ``segment_id`` to items with the six statistics. Saved and loaded as a pipeline."""
+
+    def __init__(self, names: list[str], means: list[float], deviations: list[float], centers: list[tuple[float, ...]]):
+        values = [kmeans.scaled(*column) for column in zip(names, means, deviations)]
+        label = kmeans.nearest(values, centers)
+        known = " and ".join(f"`{name}` is not null" for name in names)
+        statement = f"select *, case when {known} then {label} end as segment_id from __THIS__"
+        super().__init__([SQLTransformer(statement=statement)])
+        self.centers = centers
 
-    The statistics are stored first: the fit reads them many times, and the aggregation behind them
-    is the heavy part. k-means draws its starting points by position, so the rows are laid out by a
-    rule that depends on the items alone (hash of the id, sorted within), and the last stage of the
-    pipeline numbers the clusters by centroid. The same items thus get the same segments whatever the
-    input's layout, and the model gives other items the map's labels.
 
-    Items are few beside their rows: one partition takes millions of them. With more ``partitions`` the
-    starting points are others, and partial sums may be added in another order.
+def fit_segments(stats: DataFrame, k: int = SEGMENTS, seed: int = SEED) -> tuple[SegmentModel, DataFrame]:
+    """Cluster the items; returns the fitted model and item -> segment with the statistics.
+
+    The statistics are stored first: the fit reads them many times, and the aggregation behind them
+    is the heavy part. Every step of the fit is an aggregation over all items whose result does not
+    depend on their layout (see ``kmeans``), and segments are numbered by centroid. The same items thus get the
+    same segments under any partitioning, and the model gives other items the map's labels. An item that lacks a
+    statistic has no segment.
     """
     stats = stored(stats, "type-stats")
-    if stats.isEmpty():
+    names = list(SEGMENT_INPUTS)
+    known = stats.na.drop(subset=names)
+    if known.isEmpty():
         raise ValueError("there are no items to segment; type_stats leaves out items with few rows (min_rows)")
-    layout = stats.repartition(partitions, "type_id").sortWithinPartitions("type_id")
-    kmeans = KMeans(featuresCol="z", predictionCol="cluster", k=k, seed=seed)
-    fitted = Pipeline(stages=[*_standardizer("z"), kmeans]).fit(layout)
-
-    centers = [tuple(center) for center in fitted.stages[-1].clusterCenters()]
-    rank = {cluster: i for i, cluster in enumerate(sorted(range(len(centers)), key=centers.__getitem__))}
-    labels = ", ".join(str(rank[cluster]) for cluster in range(len(centers)))
-    relabel = SQLTransformer(statement=f"select *, element_at(array({labels}), cluster + 1) as segment_id from __THIS__")
-    model = PipelineModel([*fitted.stages, relabel])
+    means, deviations = kmeans.standardizer(known, names)
+    z = [f"z_{name}" for name in names]
+    scores = [F.expr(kmeans.scaled(*column)).alias(z_name) for z_name, *column in zip(z, names, means, deviations)]
+    points = stored(known.select("type_id", *scores), "type-points")
+    model = SegmentModel(names, means, deviations, kmeans.fit(points, "type_id", z, k, seed))
     return model, model.transform(stats).select("type_id", "segment_id", *SEGMENT_INPUTS, "n_rows")
 
 
-def centers_of(model: PipelineModel) -> list[tuple[float, ...]]:
+def centers_of(model: SegmentModel) -> list[tuple[float, ...]]:
     """The centroids on the common scale, in the order of the segments."""
-    return sorted(map(tuple, model.stages[-2].clusterCenters()))
+    return model.centers

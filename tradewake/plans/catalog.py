@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from ..functions import year_month
 from ..model import REGRESSION_CATEGORIES, SEGMENTS, market, raw_market
-from ..operators import cleaning, profiling, ranking, segments, series, training
+from ..operators import cleaning, profiling, ranking, scoring, segments, series, training
+from ..operators.joint_ridge import fit_together
 from ..operators.regression import RidgeSettings, coefficients, fit_by_segment, train_by_segment, training_frame, vectorizer
+from ..operators.scoring import INTERCEPT
 from ..operators.slicing import series_slice
-from ..sources import read_archives, read_table, scratch_path, stored, write_by_month, write_table
+from ..sources import merge_by_month, read_archives, read_table, scratch_path, stored, write_by_month, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -209,14 +211,29 @@ def parquet_roundtrip(spark, sf_dir):
 
 # Cleaning
 
-@_register(_with(_RAW, f"""select {_DATE}, region_id, type_id, round(average, 6) as average,
+_CLEAN_SQL = _with(_RAW, f"""select {_DATE}, region_id, type_id, round(average, 6) as average,
   round(highest, 6) as highest, round(lowest, 6) as lowest, order_count, volume, modified_epoch, {_YEAR_MONTH}
-from valid qualify {_NEWEST}"""))
+from valid qualify {_NEWEST}""")
+
+
+@_register(_CLEAN_SQL)
 def clean_market(spark, sf_dir):
     clean = cleaning.clean_market(raw_market(spark, sf_dir))
     return clean.withColumn("modified_epoch", F.unix_timestamp("http_last_modified")).drop("http_last_modified")
 
 
+@_register(_CLEAN_SQL)
+def merge_months(spark, sf_dir):
+    """The clean table loaded in two parts that share months, days and keys; the second is merged into the first."""
+    path = scratch_path(spark, "merged")
+    raw = raw_market(spark, sf_dir)
+    first = F.crc32(F.col("lowest").cast("string").cast("binary")) % 2 == 0
+    for part in (raw.filter(first), raw.filter(~first)):
+        merge_by_month(stored(cleaning.clean_market(part), "part"), path, cleaning.latest_per_key)
+    merged = read_table(spark, path)
+    return merged.withColumn("modified_epoch", F.unix_timestamp("http_last_modified")).drop("http_last_modified")
+
+
 @_register(_with(_RAW, f"select distinct {_DATE}, region_id, type_id from valid"))
 def dedup_keys(spark, sf_dir):
     return cleaning.distinct_keys(cleaning.valid_rows(cleaning.parse_times(raw_market(spark, sf_dir))))
@@ -510,13 +527,17 @@ def ridge_univariate(spark, sf_dir):
     return _fitted(training_frame(table, whole, _CLOSED), _CLOSED, ("slope",))
 
 
-@_register(_with(_SEGMENTED + _MOMENTS, f""", solved as (
+_BIVARIATE_SLOPES = f"""
   select *, ((a + {_PENALTY} / sy) * a * r1 - a * r12 * a * r2) / ((a + {_PENALTY} / sy) ** 2 - (a * r12) ** 2) * sy / s1
               as price_slope,
             ((a + {_PENALTY} / sy) * a * r2 - a * r12 * a * r1) / ((a + {_PENALTY} / sy) ** 2 - (a * r12) ** 2) * sy / s2
-              as volume_slope from moments)
+              as volume_slope from moments"""
+_BIVARIATE_SQL = f""", solved as ({_BIVARIATE_SLOPES})
 select segment_id, n as n_rows, round(price_slope, 4) as price_slope, round(volume_slope, 4) as volume_slope,
-  round(my - price_slope * m1 - volume_slope * m2, 3) as intercept from solved"""))
+  round(my - price_slope * m1 - volume_slope * m2, 3) as intercept from solved"""
+
+
+@_register(_with(_SEGMENTED + _MOMENTS, _BIVARIATE_SQL))
 def ridge_bivariate_by_segment(spark, sf_dir):
     frame = training_frame(*_features_and_map(spark, sf_dir), _CLOSED_TWO)
     fitted = _fitted(frame, _CLOSED_TWO, ("price_slope", "volume_slope"))
@@ -553,6 +574,40 @@ def hashed_categories(spark, sf_dir):
     )
 
 
+@_register(_with(_SEGMENTED + _MOMENTS, _BIVARIATE_SQL))
+def ridge_together(spark, sf_dir):
+    """The same fits for all segments at once, one aggregation an iteration."""
+    frame = training_frame(*_features_and_map(spark, sf_dir), _CLOSED_TWO)
+    slopes = fit_together(frame, _CLOSED_TWO)
+    at = lambda slot: F.max(F.when(F.col("slot") == slot, F.col("slope")))
+    fitted = slopes.groupBy("segment_id").agg(
+        F.round(at(0), 4).alias("price_slope"), F.round(at(1), 4).alias("volume_slope"), F.round(at(INTERCEPT), 3).alias("intercept")
+    )
+    sizes = frame.filter("part = 'train'").groupBy("segment_id").agg(F.count("*").alias("n_rows"))
+    return sizes.join(fitted, "segment_id")
+
+
+@_register(_with(_SEGMENTED + _MOMENTS, f""", solved as ({_BIVARIATE_SLOPES}),
+predicted as (
+  select split.*, my + price_slope * (price_lag_1 - m1) + volume_slope * (volume_lag_1 - m2) as prediction
+  from split join solved using (segment_id))
+select segment_id, part, count(*) as n_predicted, round(avg(prediction), 1) as mean_prediction,
+  {_ERRORS.format(y="target_next_price", p="prediction", prefix="").replace(", 6)", ", 1)")}
+from predicted group by segment_id, part"""))
+def saved_model_scores(spark, sf_dir):
+    """Models fitted and saved, one folder for each segment; all rows scored from the files of all models at once."""
+    table, labelled = _features_and_map(spark, sf_dir)
+    table = stored(table, "features")
+    folder = scratch_path(spark, "models")
+    train_by_segment(table, labelled, _CLOSED_TWO, folder)
+    rows = stored(training.with_segments(table, labelled), "segmented")
+    scores = training.time_split_by_segment(stored(scoring.score_saved(rows, folder), "scores"))
+    found = scoring.errors(scores, "segment_id", "part")
+    means = scores.groupBy("segment_id", "part").agg(F.round(F.avg("prediction"), 1).alias("mean_prediction"))
+    rounded = {name: F.round(name, 1) for name in ("rmse", "mae", "r2")}
+    return found.withColumns(rounded).join(means, ["segment_id", "part"])
+
+
 @_register()
 def ridge_segmented(spark, sf_dir):
     """Every segment of the k-means map, with all features; nothing is cut."""

@@ -1,6 +1,7 @@
 """Whole jobs, from path to path.
 
     transform(spark, "raw/*.csv.gz", "daily")
+    extend(spark, "later/*.csv.gz", "daily")
     analyze(read_table(spark, "daily"))
     build_features(spark, "daily", "features")
     segment(spark, "daily", "segments")
@@ -15,20 +16,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..model import SEED, SEGMENTS, TOP_ITEMS, TREND_ITEMS
 from ..operators import profiling, ranking
-from ..operators.cleaning import clean_market
+from ..operators.cleaning import clean_market, latest_per_key
 from ..operators.regression import RidgeSettings, train_by_segment
 from ..operators.segments import fit_segments, type_stats
 from ..operators.series import features
-from ..sources import job_folder, read_archives, read_table, stored, write_by_month, write_table
+from ..sources import job_folder, merge_by_month, read_archives, read_table, stored, write_by_month, write_table
 
 
 def transform(
     spark: SparkSession, source: str | Sequence[str], target: str, touched_only: bool = False, keep_nan: bool = False
 ) -> None:
-    """Raw archives to the clean daily table, partitioned by month."""
+    """Raw archives to the clean daily table, partitioned by month.
+
+    The table is replaced by the archives' rows; with ``touched_only`` just the months they have rows for, each as a
+    whole. To add archives to what is stored, use ``extend``.
+    """
     write_by_month(clean_market(read_archives(spark, source), keep_nan=keep_nan), target, touched_only)
 
 
+def extend(
+    spark: SparkSession, source: str | Sequence[str], target: str, keep_nan: bool = False
+) -> list[tuple[int, int]]:
+    """Merge more archives into the clean daily table; returns the months that were rewritten.
+
+    Gives the table that one ``transform`` of all archives would give, in whatever order they come: of the copies of a
+    key the same one is kept, be it stored or new. Only months with new rows are read and written.
+    """
+    with job_folder(spark):
+        new = stored(clean_market(read_archives(spark, source), keep_nan=keep_nan), "new-rows")
+        return merge_by_month(new, target, latest_per_key)
+
+
 def analyze(daily: DataFrame, top_n_items: int = TOP_ITEMS, trend_items: int = TREND_ITEMS) -> dict[str, DataFrame]:
     """Every report on a daily table, by name, and its schema.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,77 @@ def write_by_month(df: DataFrame, path: str, touched_only: bool = False) -> None
     )
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def months_of(df: DataFrame) -> list[tuple[int, int]]:
+    """The months with rows; as many as the calendar has, however many rows there are."""
+    return sorted((row.year, row.month) for row in df.select("year", "month").distinct().collect())
+
+
+def in_months(df: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
+    """Rows of these months, by a list of literals: on a table by month the others are not listed for reading."""
+    index = F.col("year") * 12 + F.col("month")
+    return df.filter(F.col("year").isin(sorted({y for y, _ in months})) & index.isin([y * 12 + m for y, m in months]))
+
+
+def _staged(path: str) -> str:
+    return path.rstrip("/") + ".merging"
+
+
+def finish_merge(spark: SparkSession, path: str) -> bool:
+    """Complete a merge that was interrupted after its months were staged; says whether there was one.
+
+    Replacing a month twice by the same rows changes nothing, so this may be repeated as often as needed. What was
+    staged in part only is dropped: the table is then as it was before.
+    """
+    staged = _staged(path)
+    complete = _exists(spark, f"{staged}/_SUCCESS")
+    if complete:
+        write_by_month(spark.read.parquet(staged), path, touched_only=True)
+    if _exists(spark, staged):
+        _delete(spark, staged)
+    return complete
+
+
+def merge_by_month(
+    new: DataFrame, path: str, resolve: Callable[[DataFrame], DataFrame], months: list[tuple[int, int]] | None = None
+) -> list[tuple[int, int]]:
+    """Add rows to a table by month; returns the months that were rewritten.
+
+    The stored rows of the months that get new ones are united with them and ``resolve`` decides between copies of a key;
+    other months are neither read nor written. The united months are staged beside the table first, as a
+    table cannot be overwritten while it is read, and so that an interrupted merge can be completed: nothing of a month
+    is deleted before all of its rows, old and new, lie in the staged copy. ``new`` has the table's columns, is read
+    twice unless ``months`` are given (pass a stored frame), and one merge may run on a table at a time. Without a
+    table the rows become one.
+    """
+    spark = new.sparkSession
+    finish_merge(spark, path)
+    touched = months_of(new) if months is None else months
+    if not touched:
+        return []
+    united = new
+    if _exists(spark, path):
+        stored_rows = read_table(spark, path)
+        united = in_months(stored_rows, touched).unionByName(new.select(*stored_rows.columns))
+    write_by_month(resolve(united), _staged(path))
+    finish_merge(spark, path)
+    return touched
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Overwrite an unpartitioned table."""
     df.write.mode("overwrite").parquet(path)
