@@ -154,6 +154,68 @@ def test_a_rare_language_is_sampled_in_full(speech):
     assert len(language.fit(speech, max_words=7).words) == 7
 
 
+def plain_language(model, text):
+    """Language and score of a text by the definition: word by word, letter by letter."""
+    total = [0.0] * len(model.languages)
+    word, words = "", []
+    for c in (text or "").lower() + " ":
+        if c.isalpha():
+            word += c
+        elif word:
+            words.append(word)
+            word = ""
+    for word in words:
+        if word in model.words:
+            rows = [model.word_scores[model.words[word]]]
+        else:
+            rows = []
+            for size in (5, 4, 3, 2, 1):
+                marked = word if size == 1 else f"<{word}>"
+                grams = [marked[i : i + size] for i in range(len(marked) - size + 1)]
+                rows = rows or [0.5 * model.gram_scores[model.grams[g]] for g in grams if g in model.grams]
+        for i in range(len(total)):
+            total[i] += sum(row[i] for row in rows) / max(len(rows), 1)
+    if not words:
+        return "und", 0.0
+    best = max(range(len(total)), key=lambda i: (total[i], -i))
+    return model.languages[best], 1 / sum(math.exp(x - total[best]) for x in total)
+
+
+def test_whole_texts_are_scored_by_the_definition(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter("doc_id % 2 = 0"), max_words=300, max_grams=2000)
+    odd = spark.createDataFrame([(-1, "½ ² ① Ⅷ", "x"), (-2, "x² ½cup ⅧI 12th", "x"), (-3, None, "x"), (-4, "ǅ ª ʰ", "x")], docs.schema)
+    found = language.with_language(docs.union(odd), model).collect()
+    for row in found:
+        name, score = plain_language(model, row.text)
+        assert (row.lang_pred, row.score) == (name, pytest.approx(score, abs=1e-9))
+    by_id = {r.doc_id: r.lang_pred for r in found}
+    assert by_id[-1] == "und" and by_id[-2] != "und" and by_id[-3] == "und" and by_id[-4] != "und"
+
+
+def test_a_language_with_little_text_keeps_its_words(spark):
+    """A hundredth of the others' text, and fewer entries than they have words."""
+    letters = "abcdefghij"
+    word = lambda n: "".join(letters[int(d)] for d in f"{n:04d}")
+    rows = [(i, " ".join(f"{lang}{word(i * 7 % 900 + k)}" for k in range(50)), lang) for i, lang in enumerate(["xa", "xb"] * 300)]
+    rows += [(1000 + i, " ".join(f"q{word(i + k)}" for k in range(10)), "xc") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, max_words=120, max_grams=120)
+    assert sum(w.startswith("q") for w in model.words) >= 30
+    found = language.with_language(docs.filter("lang = 'xc'"), model)
+    assert [r.lang_pred for r in found.collect()] == ["xc"] * 30
+
+
+def test_columns_of_any_name_are_kept(spark, speech):
+    names = ("_language", "found", "row", "_score", "_statistics", "statistics")
+    docs = speech.withColumns({name: F.lit(7) for name in names})
+    found = language.with_language(docs, language.fit(speech)).first()
+    assert [found[name] for name in names] == [7] * len(names)
+    labels = speech.select("doc_id", F.lit(1).alias("quality"))
+    good = quality.good_documents(docs, labels, threshold=0.0)
+    assert good.columns == docs.columns and good.count() == 90 and [good.first()[name] for name in names] == [7] * len(names)
+
+
 def test_language_of_held_out_documents(spark):
     sf_dir = "/root/testdata/sf0.01"
     found = queries.op5_language(spark, sf_dir)

@@ -62,10 +62,37 @@ def test_documents_odd_ones_included(spark):
     assert {r.doc_id: r.fp & (2**64 - 1) for r in found} == {i: plain_fingerprint(t) for i, t, _ in rows}
     kept = simhash.one_of_each_class(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 1, 3, 7, 9]
+    # One row of each class; the one without an id is a copy of 3, 5 and 8.
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [1, 3, 7, 9]
     assert simhash.near_duplicates(docs.filter("false")).isEmpty() and simhash.one_of_each_class(docs.filter("false")).isEmpty()
 
 
+def test_rows_are_judged_one_by_one(spark):
+    """Equal ids with different texts, copies without ids, rows alike, text ids and clashing columns."""
+    alone = ["one two three four five six", "seven eight nine ten eleven twelve", "a b c d e f g h"]
+    rows = [(5, alone[0]), (5, alone[1]), (None, alone[2]), (None, alone[2]), (None, alone[2]), (7, "x y z"), (7, "x y z"), (8, "x y z"), (9, alone[1])]
+    extra = {name: F.lit(name) for name in ("_id", "fp", "k1", "row", "best", "stays", "text_of", "id")}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(extra).repartition(4)
+    wanted = sorted([(5, alone[0]), (5, alone[1]), (None, alone[2]), (7, "x y z")], key=repr)
+    kept = simhash.one_of_each_class(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == wanted
+    named = docs.withColumn("doc_id", F.concat(F.lit("00"), F.col("doc_id").cast("string")))
+    assert sorted(((r.doc_id and int(r.doc_id), r.text) for r in simhash.one_of_each_class(named).collect()), key=repr) == wanted
+
+
+def test_classes_beyond_a_broadcast_are_the_same(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    wanted = sorted(simhash.near_duplicates(docs).collect())
+    kept = sorted(simhash.one_of_each_class(docs).collect())
+    whole = simhash.with_lookup
+    monkeypatch.setattr(simhash, "with_lookup", lambda *a, **more: whole(*a, small=0, **more))
+    assert sorted(simhash.near_duplicates(docs).collect()) == wanted
+    assert sorted(simhash.one_of_each_class(docs).collect()) == kept
+    first = {r.component_id for r in wanted}
+    assert {r.doc_id for r in kept} == first
+
+
 def test_fingerprint_as_text(spark):
     rows = spark.createDataFrame([(0,), (-1,), (255,)], "fp long").select(simhash.hex_digits(F.col("fp")).alias("h"))
     assert [r.h for r in rows.collect()] == ["0" * 16, "f" * 16, "0" * 14 + "ff"]

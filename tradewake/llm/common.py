@@ -16,6 +16,22 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
+def beside(docs: DataFrame, found: dict[str, Column], fields: dict[str, str]) -> DataFrame:
+    """The rows, whatever their columns are called, with new ones after them: name -> field of ``found``, in SQL.
+
+    Columns with a new one's name are replaced.
+    """
+    packed = docs.select(F.struct("*").alias("row"), *(column.alias(name) for name, column in found.items()))
+    kept = [F.col("row").getField(name).alias(name) for name in docs.columns if name not in fields]
+    return packed.select(*kept, *(F.col(field).alias(name) for name, field in fields.items()))
+
+
+def rows_where(docs: DataFrame, condition: Column, found: dict[str, Column]) -> DataFrame:
+    """The rows that meet a condition on new columns, with their own columns only."""
+    packed = docs.select(F.struct("*").alias("row"), *(column.alias(name) for name, column in found.items()))
+    return packed.filter(condition).select(*(F.col("row").getField(name).alias(name) for name in docs.columns))
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most so many rows, which bounds what is unpacked into Python objects at a time."""
     for batch in batches:
@@ -59,9 +75,6 @@ def components(linked):
     return root
 
 
-ID_BITS = 1 << 26
-
-
 def bit_map(hashes: DataFrame, bits: int) -> bytes:
     """A bit per hash modulo ``bits`` (a power of two), from a column ``hash`` of longs.
 
@@ -84,18 +97,20 @@ SMALL_ROWS = 1_000_000  # of a few numbers each: some tens of megabytes
 SALTS = 32
 
 
-def with_lookup(rows: DataFrame, lookup: DataFrame, on: list[str], salt: Column, small: int = SMALL_ROWS) -> DataFrame:
-    """The rows joined (inner) with a stored table of narrow rows, one for each key, whatever the keys' sizes.
+def with_lookup(
+    rows: DataFrame, lookup: DataFrame, on: list[str], salt: Column, small: int = SMALL_ROWS, how: str = "inner"
+) -> DataFrame:
+    """The rows joined (inner or left) with a stored table of narrow rows, one for each key, whatever the keys' sizes.
 
     The table is counted. Up to ``small`` rows it is broadcast; beyond, each of its rows is repeated for a few salts
     and the rows are dealt to them by ``salt``, any column of whole numbers, so that a hot key is in many tasks. A null
     in a key joins nothing.
     """
     if lookup.count() <= small:
-        return rows.join(F.broadcast(lookup), on)
+        return rows.join(F.broadcast(lookup), on, how)
     salted = lookup.withColumn("salt of key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = rows.withColumn("salt of key", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int"))
-    return dealt.join(salted, [*on, "salt of key"]).drop("salt of key")
+    return dealt.join(salted, [*on, "salt of key"], how).drop("salt of key")
 
 
 def is_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -104,12 +119,13 @@ def is_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (table[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def by_ids(docs: DataFrame, id_col: str, ids: DataFrame, bits: int = ID_BITS) -> tuple[DataFrame, DataFrame]:
-    """The rows whose id is certainly not among ``ids`` (one column), and the others, which have to be joined.
+def by_ids(docs: DataFrame, id_col: str, ids: DataFrame, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows whose id is certainly not among ``ids`` (a stored frame of one column), and the others, to be joined.
 
-    So that few whole documents are moved when a few of them are to go, the ids are made into a bit map of fixed
-    size; the more ids there are, the more rows are in the second part, at the end all of them.
+    So that few whole documents are moved when a few of them are to go, the ids are made into a bit map, sized by their
+    number (sixteen bits each) up to a bound; beyond it more and more rows are in the second part, at the end all.
     """
+    bits = bits_for(ids.count()) if bits is None else bits
     table = bit_map(ids.select(F.xxhash64(F.col(ids.columns[0]).cast("string")).alias("hash")), bits)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
@@ -119,6 +135,5 @@ def by_ids(docs: DataFrame, id_col: str, ids: DataFrame, bits: int = ID_BITS) ->
         for hashes in batches:
             yield pd.Series(is_set(found, hashes.to_numpy(dtype=np.int64)))
 
-    flag = "_may_be_among_ids"
-    marked = docs.withColumn(flag, may_be(F.xxhash64(F.col(id_col).cast("string"))))
-    return marked.filter(~F.col(flag)).drop(flag), marked.filter(flag).drop(flag)
+    found = {"held": may_be(F.xxhash64(F.col(id_col).cast("string")))}
+    return rows_where(docs, ~F.col("held"), found), rows_where(docs, F.col("held"), found)

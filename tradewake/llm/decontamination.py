@@ -200,7 +200,7 @@ class Templates:
         return out
 
 
-_SCHEMA = "id long, pos long, hash long, slots array<long>, n long, form int, loud boolean, width int"
+_SCHEMA = "id {id}, pos long, hash long, slots array<long>, n long, form int, loud boolean, width int"
 
 
 def _item_forms(forms: list[Form]) -> list[tuple[int, Form]]:
@@ -223,7 +223,7 @@ def _doc_forms(forms: list[Form], allowed: np.ndarray) -> list[tuple[int, Form]]
 def template_windows(
     texts: DataFrame, id_col: str, text_col: str, window: int = WINDOW, only=None, widths: Iterable[int] = ()
 ) -> DataFrame:
-    """(id long, pos, hash, slots, n, form, loud, width): windows with their slot values, n counting an item's places.
+    """(id, pos, hash, slots, n, form, loud, width): windows with their slot values, n counting an item's places.
 
     ``only`` is a broadcast of a bit map of hashes; then the texts are documents, and only windows found in it are given.
     """
@@ -232,6 +232,7 @@ def template_windows(
         allowed = None if only is None else np.frombuffer(only.value, dtype=np.uint8)
         templates = Templates(window)
         for batch in sliced(batches):
+            kind = batch.schema.field(0).type
             parts, slots = [], []
             for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 forms = templates.forms(text, widths)
@@ -249,14 +250,14 @@ def template_windows(
                 sizes = [len(f.pos) for *_, f in parts]
                 each = lambda i, kind: pa.array(np.repeat(np.array([x[i] for x in parts], kind), sizes))
                 yield pa.RecordBatch.from_pydict({
-                    "id": each(0, np.int64), "pos": pa.array(np.concatenate([f.pos for *_, f in parts])),
+                    "id": pa.array([x[0] for x in parts], kind).take(pa.array(np.repeat(np.arange(len(parts)), sizes))), "pos": pa.array(np.concatenate([f.pos for *_, f in parts])),
                     "hash": pa.array(np.concatenate([f.hash for *_, f in parts])), "slots": pa.array(slots, pa.list_(pa.int64())),
                     "n": each(1, np.int64), "form": each(2, np.int32), "loud": pa.array(np.concatenate([f.loud for *_, f in parts])),
                     "width": pa.array(np.repeat(np.array([f.width for *_, f in parts], np.int32), sizes)),
                 })
 
-    chosen = texts.select(F.col(id_col).cast("long"), F.col(text_col)).filter(F.col(id_col).isNotNull())
-    return chosen.mapInArrow(find, _SCHEMA)
+    chosen = texts.select(F.col(id_col), F.col(text_col)).filter(F.col(id_col).isNotNull())
+    return chosen.mapInArrow(find, _SCHEMA.format(id=texts.schema[id_col].dataType.simpleString()))
 
 
 def _aligned(hits: list[dict], shift: int) -> list[dict]:
@@ -364,16 +365,18 @@ def matches(
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
+            kinds = [batch.schema.field("id").type, batch.schema.field("item").type, pa.bool_(), pa.float64()]
             for i in range(batch.num_rows):
                 id_, item, hits_, n, reach_ = (column[i].as_py() for column in batch.columns)
                 best = _best(hits_, n, share, reach_)
                 if best is not None:
                     out.append((id_, item, *best))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], ["id", "item", "exact", "share"])
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*out), kinds)), ["id", "item", "exact", "share"])
 
     held = passages.select("id", "item", "hits", "n", "reach").mapInArrow(
-        judge, "id long, item long, exact boolean, share double"
+        judge, f"id {passages.schema['id'].dataType.simpleString()}, item {passages.schema['item'].dataType.simpleString()}, "
+        "exact boolean, share double",
     )
     return (
         held.groupBy("id", "item")
@@ -384,8 +387,10 @@ def matches(
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that hold no item; rows with a null id cannot be named by a match and stay."""
-    held = matches(docs.select(id_col, text_col), benchmark, id_col, text_col).select(F.col(id_col).alias("_held")).distinct()
-    held = stored(held, "contaminated-ids")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    held = stored(matches(texts, benchmark, "id", "text").select("id").distinct(), "contaminated-ids")
     clean, rest = by_ids(docs, id_col, held)
     # Only documents that may be among those are moved, by the same plan at every size.
-    return clean.union(rest.join(held.hint("merge"), F.col(id_col).cast("long") == F.col("_held"), "left_anti"))
+    named = rest.select(F.col(id_col).alias("id"), F.struct("*").alias("row"))
+    stay = named.join(held.hint("merge"), "id", "left_anti")
+    return clean.union(stay.select(*(F.col("row").getField(name).alias(name) for name in docs.columns)))

@@ -6,8 +6,8 @@ mean of their log frequencies, and so down to single characters. A text's langua
 sum over all words, and its score is that language's share when the sums are turned into probabilities.
 
 Scale: the tables come from a bounded sample of labelled rows (``rows_per_language`` of each language on average, drawn
-by a hash of the id), counted by Spark and cut to the ``max_words`` and ``max_grams`` most frequent entries, which
-bounds what is broadcast. Scoring reads each text once, whole, without a shuffle; a worker keeps the scores of
+by a hash of the id), counted by Spark and cut to ``max_words`` and ``max_grams`` entries, the most frequent ones of
+each language in equal shares, which bounds what is broadcast. Scoring reads each text once, whole, without a shuffle; a worker keeps the scores of
 words it has met, up to a limit.
 """
 
@@ -24,24 +24,28 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..sources.workspace import stored
-from .common import map_arrow
+from .common import beside, map_arrow
 
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 2_000
 MAX_WORDS = 100_000
 MAX_GRAMS = 100_000
 GRAM = 5
-_LETTERS = re.compile(r"[^\W\d_]+")
+_RUNS = re.compile(r"[^\W\d_]+")
 _START, _STOP = "<", ">"
 MAX_LANGUAGES = 1_000  # a model has a column per language
 _GRAM_WEIGHT = 0.5  # n-grams of a word are not independent of each other
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, in lower case."""
-    return _LETTERS.findall(text.lower())
+    """Runs of letters, in lower case. Signs for numbers other than digits (½, ², Ⅷ) are not letters."""
+    found = _RUNS.findall(text.lower())
+    if "".join(found).isalpha() or not found:
+        return found
+    return [word for run in found for word in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def grams_of(word: str, size: int) -> list[str]:
@@ -71,10 +75,18 @@ def _table(entries: list[tuple[str, str, int]], languages: tuple[str, ...]) -> t
     return names, np.log(counts / counts.sum(axis=0)) if len(names) else counts
 
 
-def _most_frequent(counts: DataFrame, most: int) -> list[tuple[str, str, int]]:
-    """The counts of the entries that are most frequent over all languages; ties go by the entry."""
-    totals = counts.groupBy("entry").agg(F.sum("n").alias("total"))
-    kept = totals.orderBy(F.desc("total"), "entry").limit(most).select("entry")
+def _most_frequent(counts: DataFrame, most: int, languages: int) -> list[tuple[str, str, int]]:
+    """The counts of the entries that are among the most frequent of a language; ties go by the entry.
+
+    Every language has the same share of ``most``, however little text it has, the first ones one more if need be.
+    """
+    share, more = divmod(most, max(languages, 1))
+    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "entry")
+    first = F.dense_rank().over(Window.orderBy("lang"))
+    order = counts.select("lang").distinct().select("lang", first.alias("number"))  # a row per language
+    ranked = counts.withColumn("rank", F.row_number().over(by_count)).filter(F.col("rank") <= share + 1)
+    chosen = ranked.join(F.broadcast(order), "lang").filter(F.col("rank") <= share + (F.col("number") <= more).cast("int"))
+    kept = chosen.select("entry").distinct()
     rows = counts.join(kept, "entry").orderBy("entry", "lang").collect()  # at most a row per kept entry and language
     return [(row.entry, row.lang, row.n) for row in rows]
 
@@ -133,8 +145,8 @@ def fit(
 
     grams = map_arrow(words.select("entry", "lang", "n"), count_grams, "entry string, lang string, n long")
     grams = stored(grams.groupBy("entry", "lang").agg(F.sum("n").alias("n")), "gram-counts")
-    word_rows = _most_frequent(words, max_words)
-    gram_rows = _most_frequent(grams, max_grams)
+    word_rows = _most_frequent(words, max_words, len(sizes))
+    gram_rows = _most_frequent(grams, max_grams, len(sizes))
     languages = tuple(sorted({language for _, language, _ in word_rows}))
     names, word_scores = _table(word_rows, languages)
     gram_names, gram_scores = _table(gram_rows, languages)
@@ -254,12 +266,7 @@ def with_language(
         for texts in batches:
             yield pd.DataFrame(scorer.texts(texts.tolist()), columns=["lang", "score"])
 
-    found = "_language"
-    return (
-        docs.withColumn(found, predict(F.col(text_col)))
-        .withColumns({lang_out: F.col(f"{found}.lang"), score_out: F.col(f"{found}.score")})
-        .drop(found)
-    )
+    return beside(docs, {"found": predict(F.col(text_col))}, {lang_out: "found.lang", score_out: "found.score"})
 
 
 def fit_by_fold(docs: DataFrame, learn: Column, **columns: str) -> Model:

@@ -198,7 +198,7 @@ def without_repeated_lines(
     named = docs.select(
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"), F.col(text_col).alias("text"), F.struct("*").alias("of")
     )
-    whole, cut = by_ids(named, "row", lost.select("row"), bits_for(lost.count()))
+    whole, cut = by_ids(named, "row", lost.select("row"))
     kept_type = "struct<text: string, dropped: long>"
 
     @F.pandas_udf(kept_type)

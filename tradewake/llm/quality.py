@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import stored
-from .common import map_arrow
+from .common import by_ids, map_arrow
 
 THRESHOLD = 0.3
 SHRINKAGE = 0.1  # towards the covariance of both classes
@@ -215,10 +215,14 @@ def good_documents(
 ) -> DataFrame:
     """The documents whose score reaches the threshold, with their columns; null and empty texts are scored too.
 
-    The documents are read twice: once to measure those that the fit learns from, once to score all. Repeated
+    The documents are read twice: once to measure those that have a label, once to score all. Repeated
     rows are judged alike; no rows give no rows.
     """
-    model = fit_by_labels(measured(docs, id_col, text_col), labels, learn, id_col)
-    own = "_statistics"
-    scored = with_score(with_statistics(docs, text_col, own), model, own, "_score")
-    return scored.filter(F.col("_score") >= threshold).select(*(F.col(f"`{name}`") for name in docs.columns))
+    known = stored(labels_by_id(labels, id_col, "quality").select("id"), "labelled-ids")
+    _, may_be = by_ids(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", known)
+    model = fit_by_labels(measured(may_be, "id", "text"), labels, learn, id_col)
+    packed = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    scored = with_score(with_statistics(packed, "text", "statistics"), model, "statistics", "score")
+    return scored.filter(F.col("score") >= threshold).select(
+        *(F.col("row").getField(name).alias(name) for name in docs.columns)
+    )

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.workspace import stored
+from .common import with_lookup
 
 SHARDS = 16
 SEED = 17
@@ -89,13 +90,15 @@ def interleaved(
     # A flag beside the source lets null be a source of its own in an ordinary join.
     named = {"name": F.coalesce(F.col("source").cast("string"), F.lit("")), "none": F.col("source").isNull()}
     placed = placed.withColumns(named)
-    sources = placed.groupBy("name", "none").agg(F.min("place").alias("first"), F.count("*").alias("n"))
-    ranked = placed.join(sources, ["name", "none"]).select(
+    sources = stored(
+        placed.groupBy("name", "none").agg(F.min("place").alias("first"), F.count("*").alias("n")), "sources"
+    )
+    ranked = with_lookup(placed, sources, ["name", "none"], F.col("place")).select(
         "id", "source", "size", "text_crc32", "key",
         ((F.col("place") - F.col("first") + 0.5) / F.col("n")).alias("fraction"),
     )
     placed = numbered(ranked, [F.col(c) for c in ("fraction", "key", "source", "id", "size", "text_crc32")], "place")
-    total = F.lit(docs.count())
+    total = F.lit(sources.agg(F.sum("n")).first()[0] or 0)
     shard = shard_of(F.col("place"), total, shards)
     return placed.withColumn("shard", shard).select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "text_crc32", "shard",

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import stored
-from .common import by_ids, components, map_arrow
+from .common import by_ids, components, map_arrow, with_lookup
 from .graph import lowest_reachable
 
 SHINGLE = 4
@@ -148,6 +148,37 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return map_arrow(_blocks(_postings(prints)), compare, "a long, b long")
 
 
+def _classes(docs: DataFrame, id_col: str, text_col: str, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(id, fp, k1, k2) of every row, and (fp, best) of the fingerprints whose class has more than one row.
+
+    k1 and k2 are a hash of id and text. ``best`` is the first row of the class: that with the smallest id (null ids last),
+    among equal ids by the hash. Rows alone in their class are not in the second table, which so grows with the copies.
+    """
+    if max_bits > MAX_BITS:
+        raise ValueError(f"the index guarantees links up to {MAX_BITS} bits")
+    id_, text = F.col(id_col), F.col(text_col)
+    keyed = docs.select(id_.alias("id"), text.alias("text"), *row_keys(id_col, text_col))
+    rows = stored(with_fingerprint(keyed, "text", "fp").select("id", "fp", "k1", "k2"), "fingerprints")
+    best = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "k1", "k2")).alias("best")
+    prints = stored(rows.groupBy("fp").agg(F.count("*").alias("n"), best), "distinct-fingerprints")
+    roots = lowest_reachable(links(prints.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    shared = stored(
+        prints.join(roots, "fp", "left")
+        .filter((F.col("n") > 1) | F.col("root").isNotNull())
+        .select("fp", "best", F.coalesce("root", "fp").alias("root")),
+        "shared-fingerprints",
+    )
+    firsts = stored(shared.groupBy("root").agg(F.min("best").alias("best")), "first-of-class")
+    named = with_lookup(shared.select("fp", "root"), firsts, ["root"], F.col("fp")).select("fp", "best")
+    return rows, stored(named, "classes")
+
+
+def row_keys(id_col: str, text_col: str) -> list[Column]:
+    """128 bits that tell rows apart by id and text."""
+    id_, text = F.col(id_col), F.col(text_col)
+    return [F.xxhash64(id_, text).alias("k1"), F.xxhash64(text, F.lit("|"), id_).alias("k2")]
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS
 ) -> DataFrame:
@@ -158,44 +189,33 @@ def near_duplicates(
     row, repeated ones too; a null id is never a class's smallest. Columns besides id and text have
     no effect; no rows give no rows. ``max_bits`` is at most 4.
     """
-    if max_bits > MAX_BITS:
-        raise ValueError(f"the index guarantees links up to {MAX_BITS} bits")
-    rows = stored(
-        with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", "fp")
-        .select("id", "fp"),
-        "fingerprints",
-    )
-    prints = stored(rows.groupBy("fp").agg(F.min("id").alias("lowest_id")), "distinct-fingerprints")
-    roots = lowest_reachable(links(prints.select("fp"), max_bits)).withColumnRenamed("node", "fp")
-    classes = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = classes.groupBy("root").agg(F.min("lowest_id").alias("component_id"))
-    named = classes.join(lowest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    rows, classes = _classes(docs, id_col, text_col, max_bits)
+    named = with_lookup(rows, classes, ["fp"], F.col("k1"), how="left")
+    return named.select(F.col("id").alias(id_col), "fp", F.coalesce("best.id", "id").alias("component_id"))
 
 
 def one_of_each_class(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """The documents without near-duplicates: of each class the one with the smallest id stays, with all its columns.
+    """The documents without near-duplicates: of each class one row stays, with all its columns.
 
-    An id is a key: of several rows with the id that stays, one does. Rows with a null id cannot be named and all stay.
-    Only ids are moved to find what goes, and only documents that may go are moved to be joined with those ids.
+    It is the row with the smallest id; a null id comes after all others, and between rows with one id a hash of the text
+    decides, so that rows are judged one by one also where ids are missing or repeated. Of rows alike in id and text any
+    one stays. Only ids and hashes are moved to find what goes, and only documents that may go are moved to be joined.
     """
-    classes = near_duplicates(docs.select(id_col, text_col), id_col, text_col, max_bits)
-    ids = stored(
-        classes.filter(F.col(id_col).isNotNull())
-        .groupBy(F.col(id_col).alias("_id"))
-        .agg(F.max(F.col(id_col) == F.col("component_id")).alias("_stays"), F.count("*").alias("_rows")),
-        "class-decisions",
-    )
-    # Ids whose rows go, and ids of which one of several rows stays; these rows are moved, the others only read.
-    once = F.col("_stays") & (F.col("_rows") > 1)
-    special = stored(ids.filter(~F.col("_stays") | once).select("_id", once.alias("_once")), "special-ids")
-    others, rest = by_ids(docs, id_col, special.select("_id"))
-    joined = rest.join(special.hint("merge"), F.col(id_col) == F.col("_id"), "left")
-    unnamed = joined.filter(F.col("_id").isNull()).drop("_id", "_once")
-    single = joined.filter("_once").drop("_id", "_once").dropDuplicates([id_col])
-    return others.union(unnamed).union(single)
+    rows, classes = _classes(docs, id_col, text_col, max_bits)
+    first = (F.col("k1") == F.col("best.k1")) & (F.col("k2") == F.col("best.k2"))
+    judged = with_lookup(rows, classes, ["fp"], F.col("k1")).select("k1", "k2", first.alias("stays"))
+    decisions = judged.groupBy("k1", "k2").agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+    # Rows that go, and rows of which one of several alike stays; these are moved, the others only read.
+    special = stored(decisions.filter(~F.col("stays") | (F.col("n") > 1)).select("k1", "k2", "stays"), "class-decisions")
+    packed = docs.select(*row_keys(id_col, text_col), F.struct("*").alias("row"))
+    others, rest = by_ids(packed, "k1", special.select("k1"))
+    joined = rest.join(special.hint("merge"), ["k1", "k2"], "left")
+    untouched = joined.filter(F.col("stays").isNull())
+    single = joined.filter("stays").dropDuplicates(["k1", "k2"])
+    kept = others.select("row").union(untouched.select("row")).union(single.select("row"))
+    return kept.select(*(F.col("row").getField(name).alias(name) for name in docs.columns))
 
 
 def hex_digits(fp: Column) -> Column:
