@@ -131,6 +131,40 @@ def test_transform_job_writes_months_and_reruns(spark, archives, tmp_path_factor
     assert [r.date.isoformat() for r in read_table(spark, target).collect()] == ["2025-02-02"]
 
 
+BAD = [
+    line(day="2025-13-01"), line(region=""), line(item="", average="-1"), line(average=""), line(average="-2", lowest="-1"),
+    line(highest="NaN"), line(volume="-5"), line(highest="1", lowest="2"), line(modified="never"), line(volume="1.5"),
+]
+
+
+def test_rules_reject_what_validation_rejects(spark, archives):
+    raw = read_archives(spark, archives({"a.csv": [GOOD, line(), *BAD]}))
+    for keep_nan in (False, True):
+        rows = cleaning.judged(raw, keep_nan)
+        kept = rows.filter(F.size("broken") == 0).drop("broken")
+        assert sorted(map(repr, kept.collect())) == sorted(map(repr, cleaning.valid_rows(cleaning.parse_times(raw), keep_nan).collect()))
+    broken = [sorted(r.broken) for r in cleaning.judged(raw).collect()]
+    assert broken[2:] == [
+        ["date missing"], ["region_id missing"], ["average negative", "type_id missing"], ["average missing"],
+        ["average negative", "lowest negative"], ["highest not a number"], ["volume negative"], ["highest below lowest"], [],
+        ["volume missing"],
+    ]
+
+
+def test_rejected_rows_are_counted_and_kept_in_one_read(spark, archives, tmp_path_factory):
+    folder = archives({"a.csv": [GOOD, line(), *BAD]})
+    target, quarantine = (str(tmp_path_factory.mktemp("out") / name) for name in ("daily", "rejected"))
+    counts = pipelines.transform_with_quarantine(spark, folder + "/a.csv", target, quarantine)
+    rejected = read_table(spark, quarantine).collect()
+    assert counts["rows"] == 12 and counts["rejected"] == len(rejected) == 9
+    for name, n in counts.items():
+        if name not in ("rows", "rejected"):
+            assert sum(name in r.broken for r in rejected) == n
+    assert counts["average negative"] == 2 and counts["volume missing"] == 1
+    wanted = cleaning.clean_market(read_archives(spark, folder + "/a.csv"))
+    assert sorted(map(repr, read_table(spark, target).select(*wanted.columns).collect())) == sorted(map(repr, wanted.collect()))
+
+
 def test_keys_are_unique_afterwards(spark, sf_dir):
     from tradewake.model import raw_market
 

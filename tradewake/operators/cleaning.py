@@ -44,6 +44,33 @@ def known_keys(df: DataFrame) -> DataFrame:
     return df.filter(present(df, *KEY))
 
 
+_MISSING, _NEGATIVE, _NAN, _CROSSED = "{} missing", "{} negative", "{} not a number", "highest below lowest"
+
+
+def rules(df: DataFrame, keep_nan: bool = False) -> dict[str, Column]:
+    """When a row breaks each of the rules of ``valid_rows``, by name; a row is valid if it breaks none."""
+    floating = {name for name, kind in df.dtypes if kind in ("double", "float")}
+    found = {_MISSING.format(name): F.col(name).isNull() for name in (*KEY, *NON_NEGATIVE)}
+    found |= {_NEGATIVE.format(name): F.coalesce(F.col(name) < 0, F.lit(False)) for name in NON_NEGATIVE}
+    if not keep_nan:
+        found |= {_NAN.format(name): F.coalesce(F.isnan(name), F.lit(False)) for name in NON_NEGATIVE if name in floating}
+    return found | {_CROSSED: F.coalesce(F.col("highest") < F.col("lowest"), F.lit(False))}
+
+
+def judged(raw: DataFrame, keep_nan: bool = False) -> DataFrame:
+    """Parsed rows with ``broken``, the names of the rules that each of them breaks."""
+    rows = parse_times(raw)
+    names = [F.when(broken, F.lit(name)) for name, broken in rules(rows, keep_nan).items()]
+    return rows.withColumn("broken", F.array_compact(F.array(*names)))
+
+
+def rule_counts(raw: DataFrame, keep_nan: bool = False) -> list[Column]:
+    """Aggregates over judged rows: how many there are, how many are rejected, and how many break each rule."""
+    rejected = F.count_if(F.size("broken") > 0).alias("rejected")
+    each = [F.count_if(F.array_contains("broken", name)).alias(name) for name in rules(parse_times(raw), keep_nan)]
+    return [F.count("*").alias("rows"), rejected, *each]
+
+
 def valid_rows(df: DataFrame, keep_nan: bool = False) -> DataFrame:
     """Rows with a known key, no negative price or volume, and highest >= lowest.
 
@@ -90,3 +117,8 @@ def clean_market(raw: DataFrame, keep_nan: bool = False) -> DataFrame:
     """
     good = valid_rows(parse_times(raw), keep_nan=keep_nan)
     return latest_per_key(good).withColumns(year_month())
+
+
+def clean_judged(rows: DataFrame) -> DataFrame:
+    """The same from judged rows."""
+    return latest_per_key(rows.filter(F.size("broken") == 0).drop("broken")).withColumns(year_month())

@@ -31,6 +31,7 @@ _FRAMES = {
     "volume_mean_7": (F.avg, "volume", 7),
     "spread_mean_7": (F.avg, "spread", 7),
 }
+LONGEST_FRAME = max(length for _, _, length in _FRAMES.values())
 
 
 def _by_date():

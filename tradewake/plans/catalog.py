@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import year_month
 from ..model import REGRESSION_CATEGORIES, SEGMENTS, market, raw_market
-from ..operators import cleaning, profiling, ranking, scoring, segments, series, training
+from ..operators import cleaning, incremental, profiling, ranking, scoring, segments, series, training
 from ..operators.joint_ridge import fit_together
 from ..operators.regression import RidgeSettings, coefficients, fit_by_segment, train_by_segment, training_frame, vectorizer
 from ..operators.scoring import INTERCEPT
@@ -248,6 +249,30 @@ def dedup_latest(spark, sf_dir):
     return latest.withColumn("modified_epoch", F.unix_timestamp("http_last_modified")).drop("http_last_modified")
 
 
+_RULES_SQL = {
+    **{f"{c} missing": f"{c} is null" for c in ("date", "region_id", "type_id", "average", "highest", "lowest", "volume")},
+    **{f"{c} negative": f"{c} < 0" for c in ("average", "highest", "lowest", "volume")},
+    **{f"{c} not a number": f"isnan({c})" for c in ("average", "highest", "lowest")},
+    "highest below lowest": "highest < lowest",
+}
+
+
+@_register(_with(_RAW, "\nunion all\n".join(
+    f"select '{name}' as rule, count(*) filter ({broken}) as n_counted, count(*) filter ({broken}) as n_quarantined from raw"
+    for name, broken in _RULES_SQL.items()
+)))
+def rejected_rows(spark, sf_dir):
+    """Rows that break each rule, as counted while they were written and as kept in the quarantine table."""
+    raw = raw_market(spark, sf_dir)
+    counts = Observation("cleaning")
+    rows = cleaning.judged(raw).observe(counts, *cleaning.rule_counts(raw))
+    staged = stored(rows.withColumn("accepted", F.size("broken") == 0), "judged", partition_by="accepted")
+    kept = staged.filter("not accepted").select(F.explode("broken").alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
+    counted = [(name, counts.get[name]) for name in cleaning.rules(cleaning.parse_times(raw))]  # a row per rule
+    table = spark.createDataFrame(counted, "rule string, n_counted long")
+    return table.join(kept, "rule", "left").select("rule", "n_counted", F.coalesce("n", F.lit(0)).cast("long").alias("n_quarantined"))
+
+
 # Reports
 
 @_register(_with(_MARKET, """select count(*) as n_rows, cast(min(date) as varchar) as min_date,
@@ -376,16 +401,34 @@ def target(spark, sf_dir):
     return series.target(market(spark, sf_dir))
 
 
-@_register(_with(_FEATURES, f"""select {_DATE}, year, month, region_id, type_id, round(average, 6) as average,
+_FEATURES_SQL = _with(_FEATURES, f"""select {_DATE}, year, month, region_id, type_id, round(average, 6) as average,
   round(price_lag_1, 6) as price_lag_1, round(price_lag_3, 6) as price_lag_3, round(price_lag_7, 6) as price_lag_7,
   round(price_mean_7, 6) as price_mean_7, round(price_mean_14, 6) as price_mean_14,
   round(price_std_7, 6) as price_std_7, volume_lag_1, round(volume_mean_7, 6) as volume_mean_7,
   round(spread, 6) as spread, round(spread_mean_7, 6) as spread_mean_7, dow,
-  round(target_next_price, 6) as target_next_price from features"""))
+  round(target_next_price, 6) as target_next_price from features""")
+
+
+@_register(_FEATURES_SQL)
 def features(spark, sf_dir):
     return series.features(market(spark, sf_dir))
 
 
+@_register(_FEATURES_SQL)
+def features_by_loads(spark, sf_dir):
+    """The same in four loads of days, each from its own rows and the state that the one before it left."""
+    daily = _daily(spark, sf_dir)
+    state, parts = None, []
+    borders = [None, *map(F.lit, ("1996-03-01", "1998-07-15", "1998-07-16")), None]
+    for start, stop in zip(borders, borders[1:]):
+        rows = daily if start is None else daily.filter(F.col("date") >= start.cast("date"))
+        rows = rows if stop is None else rows.filter(F.col("date") < stop.cast("date"))
+        complete, after = incremental.extended(state, rows)
+        parts.append(stored(complete, "new-features"))
+        state = stored(after, "feature-state")
+    return reduce(DataFrame.union, parts)
+
+
 # Segments
 
 @_register(_with(_MARKET + _STATS, f"select {_STATS_COLUMNS} from stats"))

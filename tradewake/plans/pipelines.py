@@ -12,15 +12,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ..model import SEED, SEGMENTS, TOP_ITEMS, TREND_ITEMS
+from ..model import KEY, SEED, SEGMENTS, TOP_ITEMS, TREND_ITEMS
 from ..operators import profiling, ranking
-from ..operators.cleaning import clean_market, latest_per_key
+from ..operators.cleaning import clean_judged, clean_market, judged, latest_per_key, rule_counts
+from ..operators.incremental import STATE_COLUMNS, extended, late_rows
 from ..operators.regression import RidgeSettings, train_by_segment
 from ..operators.segments import fit_segments, type_stats
 from ..operators.series import features
-from ..sources import job_folder, merge_by_month, read_archives, read_table, stored, write_by_month, write_table
+from ..sources import (
+    job_folder,
+    merge_by_month,
+    read_archives,
+    read_table,
+    read_version,
+    stored,
+    write_by_month,
+    write_table,
+    write_version,
+)
 
 
 def transform(
@@ -47,6 +59,23 @@ def extend(
         return merge_by_month(new, target, latest_per_key)
 
 
+def transform_with_quarantine(
+    spark: SparkSession, source: str | Sequence[str], target: str, quarantine: str, keep_nan: bool = False
+) -> dict[str, int]:
+    """``transform`` that also keeps the rejected rows, each with the rules it breaks; returns the counts per rule.
+
+    The archives are read once: parsed rows are staged, accepted and rejected ones apart, and counted in that same pass.
+    """
+    with job_folder(spark):
+        raw = read_archives(spark, source)
+        counts = Observation("cleaning")
+        rows = judged(raw, keep_nan).observe(counts, *rule_counts(raw, keep_nan))
+        staged = stored(rows.withColumn("accepted", F.size("broken") == 0), "judged", partition_by="accepted")
+        write_by_month(clean_judged(staged.filter("accepted").drop("accepted")), target)
+        write_table(staged.filter("not accepted").drop("accepted"), quarantine)
+        return counts.get
+
+
 def analyze(daily: DataFrame, top_n_items: int = TOP_ITEMS, trend_items: int = TREND_ITEMS) -> dict[str, DataFrame]:
     """Every report on a daily table, by name, and its schema.
 
@@ -80,6 +109,25 @@ def show_reports(reports: dict[str, DataFrame], rows: int = 50) -> None:
         report.show(rows, truncate=False)
 
 
+def extend_features(spark: SparkSession, new: DataFrame, target: str, state_path: str) -> list[tuple[int, int]]:
+    """Add the features that the clean rows of new days complete; returns the months that were rewritten.
+
+    Reads the new rows and the state, not the daily table. New rows must come after the stored ones of their series. A
+    run that was interrupted can be repeated: rows that are already there are written again, and the state changes last.
+    """
+    with job_folder(spark):
+        new = stored(new.select(*STATE_COLUMNS), "new-days")
+        state = read_version(spark, state_path)
+        if state is not None and not (late := late_rows(state, new)).isEmpty():
+            raise ValueError(f"{late.count()} rows are not after the last day of their series; rebuild the features")
+        complete, after = extended(state, new)
+        months = merge_by_month(
+            stored(complete, "new-features"), target, lambda rows: rows.dropDuplicates(list(KEY))
+        )
+        write_version(after, state_path)
+        return months
+
+
 def build_features(spark: SparkSession, source: str, target: str) -> None:
     """Daily table to feature table, partitioned by month."""
     write_by_month(features(read_table(spark, source)), target)

@@ -103,6 +103,34 @@ def merge_by_month(
     return touched
 
 
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    """The number of the last complete version of a versioned table, if there is one."""
+    files, where = _file_system(spark, path)
+    if not files.exists(where):
+        return None
+    names = [status.getPath().getName() for status in files.listStatus(where)]
+    numbers = [int(name.removeprefix("v")) for name in names if name.startswith("v")]
+    return max((n for n in numbers if _exists(spark, f"{path.rstrip('/')}/v{n}/_SUCCESS")), default=None)
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last complete version of a table, or None."""
+    number = latest_version(spark, path)
+    return None if number is None else spark.read.parquet(f"{path.rstrip('/')}/v{number}")
+
+
+def write_version(df: DataFrame, path: str) -> None:
+    """Write a table beside its last version, from which it may have been made, and only then delete that.
+
+    An interrupted write leaves the last version in place.
+    """
+    spark = df.sparkSession
+    before = latest_version(spark, path)
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/v{0 if before is None else before + 1}")
+    if before is not None:
+        _delete(spark, f"{path.rstrip('/')}/v{before}")
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Overwrite an unpartitioned table."""
     df.write.mode("overwrite").parquet(path)
