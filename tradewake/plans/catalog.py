@@ -23,6 +23,7 @@ from ..operators.regression import RidgeSettings, coefficients, fit_by_segment,
 from ..operators.scoring import INTERCEPT
 from ..operators.slicing import series_slice
 from ..sources import merge_by_month, read_archives, read_table, scratch_path, stored, write_by_month, write_table
+from . import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -378,6 +379,64 @@ def series_slice_of_months(spark, sf_dir):
     return series_slice(read_table(spark, path), **_SLICE)
 
 
+# All reports of the analysis in one table: report -> its key columns.
+_REPORT_KEYS = {
+    "overview": (), "describe_prices": ("measure",), "missing_values": (), "sanity_checks": (), "top_items": ("type_id",),
+    "top_regions": ("region_id",), "dow_seasonality": ("dow_num", "dow"), "monthly_seasonality": ("year", "month"),
+    "volatility_rank": ("type_id",), "correlations": (), "top_item_trends": ("date", "type_id"), "coverage": ("type_id",),
+}
+_REPORT_MEASURES = {
+    "overview": "n_rows min_date max_date n_regions n_items n_days", "describe_prices": "n mean stddev min max",
+    "missing_values": "date_nulls region_nulls type_nulls average_nulls volume_nulls",
+    "sanity_checks": "avg_negative highest_negative lowest_negative volume_negative highest_lt_lowest",
+    "top_items": "total_volume avg_price avg_spread days_present", "top_regions": "total_volume n_items",
+    "dow_seasonality": "avg_price avg_volume avg_spread", "monthly_seasonality": "avg_price sum_volume avg_spread",
+    "volatility_rank": "mean_price std_price total_volume cov",
+    "correlations": "corr_average_volume corr_average_spread corr_volume_spread",
+    "top_item_trends": "avg_price sum_volume avg_spread", "coverage": "days_present",
+}
+
+
+def _report_sql(name: str) -> str:
+    """The SQL of a report, over the market view, as (report, key, measure, value)."""
+    of_report = _ENTRIES[name].sql.replace(_RAW.strip(), _MARKET.strip()).replace("from raw", "from market")
+    keys = ", ".join(_REPORT_KEYS[name])
+    measures = _REPORT_MEASURES[name].split()
+    value = lambda m: f"date_diff('day', date '1970-01-01', {m}::date)" if m.endswith("_date") else m
+    return f"""select '{name}' as report, concat_ws('|', ''{', ' + keys if keys else ''}) as key,
+  unnest([{', '.join(f"'{m}'" for m in measures)}]) as measure,
+  unnest([{', '.join(f"{value(m)}::double" for m in measures)}]) as value from ({of_report})"""
+
+
+_SCHEMA_SQL = "\nunion all\n".join(
+    f"select 'schema' as report, '|{name}' as key, '{kind}' as measure, 1::double as value"
+    for name, kind in {"date": "date", "region_id": "int", "type_id": "int", "average": "double", "highest": "double",
+                       "lowest": "double", "order_count": "int", "volume": "bigint"}.items()
+)
+
+
+@_register("\nunion all\n".join([*map(_report_sql, _REPORT_KEYS), _SCHEMA_SQL]))
+def analysis(spark, sf_dir):
+    """Every report of the analysis job and the schema, as one table with a row for each figure."""
+    reports = pipelines.analyze(_daily(spark, sf_dir))
+    schema = reports.pop("schema").select(
+        F.lit("schema").alias("report"), F.concat(F.lit("|"), "name").alias("key"), F.col("type").alias("measure"),
+        F.col("nullable").cast("double").alias("value"),
+    )
+
+    def figures(name: str, report: DataFrame) -> DataFrame:
+        kinds = dict(report.dtypes)
+        keys = [F.col(key).cast("string") for key in _REPORT_KEYS[name]]
+        number = lambda c: F.unix_date(c) if kinds[c] == "date" else F.col(c)
+        cells = [
+            F.struct(F.lit(c).alias("measure"), number(c).cast("double").alias("value"))
+            for c in report.columns if c not in _REPORT_KEYS[name]
+        ]
+        return report.select(F.lit(name).alias("report"), F.concat_ws("|", F.lit(""), *keys).alias("key"), F.inline(F.array(*cells)))
+
+    return reduce(DataFrame.union, [figures(name, report) for name, report in reports.items()], schema)
+
+
 # Series
 
 _BASE_SQL = f"select {_DATE}, region_id, type_id, round(average, 6) as average"
