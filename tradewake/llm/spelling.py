@@ -20,6 +20,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,8 @@ LONGEST = 256  # code points of a word that is searched for in an index
 BLOCK_CHARS = 1 << 17  # code points of an index, about
 _HELD_WORDS = 200_000  # distinct words that a task counts before it gives them out
 _PART = 1 << 20  # code points of a text that are cut into words at a time
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
+_LETTERS = "[A-Za-zÀ-ÿ]"
+_RUN = re.compile(_LETTERS + "+")
 
 # ---------------------------------------------------------------- words
 
@@ -54,15 +56,21 @@ def _parts(text: str) -> Iterator[str]:
     yield text[start:]
 
 
-def words_of(id_: object, text: str | None, drop_fold: int | None = DROP_FOLD) -> Counter:
-    """The words of a document with their numbers: runs of letters, A-Z in lower case.
+@cache
+def _runs(min_length: int) -> re.Pattern:
+    """Whole runs of at least so many letters; within a shorter one nothing matches."""
+    return re.compile(f"{_LETTERS}{{{min_length},}}")
+
+
+def words_of(id_: object, text: str | None, drop_fold: int | None = DROP_FOLD, min_length: int = 1) -> Counter:
+    """The words of a document with their numbers: runs of letters, of at least some length, A-Z in lower case.
 
     A code point of some is deleted, as chosen by a checksum of id and word, so that the corpus has misspellings.
     """
     found: Counter = Counter()
     name = "" if id_ is None else id_
     for part in _parts(text or ""):
-        found.update(_RUN.findall(part.encode().lower().decode()))
+        found.update(_runs(min_length).findall(part.encode().lower().decode()))
     if drop_fold is None:
         return found
     words: Counter = Counter()
@@ -93,7 +101,7 @@ def vocabulary(
 
         for batch in sliced(batches, 100):
             for id_, text in zip(*(column.to_pylist() for column in batch.columns)):
-                for word, n in words_of(id_, text, drop_fold).items():
+                for word, n in words_of(id_, text, drop_fold, min_length).items():
                     if len(word) >= min_length:
                         held[word] += n
             if len(held) > _HELD_WORDS:
@@ -122,17 +130,35 @@ class _Ranks:
         hits = np.bincount(np.arange(n) // self.STEP * sigma + self.bwt, minlength=rows * sigma).reshape(rows, sigma)
         self._marks = np.zeros((rows, sigma), dtype=np.int32)
         np.cumsum(hits[:-1], axis=0, out=self._marks[1:])
-        self._padded = np.concatenate([self.bwt, np.full(self.STEP, sigma, dtype=self.bwt.dtype)])
+        # Symbols smaller than each one, before each mark.
+        self._below = np.cumsum(self._marks, axis=1, dtype=np.int32) - self._marks
+        padded = np.full(rows * self.STEP, sigma, dtype=np.uint16)
+        padded[:n] = self.bwt
+        self._windows = padded.reshape(rows, self.STEP)
+
+    def _window(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The mark before each place, and the symbols from it to the place, filled up with one above all."""
+        mark = at // self.STEP
+        window = self._windows[mark]
+        window[np.arange(self.STEP) >= (at % self.STEP)[:, None]] = self.sigma
+        return mark, window
 
     def counts(self, at: np.ndarray) -> np.ndarray:
         """For each place the number of each symbol before it."""
-        mark = at // self.STEP
-        window = self._padded[mark[:, None] * self.STEP + np.arange(self.STEP)]
-        window = np.where(np.arange(self.STEP) < (at % self.STEP)[:, None], window, self.sigma)
+        mark, window = self._window(at)
         flat = np.arange(len(at))[:, None] * (self.sigma + 1) + window
         inside = np.bincount(flat.ravel(), minlength=len(at) * (self.sigma + 1)).reshape(len(at), self.sigma + 1)
         return self._marks[mark] + inside[:, :-1]
 
+    def counts_of(self, at: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each place the number of one symbol before it, and that of the smaller ones."""
+        mark, window = self._window(at)
+        own = symbols.astype(np.uint16)[:, None]
+        return (
+            self._marks[mark, symbols] + np.count_nonzero(window == own, axis=1),
+            self._below[mark, symbols] + np.count_nonzero(window < own, axis=1),
+        )
+
 
 def _suffix_order(text: np.ndarray) -> np.ndarray:
     """The start of each suffix in their order (the text as a ring), by doubling the length that is compared."""
@@ -164,6 +190,7 @@ class Index:
         self.sigma = len(self.symbols)
         self._ranks = (_Ranks(text, self.sigma), _Ranks(text[::-1].copy(), self.sigma))
         self._starts = np.flatnonzero(text == 0)
+        self.size = len(text)
 
     def whole(self, n: int) -> np.ndarray:
         """The interval of the empty string, n times."""
@@ -182,10 +209,14 @@ class Index:
 
     def extend(self, intervals: np.ndarray, symbols: np.ndarray, to_left: bool) -> np.ndarray:
         """The intervals after a symbol each is put at one end; symbols below 0 are in no word."""
-        found, _ = self.branches(intervals, to_left)
-        one = found[:, np.arange(len(symbols)), np.maximum(symbols, 0)]
-        one[2, symbols < 0] = 0
-        return one
+        ranks = self._ranks[0 if to_left else 1]
+        low, other = (intervals[0], intervals[1]) if to_left else (intervals[1], intervals[0])
+        known = np.maximum(symbols, 0)
+        before, below = ranks.counts_of(low, known)
+        until, below_until = ranks.counts_of(low + intervals[2], known)
+        lows, others = ranks.first[known] + before, other + below_until - below
+        sizes = np.where(symbols < 0, 0, until - before)
+        return np.stack([lows, others, sizes] if to_left else [others, lows, sizes])
 
     def numbers(self, intervals: np.ndarray) -> np.ndarray:
         """The number of the word for intervals of whole words with both delimiters."""
@@ -254,8 +285,6 @@ def search(index: Index, words: list[str], left_exact: bool) -> tuple[np.ndarray
         ends.append((now[ended], now_at[:, ended]))
         wrong = np.concatenate([now[~ended], more[replaced], clean[dropped]])
         wrong_at = np.concatenate([now_at[:, ~ended], more_at[:, replaced], clean_at[:, dropped]], axis=1)
-        # Several ways to one interval, as where a symbol is repeated, count once.
-        wrong, wrong_at = _distinct(wrong, wrong_at)
         # Words without an error so far.
         go = ~last & (own >= 0)
         picked = branches[:, np.flatnonzero(go), own[go]]
@@ -263,20 +292,15 @@ def search(index: Index, words: list[str], left_exact: bool) -> tuple[np.ndarray
         kept = picked[2] > 0
         clean, clean_at = clean[kept], picked[:, kept]
     query, at = np.concatenate([q for q, _ in ends]), np.concatenate([i for _, i in ends], axis=1)
-    query, at = _distinct(query, at)
-    return query, index.numbers(at)
-
-
-def _distinct(query: np.ndarray, intervals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each interval of a query once; both ends' ranks tell a string from one that always continues it."""
-    states = np.unique(np.vstack([query, intervals]), axis=1)
-    return states[0], states[1:]
+    # Several ways to one word, as where a symbol is repeated, count once.
+    return np.divmod(np.unique(query * index.size + index.numbers(at)), index.size)
 
 
 # ---------------------------------------------------------------- all words
 
 _LOOKED_UP = 2000  # words that are looked up together
 _BLOCK = ("side", "bin", "part")
+_MOST_TASKS = 20_000  # more blocks share tasks
 
 
 def _batches_of(words: list[str]) -> Iterator[np.ndarray]:
@@ -384,8 +408,11 @@ def near_words(words: DataFrame, min_length: int = MIN_LENGTH, block_chars: int
     sided = usual.select("word", "n", F.inline(ends))
     sizes = sided.groupBy("side", "end").agg(F.sum(F.char_length("word") + 1).alias("chars"))
     sizes = stored(sizes.withColumn("parts", F.ceil(F.col("chars") / block_chars).cast("int")), "word-ends")
-    total = sizes.filter("side = 0").agg(F.sum("chars").alias("chars")).first().chars or 0
-    bins = 2 * total // block_chars + 1
+    figures = sizes.agg(
+        F.sum(F.when(F.col("side") == 0, F.col("chars"))).alias("chars"), F.sum(F.when(F.col("parts") > 1, F.col("parts"))).alias("parts")
+    ).first()
+    bins = 2 * (figures.chars or 0) // block_chars + 1
+    blocks = 2 * bins + (figures.parts or 0)
     # Ends of few words share a bin; one of many words has a bin of its own, below zero, in several parts.
     own = F.col("parts") > 1
     hashed = F.xxhash64("end")
@@ -398,7 +425,8 @@ def near_words(words: DataFrame, min_length: int = MIN_LENGTH, block_chars: int
         "n",
     )
     rows = dealt.select(*_BLOCK, (F.col("part") == F.col("home")).alias("member"), "word", "n")
-    ordered = rows.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK, F.desc("member"), "word")
+    # A stated number, as the rows are few bytes beside the work on them and would be put together in few tasks.
+    ordered = rows.repartition(min(blocks, _MOST_TASKS), *_BLOCK).sortWithinPartitions(*_BLOCK, F.desc("member"), "word")
     found = ordered.mapInArrow(_look_up, "word string, n long, near string, near_n long")
     return found.union(_near_long_words(words))
 
