@@ -93,6 +93,18 @@ def test_deep_paths_and_hosts(spark):
     assert found == {i: plain(u, t, entries) for i, u, t in captures}
 
 
+def test_patterns_of_any_form_apply(spark):
+    """As a browser or a list writes them; each equals its plain form."""
+    forms = {"site.org/a/": "http://site.org/A/b", "b.org.": "http://x.b.org/", "*.c.org": "http://c.org", "d.org:80": "http://d.org/q",
+             "HTTP://e.org/": "http://www.e.org", "https://u:p@F.org:8080//G//h/?q=1#f": "http://f.org/g/h/i", " g.org ": "http://g.org/"}
+    entries = [("l", pattern, "block", at(0)) for pattern in [*forms, "", "http://", "/only/path", "*."]]
+    captures = [(i, url, at(1)) for i, url in enumerate([*forms.values(), "http://f.org/g", "http://other.org/only/path"])]
+    found = verdicts(spark, captures, entries)
+    n = len(forms)
+    assert [found[i][0] for i in range(n + 2)] == ["block"] * n + ["none"] * 2
+    assert [found[i][2] for i in range(n)] == ["site.org/a", "b.org", "c.org", "d.org", "e.org", "f.org/g/h", "g.org"]
+
+
 def test_no_python_runs(spark):
     found = urls.verdicts(spark.createDataFrame([(1, "http://a.org", at(1))], CAPTURES).repartition(2), spark.createDataFrame([], ENTRIES))
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan(found))

@@ -70,6 +70,7 @@ def list_entries(pages: DataFrame) -> DataFrame:
         parts.select(F.lit("hosts").alias("list"), F.col("host").alias("pattern"))
         .union(parts.select(F.lit("domains"), F.regexp_replace("host", r"^[^.]*\.", "")))
         .union(parts.filter(segment != "").select(F.lit("paths"), F.concat("host", F.lit("/"), segment)))
+        .union(parts.select(F.lit("pages"), F.concat(F.lit("HTTP://*."), "host", F.lit(".:80"), "path", F.lit("/"))))
         .distinct()
     )
     digest = F.md5(F.concat_ws(" ", "list", "pattern").cast("binary"))
@@ -106,6 +107,7 @@ with pages_of as (
   union select 'domains', regexp_replace(host, '^[^.]*\.', '') from pages_of where host is not null
   union select 'paths', host || '/' || split_part(lower(path), '/', 2) from pages_of
         where host is not null and split_part(lower(path), '/', 2) <> ''
+  union select 'pages', 'HTTP://*.' || host || '.:80' || path || '/' from pages_of where host is not null
 ), dated as (
   select *, md5(list || ' ' || pattern) as d from patterns
 ), coded as (
@@ -118,22 +120,31 @@ with pages_of as (
   union all select list, pattern, timestamp '2024-01-01' + to_days((c % 300 + 60)::int), 'remove' from coded
   union all select list, pattern, timestamp '2024-01-01' + to_days((c % 300 + 90 + c5 % 7)::int),
          case when c6 % 3 = 0 then 'allow' else 'block' end from coded
+), pointed as (
+  select list, listed_at, action, regexp_replace(regexp_replace(lower(pattern), '^http://\*\.', ''), '\.:80/', '/') as pattern from events
+), plain as (
+  select list, listed_at, rtrim(regexp_replace(pattern, '/+', '/', 'g'), '/') as pattern,
+         arg_max(action, case action when 'remove' then 0 when 'block' then 1 else 2 end) as action
+  from pointed group by 1, 2, 3
 ), intervals as (
-  select * from (select *, lead(listed_at) over (partition by list, pattern order by listed_at) as until from events)
+  select * from (select *, lead(listed_at) over (partition by list, pattern order by listed_at) as until from plain)
   where action <> 'remove'
+), deepest as (
+  select max(len(string_split(split_part(pattern, '/', 1), '.'))) as labels, max(len(string_split(pattern, '/'))) - 1 as parts
+  from intervals
 ), labelled as (
   select *, string_split(host, '.') as labels,
          list_filter(string_split(lower(path), '/'), lambda x: x <> '') as parts
   from pages_of where host is not null
 ), domains as (
-  select page_id, fetched_at, host, parts, labels, unnest(range(greatest(len(labels) - 8, 0), len(labels))) as i
-  from labelled
+  select page_id, fetched_at, host, labelled.parts, labelled.labels, unnest(range(greatest(len(labelled.labels) - deepest.labels, 0), len(labelled.labels))) as i
+  from labelled, deepest
 ), keys as (
-  select page_id, fetched_at, array_to_string(labels[i + 1:], '.') as domain, len(labels) - i as depth, parts,
-         unnest(range(0, least(len(parts), 4) + 1)) as n
-  from domains
+  select page_id, fetched_at, array_to_string(domains.labels[i + 1:], '.') as domain, len(domains.labels) - i as depth,
+         domains.parts, unnest(range(0, least(len(domains.parts), deepest.parts) + 1)) as n
+  from domains, deepest
 ), asked as (
-  select page_id, fetched_at, depth * 16 + n as specific,
+  select page_id, fetched_at, depth * 100000 + n as specific,
          domain || case when n = 0 then '' else '/' || array_to_string(parts[1:n], '/') end as key
   from keys
 ), best as (

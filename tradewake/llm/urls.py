@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.workspace import stored
+
 BLOCK, ALLOW, REMOVE = "block", "allow", "remove"
 NOT_LISTED = "none"
 
@@ -36,6 +38,18 @@ def path_of(url: Column) -> Column:
     return F.when(path == "", "/").otherwise(path)
 
 
+def pattern_of(text: Column) -> Column:
+    """A list's pattern in the form of the keys: host without user, port, final dot and leading ``*.``, path segments.
+
+    A scheme, a query, a fragment and empty segments are dropped, and all is in lower case: paths ignore case. Null
+    where no host is left.
+    """
+    bare = F.regexp_replace(F.trim(text), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    url = F.concat(F.lit("x://"), F.regexp_replace(bare, r"^\*\.", ""))
+    parts = _parts(path_of(url))
+    return F.concat(host_of(url), F.when(F.size(parts) > 0, F.concat(F.lit("/"), F.array_join(parts, "/"))).otherwise(""))
+
+
 def validity(entries: DataFrame) -> DataFrame:
     """(list, pattern, action, valid_from, valid_to): the intervals of an entry log, open ends null.
 
@@ -45,7 +59,7 @@ def validity(entries: DataFrame) -> DataFrame:
     """
     strength = F.when(F.col("action") == REMOVE, 0).when(F.col("action") == BLOCK, 1).otherwise(2)
     known = (
-        entries.select("list", F.lower(F.col("pattern")).alias("pattern"), "action", "listed_at")
+        entries.select("list", pattern_of(F.col("pattern")).alias("pattern"), "action", "listed_at")
         .filter(
             F.col("pattern").isNotNull() & F.col("listed_at").isNotNull() & F.col("action").isin(BLOCK, ALLOW, REMOVE)
         )
@@ -106,7 +120,7 @@ def verdicts(
 
     The verdict is block, allow, or none where no entry was active. A null or malformed url, or a null time, gives
     none, with null list and pattern. Patterns are a domain, which covers the domains below it, optionally with the beginning of
-    a path in whole segments. Between equally specific entries a block wins, then the later one, then the smaller list and
+    a path in whole segments, and are brought into one form first (see ``pattern_of``); that form is returned. Between equally specific entries a block wins, then the later one, then the smaller list and
     pattern. An entry holds from its own time on, until just before the next one's. Every capture gives a row, repeated ones too;
     other columns have no effect; with no entries all verdicts are none.
     """
@@ -115,8 +129,8 @@ def verdicts(
         F.col(time_col).alias("time"),
     )
     addresses = rows.filter(F.col("host").isNotNull() & F.col("time").isNotNull()).select("host", "path", "time").distinct()
-    intervals = validity(entries)
-    keys = addresses.select("host", "path", "time", F.inline(_keys(F.col("host"), F.col("path"), _depths(entries))))
+    intervals = stored(validity(entries), "validity")
+    keys = addresses.select("host", "path", "time", F.inline(_keys(F.col("host"), F.col("path"), _depths(intervals))))
     active = keys.join(intervals, keys["key"] == intervals["pattern"]).filter(
         (F.col("time") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("time") < F.col("valid_to")))
     )
