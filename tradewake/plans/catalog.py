@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import year_month
-from ..model import REGRESSION_CATEGORIES, SEGMENTS, market, raw_market
+from ..model import REGRESSION_CATEGORIES, SEGMENTS, market, raw_market, table
 from ..operators import cleaning, incremental, profiling, ranking, scoring, segments, series, training
 from ..operators.joint_ridge import fit_together
 from ..operators.regression import RidgeSettings, coefficients, fit_by_segment, train_by_segment, training_frame, vectorizer
 from ..operators.scoring import INTERCEPT
 from ..operators.slicing import series_slice
 from ..sources import merge_by_month, read_archives, read_table, scratch_path, stored, write_by_month, write_table
+from ..streaming.windows import closed_windows, ingest_windows, late_rows
 from . import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -720,6 +721,50 @@ def ridge_segmented(spark, sf_dir):
     return report
 
 
+# Streams
+
+_ARRIVAL_DAYS, _DELAY_DAYS, _LATE_ARRIVALS = 5, 12, 5
+
+
+@_register(f"""with numbered as (
+  select *, date_diff('day', (select min(ts)::date from events), ts::date) // {_ARRIVAL_DAYS} as due from events),
+last as (select max(due) as due from numbered),
+arriving as (
+  select numbered.*, event_id % 50 = 0 and numbered.due + {_LATE_ARRIVALS} <= last.due as late from numbered, last),
+counted as (
+  select ts::date as day, event_type, value from arriving
+  where not late and ts::date + 1 <= (select max(ts) from arriving where not late) - interval {_DELAY_DAYS} day)
+select day::varchar as day, event_type, count(*) as n, round(sum(value), 2) as total from counted group by 1, 2
+union all select null, 'late', (select count(*) from arriving where late), null""")
+def event_windows(spark, sf_dir):
+    """Daily totals of a stream of the events: some are repeated, some delayed, and some come after the watermark.
+
+    Events arrive in parts of five days; every third is a part behind, every seventh comes twice, every fiftieth five
+    parts late. Windows still open at the end are not written.
+    """
+    events = table(spark, sf_dir, "events")
+    event = F.col("event_id")
+    first = events.agg(F.min(F.col("ts").cast("date"))).scalar()
+    due = F.floor(F.datediff(F.col("ts").cast("date"), first) / _ARRIVAL_DAYS).cast("int")
+    known = events.withColumn("due", due)
+    last = known.agg(F.max("due")).first()[0]
+    late = (event % 50 == 0) & (F.col("due") + _LATE_ARRIVALS <= last)
+    usual = F.col("due") + (event % 3 == 1).cast("int")
+    times = F.when(late, F.array(F.col("due") + _LATE_ARRIVALS)).when(event % 7 == 0, F.array(usual, usual + 1)).otherwise(F.array(usual))
+    arrivals = stored(known.select(*events.columns, F.explode(times).alias("part")), "arrivals", partition_by="part")
+    folder, target, progress = (scratch_path(spark, name) for name in ("stream", "windows", "progress"))
+    n_late = 0
+    for part in range(last + 3):
+        arrivals.filter(F.col("part") == part).drop("part").write.mode("append").parquet(folder)
+        query = ingest_windows(spark, folder, events.schema, target, progress, f"{_DELAY_DAYS} days")
+        query.awaitTermination()
+        n_late += late_rows(query)
+    windows = closed_windows(spark, target).select(
+        F.date_from_unix_date(F.floor(F.unix_seconds("start") / 86400).cast("int")).cast("string").alias("day"), "event_type", "n", F.round("total", 2).alias("total")
+    )
+    return windows.union(spark.createDataFrame([(None, "late", n_late, None)], windows.schema))
+
+
 # Names that are taken by imports above.
 _ENTRIES["series_slice"] = _ENTRIES.pop("series_slice_of_view")
 
