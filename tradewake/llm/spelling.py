@@ -8,7 +8,8 @@ text of words and of its reverse, whose intervals move together, so an interval
 
 Scale: occurrences are counted per batch before they are shuffled. The vocabulary is dealt to indexes by the code points
 that the matched half must begin or end with (words that could meet are in one index), in blocks of bounded size. A
-beginning or ending with more words than a block takes is split into several blocks, and a word is looked up in each. All
+beginning or ending with more words than a block takes is split into parts; each part's index is met by each part's words in
+a block of its own, so that no block grows. All
 words of a block are looked up together, in arrays. Counts travel with the words, so no pair is joined again. Runs of more
 letters than any word has (256) would take a step of the search for each letter; these few are joined by a hash of the
 half they share and compared in one pass.
@@ -299,7 +300,8 @@ def search(index: Index, words: list[str], left_exact: bool) -> tuple[np.ndarray
 # ---------------------------------------------------------------- all words
 
 _LOOKED_UP = 2000  # words that are looked up together
-_BLOCK = ("side", "bin", "part")
+_BLOCK = ("side", "bin", "part", "slice")
+_ASKED, _HELD, _BOTH = 0, 1, 2  # what a word is to a block: looked up, in its index, or both
 _MOST_TASKS = 20_000  # more blocks share tasks
 
 
@@ -341,29 +343,29 @@ class _Block:
 
 
 def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come block by block, the words of the index first; those are held, the others only looked up."""
-    name, members, block = None, ([], []), None
+    """Rows come block by block, the words of the index first; those are held until all are there."""
+    name, members, both, block = None, ([], []), False, None
 
     def begin() -> Iterator[pa.RecordBatch]:
         nonlocal block
         block = _Block(*members, left_exact=name[0] == 0)
-        yield block.near(*members)
+        if both:
+            yield block.near(*members)
 
     for batch in batches:
-        side, bin_, part, member = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        border = (side[1:] != side[:-1]) | (bin_[1:] != bin_[:-1]) | (part[1:] != part[:-1]) | (member[1:] != member[:-1])
-        borders = (np.flatnonzero(border) + 1).tolist()
+        keys = np.stack([batch.column(i).to_numpy() for i in range(len(_BLOCK) + 1)])
+        borders = (np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()
         for start, stop in zip([0, *borders], [*borders, batch.num_rows]):
             if start == stop:
                 continue
             rows = batch.slice(start, stop - start)
-            words, counts = rows.column(4).to_pylist(), rows.column(5).to_pylist()
-            here = (side[start], bin_[start], part[start])
+            words, counts = rows.column("word").to_pylist(), rows.column("n").to_pylist()
+            *here, role = keys[:, start].tolist()
             if here != name:
                 if name is not None and block is None:
                     yield from begin()
-                name, members, block = here, ([], []), None
-            if member[start]:
+                name, members, both, block = here, ([], []), role == _BOTH, None
+            if role != _ASKED:
                 members[0].extend(words)
                 members[1].extend(counts)
                 continue
@@ -409,24 +411,28 @@ def near_words(words: DataFrame, min_length: int = MIN_LENGTH, block_chars: int
     sizes = sided.groupBy("side", "end").agg(F.sum(F.char_length("word") + 1).alias("chars"))
     sizes = stored(sizes.withColumn("parts", F.ceil(F.col("chars") / block_chars).cast("int")), "word-ends")
     figures = sizes.agg(
-        F.sum(F.when(F.col("side") == 0, F.col("chars"))).alias("chars"), F.sum(F.when(F.col("parts") > 1, F.col("parts"))).alias("parts")
+        F.sum(F.when(F.col("side") == 0, F.col("chars"))).alias("chars"), F.sum(F.when(F.col("parts") > 1, F.col("parts") * F.col("parts"))).alias("parts")
     ).first()
     bins = 2 * (figures.chars or 0) // block_chars + 1
     blocks = 2 * bins + (figures.parts or 0)
     # Ends of few words share a bin; one of many words has a bin of its own, below zero, in several parts.
     own = F.col("parts") > 1
     hashed = F.xxhash64("end")
-    dealt = with_lookup(sided, sizes, ["side", "end"], F.xxhash64("word")).select(
-        "side",
-        F.when(own, -1 - F.abs(F.shiftright(hashed, 1))).otherwise(F.pmod(hashed, F.lit(bins))).alias("bin"),
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("word", F.lit(1)), F.col("parts")).alias("home"),
-        "word",
-        "n",
-    )
-    rows = dealt.select(*_BLOCK, (F.col("part") == F.col("home")).alias("member"), "word", "n")
+    home, every = F.col("home"), F.sequence(F.lit(0), F.col("parts") - 1)
+    role = lambda n: F.lit(n).alias("role")
+    # A word is in the index of its part, once for each slice that is looked up there, and is looked up in every part.
+    held = F.transform(every, lambda i: F.struct(home.alias("part"), i.alias("slice"), F.when(i == home, _BOTH).otherwise(_HELD).alias("role")))
+    asked = F.transform(F.array_remove(every, home), lambda i: F.struct(i.alias("part"), home.alias("slice"), role(_ASKED)))
+    rows = (
+        with_lookup(sided, sizes, ["side", "end"], F.xxhash64("word"))
+        .withColumns({
+            "bin": F.when(own, -1 - F.abs(F.shiftright(hashed, 1))).otherwise(F.pmod(hashed, F.lit(bins))),
+            "home": F.pmod(F.xxhash64("word", F.lit(1)), F.col("parts")).cast("int"),
+        })
+        .select("side", "bin", F.inline(F.concat(held, asked)), "word", "n")
+    )
     # A stated number, as the rows are few bytes beside the work on them and would be put together in few tasks.
-    ordered = rows.repartition(min(blocks, _MOST_TASKS), *_BLOCK).sortWithinPartitions(*_BLOCK, F.desc("member"), "word")
+    ordered = rows.repartition(min(blocks, _MOST_TASKS), *_BLOCK).sortWithinPartitions(*_BLOCK, F.desc("role"), "word")
     found = ordered.mapInArrow(_look_up, "word string, n long, near string, near_n long")
     return found.union(_near_long_words(words))
 
