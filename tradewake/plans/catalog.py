@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import year_month
 from ..model import REGRESSION_CATEGORIES, SEGMENTS, market, raw_market, table
-from ..operators import cleaning, incremental, profiling, ranking, scoring, segments, series, training
+from ..operators import cleaning, incremental, profiling, ranking, scoring, segments, series, summaries, training
 from ..operators.joint_ridge import fit_together
 from ..operators.regression import RidgeSettings, coefficients, fit_by_segment, train_by_segment, training_frame, vectorizer
 from ..operators.scoring import INTERCEPT
@@ -380,6 +380,22 @@ def series_slice_of_months(spark, sf_dir):
     return series_slice(read_table(spark, path), **_SLICE)
 
 
+_MONTHS = ((1996, 3), (1999, 10))
+
+
+@_register(_with(_MARKET, """select type_id, count(*) as n_rows, cast(sum(volume) as bigint) as total_volume,
+  round(avg(average), 6) as avg_price, round(min(average), 6) as min_price, round(max(average), 6) as max_price,
+  round(avg(highest - lowest), 6) as avg_spread, count(distinct region_id) as n_regions
+from market where date between date '1996-03-01' and date '1999-10-31' group by type_id"""))
+def item_summaries_of_months(spark, sf_dir):
+    """Items over a range of months from stored monthly summaries, written in two loads; so few regions are counted exactly."""
+    path = scratch_path(spark, "summaries")
+    monthly = stored(summaries.monthly_summaries(market(spark, sf_dir)), "monthly")
+    for load in (F.col("month") <= 7, F.col("month") > 7):
+        summaries.write_summaries(monthly.filter(load), path)
+    return summaries.merged(summaries.read_summaries(spark, path, *_MONTHS), "type_id").drop("days_present", "price_q50")
+
+
 # All reports of the analysis in one table: report -> its key columns.
 _REPORT_KEYS = {
     "overview": (), "describe_prices": ("measure",), "missing_values": (), "sanity_checks": (), "top_items": ("type_id",),

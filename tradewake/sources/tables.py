@@ -136,6 +136,16 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def between_months(df: DataFrame, first: tuple[int, int] | None = None, last: tuple[int, int] | None = None) -> DataFrame:
+    """Rows from one (year, month) to another, both included; ``None`` leaves that end open."""
+    index = F.col("year") * 12 + F.col("month")
+    if first is not None:
+        df = df.filter(index >= first[0] * 12 + first[1])
+    if last is not None:
+        df = df.filter(index <= last[0] * 12 + last[1])
+    return df
+
+
 def between_dates(df: DataFrame, date_from: str | date | None = None, date_to: str | date | None = None) -> DataFrame:
     """Rows from ``date_from`` to ``date_to``, both included; ``None`` or ``""`` leaves that end open.
 
