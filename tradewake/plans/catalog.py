@@ -12,11 +12,11 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import year_month
-from ..model import REGRESSION_CATEGORIES, SEGMENTS, market, raw_market, table
+from ..model import LABEL, REGRESSION_CATEGORIES, REGRESSION_NUMERICS, SEGMENTS, market, raw_market, table
 from ..operators import cleaning, incremental, profiling, ranking, scoring, segments, series, summaries, training
 from ..operators.joint_ridge import fit_together
 from ..operators.regression import RidgeSettings, coefficients, fit_by_segment, train_by_segment, training_frame, vectorizer
@@ -706,6 +706,36 @@ def ridge_together(spark, sf_dir):
     return sizes.join(fitted, "segment_id")
 
 
+_ALL_NUMERICS = RidgeSettings(categories=(), reg_param=10.0, tolerance=1e-10, max_iter=300)
+
+
+@_register(_with(_SEGMENTED + _SPLIT, f"""select segment_id, count(*) as n_rows,
+  cast({' + '.join(f"(stddev_samp({name}) > 0)::int" for name in REGRESSION_NUMERICS)} as int) as n_slots, cast(0 as int) as n_off
+from split where part = 'train' group by segment_id"""))
+def ridge_optimality(spark, sf_dir):
+    """The fit of all numeric features in every segment: slots whose gradient, penalty included, is not zero."""
+    segmented = _segmented(spark, sf_dir)
+    table = segmented.drop("segment_id").withColumns({c: F.col(c).cast("int") for c in REGRESSION_CATEGORIES})
+    labelled = segmented.select(F.col("type_id").cast("int").alias("type_id"), "segment_id").distinct()
+    slopes = fit_together(training_frame(table, labelled, _ALL_NUMERICS), _ALL_NUMERICS)
+    names = REGRESSION_NUMERICS
+    wide = slopes.groupBy("segment_id").pivot("slot", [INTERCEPT, *range(len(names))]).agg(F.first("slope"))
+    train = training.time_split_by_segment(segmented).filter("part = 'train'").join(wide, "segment_id")
+    slope = {name: F.coalesce(F.col(str(slot)), F.lit(0.0)) for slot, name in enumerate(names)}
+    residual = F.col(LABEL) - sum((slope[name] * F.col(name) for name in names), F.col(str(INTERCEPT)))
+    sy = F.stddev_samp(LABEL)
+
+    def gradient(name: str) -> Column:
+        sx = F.stddev_samp(name)
+        return F.try_divide(F.covar_pop(F.col(name), residual), sx * sy) - _ALL_NUMERICS.reg_param / sy * F.first(slope[name]) * sx / sy
+
+    return train.groupBy("segment_id").agg(
+        F.count("*").alias("n_rows"),
+        sum(((F.stddev_samp(name) > 0).cast("int") for name in names), F.lit(0)).alias("n_slots"),
+        sum((F.coalesce(F.abs(gradient(name)) > 1e-6, F.lit(False)).cast("int") for name in names), F.lit(0)).alias("n_off"),
+    )
+
+
 @_register(_with(_SEGMENTED + _MOMENTS, f""", solved as ({_BIVARIATE_SLOPES}),
 predicted as (
   select split.*, my + price_slope * (price_lag_1 - m1) + volume_slope * (volume_lag_1 - m2) as prediction
