@@ -11,11 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewake.llm import decontamination, packing, pii, quality, simhash
-from tradewake.sources import read_table, stored
+from tradewake.sources import discard, read_table, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# The secret of the pseudonyms; a real run takes it from its own store of secrets.
+# The secret of the pseudonyms for tests and queries; a real run gives ``run`` one from its own store of secrets.
 PII_KEY = "tradewake-corpus"
 
 
@@ -34,9 +34,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontamination.without_benchmark(docs, read_table(spark, f"{sf_dir}/benchmark.parquet"))
 
 
-def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str, key: str = PII_KEY) -> DataFrame:
     """The documents with pseudonyms in place of personal numbers, dates and addresses."""
-    return pii.pseudonyms(docs, PII_KEY)
+    return pii.pseudonyms(docs, key)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +56,15 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table of documents."""
-    docs = read_table(spark, f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str, pii_key: str = PII_KEY) -> DataFrame:
+    """All stages over the table of documents; a stage's copy is deleted when the next one's is complete."""
+    docs, before = read_table(spark, f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        found = stage(spark, docs, sf_dir, pii_key) if stage is pseudonymised else stage(spark, docs, sf_dir)
+        path = scratch_path(spark, f"stage-{name}")
+        found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
+        if before is not None:
+            discard(spark, before)
+        before = path
     return docs

@@ -74,6 +74,11 @@ def release(spark: SparkSession) -> None:
     _delete(spark, _application_folder(spark))
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one stored table; frames read from it end here."""
+    _delete(spark, path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder; nothing exists there yet."""
     return f"{_open_folder.get() or _application_folder(spark)}/{label}-{uuid.uuid4().hex}"
