@@ -127,3 +127,12 @@ def test_verbatim_copies_of_short_items_and_other_cases(spark):
     assert not [x for x in found if x[1] in (8, 9)]
     other = [(1, ITEM.lower()), (2, ITEM.title()), (3, "Who wrote the book Dracula?"), (4, "Hours of hard work"), (5, "Add 1 2 3 4 6 5 7")]
     assert set(result(spark, other, [(50, ITEM), *enumerate(items)])) == {(1, 50), (2, 50)}
+
+
+def test_ids_keep_their_type(spark):
+    docs, items = frames(spark, [(7, f"before. {ITEM} after"), (8, "nothing of the kind")], [(1, ITEM)])
+    named = docs.withColumn("doc_id", F.format_string("%03d", "doc_id")).withColumns({c: F.lit(1) for c in ("_held", "id", "row")})
+    tasks = items.withColumn("item_id", F.concat(F.lit("set/"), F.col("item_id").cast("string")))
+    assert [(r.doc_id, r.item_id) for r in dc.matches(named, tasks).collect()] == [("007", "set/1")]
+    kept = dc.without_benchmark(named, tasks)
+    assert kept.columns == named.columns and [r.doc_id for r in kept.collect()] == ["008"]

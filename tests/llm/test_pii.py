@@ -115,7 +115,7 @@ def test_mail_and_secrets(spark):
     first, again, other, secret, upper = changed(
         spark, "to ann.34@mail7.example.com, now", "Ann.34@mail7.example.com", "bob@mail7.example.com",
         'token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde"', "2ABC3FF2CA8FB1E4C565A0EB63815530A948BDDE")
-    assert re.fullmatch(r"to u[0-9a-f]{12}@mail7\.example\.com, now", first) and again in first and other != again
+    assert re.fullmatch(r"to u[0-9a-f]{24}@mail7\.example\.com, now", first) and again in first and other != again
     new = re.fullmatch(r'token = "([0-9a-f]{40})"', secret)[1]
     assert new != "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" and upper == new.upper()
 

@@ -152,12 +152,15 @@ CONTRACT = {
     "op6_quality": "doc_id held_out score predicted",
     "op7_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op10_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op11_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op12_spelling": "word form root n n_near form_n",
+    "op13_line_dedup": "doc_id n_lines n_dropped kept_sha256",
 }
 
 
 def test_one_query_per_operator_with_the_columns_asked_for(spark, sf_dir):
     registered = queries.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in registered if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registered if n != "pipeline") == list(range(1, 14))
     for name, columns in CONTRACT.items():
         found = registered[name](spark, sf_dir)
         assert found.columns[: len(columns.split())] == columns.split()

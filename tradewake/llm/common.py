@@ -119,15 +119,24 @@ def is_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (table[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
+def id_hash(id_: Column) -> Column:
+    return F.xxhash64(id_.cast("string"))
+
+
+def id_map(ids: DataFrame, bits: int | None = None):
+    """A broadcast bit map of ids, a stored frame of one column, sized by their number up to a bound."""
+    bits = bits_for(ids.count()) if bits is None else bits
+    table = bit_map(ids.select(id_hash(F.col(ids.columns[0])).alias("hash")), bits)
+    return ids.sparkSession.sparkContext.broadcast(table)
+
+
 def by_ids(docs: DataFrame, id_col: str, ids: DataFrame, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows whose id is certainly not among ``ids`` (a stored frame of one column), and the others, to be joined.
 
     So that few whole documents are moved when a few of them are to go, the ids are made into a bit map, sized by their
     number (sixteen bits each) up to a bound; beyond it more and more rows are in the second part, at the end all.
     """
-    bits = bits_for(ids.count()) if bits is None else bits
-    table = bit_map(ids.select(F.xxhash64(F.col(ids.columns[0]).cast("string")).alias("hash")), bits)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = id_map(ids, bits)
 
     @F.pandas_udf("boolean")
     def may_be(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -135,5 +144,5 @@ def by_ids(docs: DataFrame, id_col: str, ids: DataFrame, bits: int | None = None
         for hashes in batches:
             yield pd.Series(is_set(found, hashes.to_numpy(dtype=np.int64)))
 
-    found = {"held": may_be(F.xxhash64(F.col(id_col).cast("string")))}
+    found = {"held": may_be(id_hash(F.col(id_col)))}
     return rows_where(docs, ~F.col("held"), found), rows_where(docs, F.col("held"), found)

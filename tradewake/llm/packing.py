@@ -39,7 +39,7 @@ _SEQUENCE_BITS = 33  # running number within a partition
 class Encoder:
     """Token ids of texts, as the tokenizers library gives them; equal pre-tokens are encoded once."""
 
-    def __init__(self, json_path: str, limit: int = 250_000):
+    def __init__(self, json_path: str, limit: int = 100_000):
         self._library = pretokens.library_tokenizer(json_path)
         self._character = dict(enumerate(pretokens.byte_characters()))
         self._numbers = pretokens.Numbering(limit)

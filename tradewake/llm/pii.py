@@ -3,9 +3,9 @@
 Numbers found in text are validated (card numbers by their check digit, network addresses and dates by their
 ranges), and then permuted within their format by a Feistel network keyed with a secret: a card number
 becomes another valid card number, a date another date, and so on. The permutation depends on value and key alone, so
-equal values stay linked across documents, and different values of a kind never meet. Mail addresses have
-the digits of their name permuted and its letters replaced by a keyed digest, and long hexadecimal secrets are replaced by
-a keyed digest of their length, so for these two different values keep apart up to the digest's length.
+equal values stay linked across documents, and different values of a kind never meet. Names of mail addresses are replaced by
+24 digits of a keyed digest, and long hexadecimal secrets by a keyed digest of their length: neither is a number of a fixed
+format to permute, so for these two different values keep apart up to the digest's length (96 bits and more).
 
 Everything is a Spark expression, applied row by row in the scan; nothing is shuffled. A text is split at the matches
 of one pattern; texts without a match pass unchanged.
@@ -203,7 +203,7 @@ def _phone(value: Column, key: str) -> Column:
 def _mail(value: Column, key: str) -> Column:
     """A name of a keyed digest at the same domain."""
     low = F.lower(value)
-    name = F.concat(F.lit("u"), F.substring(_digest(key, "mail", low), 1, 12))
+    name = F.concat(F.lit("u"), F.substring(_digest(key, "mail", low), 1, 24))
     return F.concat(name, F.lit("@"), F.split_part(value, F.lit("@"), F.lit(-1)))
 
 

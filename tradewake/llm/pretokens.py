@@ -171,7 +171,7 @@ class Numbering:
     that parts which share a hash are told apart. Numbers are kept by the parts themselves.
     """
 
-    def __init__(self, limit: int = 250_000):
+    def __init__(self, limit: int = 100_000):
         self._limit = limit
         self.clear()
 

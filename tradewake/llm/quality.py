@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import stored
-from .common import by_ids, map_arrow
+from .common import id_hash, id_map, is_set, map_arrow
 
 THRESHOLD = 0.3
 SHRINKAGE = 0.1  # towards the covariance of both classes
@@ -179,10 +179,25 @@ def labels_by_id(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     )
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, statistics) of all documents, written to the shared folder."""
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", among: DataFrame | None = None) -> DataFrame:
+    """(id, statistics) of all documents, written to the shared folder.
+
+    With ``among``, a stored frame of ids, most documents with other ids are left out (a map of hashes tells them).
+    """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return stored(with_statistics(texts).select("id", "statistics"), "statistics")
+    if among is None:
+        return stored(with_statistics(texts).select("id", "statistics"), "statistics")
+    shared = id_map(among)
+
+    @F.pandas_udf("array<double>")
+    def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        table = np.frombuffer(shared.value, dtype=np.uint8)
+        for hashes, values in batches:
+            held = is_set(table, hashes.to_numpy(dtype=np.int64))
+            yield pd.Series([statistics(text) if known else None for text, known in zip(values, held)], dtype=object)
+
+    found = texts.select("id", measure(id_hash(F.col("id")), F.col("text").cast("binary")).alias("statistics"))
+    return stored(found.filter(F.col("statistics").isNotNull()), "statistics")
 
 
 def fit_by_labels(
@@ -219,8 +234,7 @@ def good_documents(
     rows are judged alike; no rows give no rows.
     """
     known = stored(labels_by_id(labels, id_col, "quality").select("id"), "labelled-ids")
-    _, may_be = by_ids(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", known)
-    model = fit_by_labels(measured(may_be, "id", "text"), labels, learn, id_col)
+    model = fit_by_labels(measured(docs, id_col, text_col, known), labels, learn, id_col)
     packed = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
     scored = with_score(with_statistics(packed, "text", "statistics"), model, "statistics", "score")
     return scored.filter(F.col("score") >= threshold).select(

@@ -108,7 +108,7 @@ def merges(path: str) -> Merges:
 class Counter:
     """Counts of whole texts; pre-tokens that were met before are not merged again."""
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 100_000):
         self._path = path
         self._table = merges(path)
         self._numbers = pretokens.Numbering(limit)
