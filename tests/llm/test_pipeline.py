@@ -61,7 +61,7 @@ def plain_private(text):
         digits = re.sub(r"\D", "", value)
         fill = lambda d: re.sub(r"\d", "{}", value.replace("{", "")).format(*d)
         if "@" in value:
-            return f"u{digest('mail', value.lower())[:12]}@{value.split('@')[-1]}"
+            return f"u{digest('mail', value.lower())[:24]}@{value.split('@')[-1]}"
         if re.fullmatch("[0-9a-f]{32,}|[0-9A-F]{32,}", value) and not value.isdigit():
             made = (digest("secret", value.lower()) * 3)[: len(value)]
             return made.upper() if value == value.upper() else made
