@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import stored
-from .common import id_hash, id_map, is_set, map_arrow
+from .common import id_hash, id_map, is_set, map_arrow, rows_where
 
 THRESHOLD = 0.3
 SHRINKAGE = 0.1  # towards the covariance of both classes
@@ -235,8 +235,11 @@ def good_documents(
     """
     known = stored(labels_by_id(labels, id_col, "quality").select("id"), "labelled-ids")
     model = fit_by_labels(measured(docs, id_col, text_col, known), labels, learn, id_col)
-    packed = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
-    scored = with_score(with_statistics(packed, "text", "statistics"), model, "statistics", "score")
-    return scored.filter(F.col("score") >= threshold).select(
-        *(F.col("row").getField(name).alias(name) for name in docs.columns)
-    )
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        # Measured and scored in one worker; a worker for each would take twice the memory.
+        for texts in batches:
+            found = np.array([statistics(text) for text in texts])
+            yield pd.Series(model.score(found) if len(found) else [], dtype="float64")
+
+    return rows_where(docs, F.col("score") >= threshold, {"score": score(F.col(text_col).cast("binary"))})
