@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradewake.llm import decontamination, pii, quality, queries
+from tradewake.llm import decontamination, pii, quality, queries, simhash
 from tradewake.sources import stored
 
 from ..compare import connect, differences
@@ -144,6 +144,47 @@ def test_stages_take_odd_tables(spark, sf_dir, step):
     assert found.count() > 0
 
 
+def python_operators(node, above=0):
+    """The most Python operators that stand in one task of a plan, each with a worker of its own."""
+    name = node.nodeName()
+    below = [node.children().apply(i) for i in range(node.children().size())]
+    own = 0 if "Exchange" in name else above + any(word in name for word in ("EvalPython", "InArrow", "InPandas"))
+    return max([own, *(python_operators(x, own) for x in below)])
+
+
+@pytest.mark.parametrize("step", range(5))
+def test_a_task_of_a_stage_has_one_python_worker(spark, sf_dir, monkeypatch, step):
+    frames = []
+
+    def noted(df, *settings):
+        frames.append(df)
+        return stored(df, *settings)
+
+    for module in (quality, simhash, decontamination):
+        monkeypatch.setattr(module, "stored", noted)
+    frames.append(corpus_pipeline.STAGES[step][1](spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = [python_operators(df._jdf.queryExecution().executedPlan()) for df in frames]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert max(found) == (corpus_pipeline.STAGES[step][0] != "pii")
+
+
+def test_measured_leaves_out_documents_without_a_label(spark):
+    texts = [(1, "Some words."), (2, None), (3, ""), (None, "No id."), (1, "Other words."), (4, "Not asked for.")]
+    docs = spark.createDataFrame(texts, "name int, body string")
+    known = stored(spark.createDataFrame([(1,), (2,), (3,), (5,)], "id int"), "test-ids")
+    rows = quality.measured(docs, "name", "body", known)
+    assert dict(rows.dtypes) == {"id": "int", "statistics": "array<double>"}
+    wanted = [(i, quality.statistics(t and t.encode())) for i, t in texts if i in (1, 2, 3)]
+    # The map of the ids may let others through.
+    found = sorted((r.id, r.statistics) for r in rows.collect() if r.id in (1, 2, 3))
+    assert found == sorted(wanted)
+    assert quality.measured(docs.filter("false"), "name", "body", known).isEmpty()
+
+
 CONTRACT = {
     "op1_embeddings": "vec_id n_links component_id kept",
     "op2_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",

@@ -189,15 +189,19 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", am
         return stored(with_statistics(texts).select("id", "statistics"), "statistics")
     shared = id_map(among)
 
-    @F.pandas_udf("array<double>")
-    def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def measure(batch: pa.RecordBatch) -> dict | None:
         table = np.frombuffer(shared.value, dtype=np.uint8)
-        for hashes, values in batches:
-            held = is_set(table, hashes.to_numpy(dtype=np.int64))
-            yield pd.Series([statistics(text) if known else None for text, known in zip(values, held)], dtype=object)
-
-    found = texts.select("id", measure(id_hash(F.col("id")), F.col("text").cast("binary")).alias("statistics"))
-    return stored(found.filter(F.col("statistics").isNotNull()), "statistics")
+        held = pa.array(np.flatnonzero(is_set(table, batch.column("hash").to_numpy())))
+        if not len(held):
+            return None
+        found = [statistics(text) for text in batch.column("text").take(held).to_pylist()]
+        return {"id": batch.column("id").take(held), "statistics": pa.array(found, pa.list_(pa.float64()))}
+
+    # Not a UDF with a filter on its result: Spark would evaluate it for the filter and again for the rows that
+    # pass, in two workers a task.
+    hashed = texts.select("id", id_hash(F.col("id")).alias("hash"), F.col("text").cast("binary").alias("text"))
+    kind = texts.schema["id"].dataType.simpleString()
+    return stored(map_arrow(hashed, measure, f"id {kind}, statistics array<double>", rows=1000), "statistics")
 
 
 def fit_by_labels(
