@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradewake.llm import embeddings, graph, simhash
+from tradewake.sources import stored
 
 from .helpers import plain_fingerprint, plain_links, reachable
 
@@ -50,6 +51,16 @@ def test_long_posting_lists_are_dealt_into_blocks(spark, monkeypatch):
     assert {r.node: r.root for r in found.collect()} == {i: wanted[i] for i in {x for p in near for x in p}}
 
 
+def test_postings_are_not_broadcast(spark):
+    """Spark sizes the exploded postings as the fingerprints they come from, and would send them to the driver."""
+    prints = stored(spark.range(1000).select(F.xxhash64("id").alias("fp")), "test-prints")
+    blocks = simhash._blocks(simhash._postings(prints.union(prints.select(F.col("fp").bitwiseXOR(F.lit(1))))))
+    assert not blocks.isEmpty()
+    blocks.collect()
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_documents_odd_ones_included(spark):
     text = " ".join(f"word{i}" for i in range(300))
     rows = [(5, text, "x"), (3, text.upper(), None), (8, text + " more", "y"), (1, None, "z"), (2, "", "z"), (9, "alone here", "z"),

@@ -90,8 +90,9 @@ def _blocks(postings: DataFrame) -> DataFrame:
     """(left, right): lists of fingerprints to compare, with each other or, without right, among themselves."""
     sizes = postings.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
     blocks = F.ceil(F.col("size") / _LIST).cast("int")
+    # Always by a merge: Spark takes an exploded table for as many rows as before, here a 35th, and would broadcast it.
     dealt = (
-        postings.join(sizes, "key")
+        postings.join(sizes.hint("merge"), "key")
         .withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64("fp", "key"), F.col("blocks")).cast("int"))
     )
