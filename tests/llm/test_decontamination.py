@@ -36,6 +36,25 @@ def test_other_numbers_and_names_are_found_and_odd_rows_pass(spark):
     assert found == {(1, 7): True, (2, 7): False, (8, 7): True, (9, 7): True}
 
 
+def broadcasts(node):
+    """The broadcast parts of a plan, as text."""
+    below = [node.children().apply(i) for i in range(node.children().size())]
+    return [node.toString()] * ("BroadcastExchange" in node.nodeName()) + [part for x in below for part in broadcasts(x)]
+
+
+def test_windows_of_documents_are_not_broadcast(spark):
+    """However small their file: with one common passage it has a fortieth of the bytes that they take on the driver."""
+    found = dc.matches(*frames(spark, [(i, f"Number {i}. " + ITEM) for i in range(40)], [(7, ITEM), (8, TANK)]))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sent = broadcasts(found.select("*")._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sent and not any("loud#" in part for part in sent)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, 7) for i in range(40)}
+
+
 def test_slots_must_be_renamed_one_to_one(spark):
     docs = [(1, TANK.replace("30", "50")), (2, TANK.replace("30", "50", 1)), (3, TANK)]
     assert result(spark, docs, [(1, TANK)]) == {(1, 1): False, (3, 1): True}

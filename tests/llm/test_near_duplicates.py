@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tradewake.llm import embeddings, graph, simhash
+from tradewake.llm import common, embeddings, graph, simhash
 from tradewake.sources import stored
 
 from .helpers import plain_fingerprint, plain_links, reachable
@@ -104,6 +104,18 @@ def test_classes_beyond_a_broadcast_are_the_same(spark, sf_dir, monkeypatch):
     assert {r.doc_id for r in kept} == first
 
 
+def test_a_salted_lookup_is_not_broadcast(spark):
+    """Beyond the counted bound, that is, where Spark sizes its repeated rows like single ones."""
+    lookup = stored(spark.range(50).select("id", (F.col("id") * 7).alias("seven")), "test-lookup")
+    rows = spark.range(400).select((F.col("id") % 60).alias("id"), F.col("id").alias("row"))
+    for how, wanted in (("inner", 340), ("left", 400)):
+        found = common.with_lookup(rows, lookup, ["id"], F.col("row"), small=49, how=how)
+        got = found.collect()
+        assert len(got) == wanted and all(r.seven == (7 * r.id if r.id < 50 else None) for r in got)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_fingerprint_as_text(spark):
     rows = spark.createDataFrame([(0,), (-1,), (255,)], "fp long").select(simhash.hex_digits(F.col("fp")).alias("h"))
     assert [r.h for r in rows.collect()] == ["0" * 16, "f" * 16, "0" * 14 + "ff"]

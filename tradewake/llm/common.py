@@ -100,17 +100,17 @@ SALTS = 32
 def with_lookup(
     rows: DataFrame, lookup: DataFrame, on: list[str], salt: Column, small: int = SMALL_ROWS, how: str = "inner"
 ) -> DataFrame:
-    """The rows joined (inner or left) with a stored table of narrow rows, one for each key, whatever the keys' sizes.
+    """The rows joined (inner or left) with a stored table of narrow rows, one or few for each key, whatever the keys' sizes.
 
     The table is counted. Up to ``small`` rows it is broadcast; beyond, each of its rows is repeated for a few salts
-    and the rows are dealt to them by ``salt``, any column of whole numbers, so that a hot key is in many tasks. A null
-    in a key joins nothing.
+    and the rows are dealt to them by ``salt``, any column of whole numbers, so that a hot key is in many tasks. These are
+    joined by a merge, as Spark sizes repeated rows like single ones and might broadcast them. A null in a key joins nothing.
     """
     if lookup.count() <= small:
         return rows.join(F.broadcast(lookup), on, how)
     salted = lookup.withColumn("salt of key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = rows.withColumn("salt of key", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int"))
-    return dealt.join(salted, [*on, "salt of key"], how).drop("salt of key")
+    return dealt.join(salted.hint("merge"), [*on, "salt of key"], how).drop("salt of key")
 
 
 def is_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.workspace import stored
-from .common import bit_map, by_ids, is_set, sliced
+from .common import bit_map, by_ids, is_set, sliced, with_lookup
 
 WINDOW = 5
 SHARE = 0.8
@@ -341,14 +341,17 @@ def matches(
         .filter(F.col("rank") <= F.floor(F.col("n") * (1 - share) + 1e-9) + 1)
         .select("item", "item_pos")
     )
-    anchors = items.join(rarest, ["item", "item_pos"]).select("item", "hash", "any_case").distinct()
+    anchors = stored(
+        items.join(rarest, ["item", "item_pos"]).select("item", "hash", "any_case").distinct(), "benchmark-anchors"
+    )
     reach = items.groupBy("item").agg((2 * F.max(F.col("item_pos") + F.col("width"))).alias("reach"))
     same = F.col("any_case") | ~F.col("loud")
-    candidates = hits.join(anchors, "hash").filter(same).select("id", "item").distinct()
+    # The documents' windows are never broadcast: their file may have a fortieth of the bytes that they take in memory.
+    candidates = with_lookup(hits, anchors, ["hash"], F.col("pos")).filter(same).select("id", "item").distinct()
     part = F.floor(F.col("pos") / F.col("reach"))
     passages = (
         candidates.join(items.join(reach, "item"), "item")
-        .join(hits, ["id", "hash"])
+        .join(hits.hint("merge"), ["id", "hash"])
         .filter(same)
         # A passage lies in one of the parts of twice its length, which begin at every passage's length.
         .withColumn("part", F.explode(F.when(part > 0, F.array(part - 1, part)).otherwise(F.array(part))))
